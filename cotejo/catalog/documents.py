@@ -149,7 +149,7 @@ def _html_tables(t):
 
 
 @register(
-    """SELECT o_orderkey AS page, 1 AS row_no, CAST(o_orderkey AS VARCHAR) AS "Orden",
+    """SELECT o_orderkey AS page, CAST(1 AS BIGINT) AS row_no, CAST(o_orderkey AS VARCHAR) AS "Orden",
               replace(o_orderpriority, '-', ' & ') AS "Estado" FROM orders
        UNION ALL SELECT o_orderkey, 2, CASE WHEN o_orderkey % 2 = 1 THEN '<x>' END,
               CASE WHEN o_orderkey % 2 = 0 THEN '<x>' END FROM orders"""

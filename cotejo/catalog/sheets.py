@@ -40,7 +40,7 @@ DATA = """
 @register(
     f"""SELECT file, CAST(pos AS INT) AS pos, "Folio", "Monto" FROM ({DATA}) WHERE o_orderkey % 7 <> 0
         UNION ALL
-        SELECT 'sheet' || o_orderkey || '.csv', n, NULL, NULL FROM orders, generate_series(1, 4) g(n)
+        SELECT 'sheet' || o_orderkey || '.csv', CAST(n AS INT), NULL, NULL FROM orders, generate_series(1, 4) g(n)
         WHERE o_orderkey % 7 = 0 AND n <= o_orderkey % 3 + 2"""
 )
 def header_locate(t):

@@ -7,8 +7,13 @@ from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampT
 
 from cotejo.values import MISSING_TEXT, NO_DATE, NULL_MARKERS
 
-# Whitespace as Unicode defines it, numbers accepted by the cleaning rules.
+# Whitespace as Unicode defines it, as a pattern and as the list of characters; numbers accepted by the
+# cleaning rules.
 SPACE = r"(?U)[\s\x1c-\x1f]"
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 NUMBER = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))$"
 
 
@@ -18,7 +23,15 @@ def as_column(c) -> Column:
 
 def strip(c) -> Column:
     """Trim Unicode whitespace on both ends (``trim`` alone removes blanks only)."""
-    return F.regexp_replace(as_column(c), rf"^{SPACE}+|{SPACE}+$", "")
+    return F.trim(as_column(c), F.lit(BLANKS))
+
+
+def once(c: Column) -> Column:
+    """The value computed a single time per row, however often later steps use it.
+
+    Catalyst copies an expression into every filter and column built on it; it does not do so across a generator.
+    """
+    return F.explode(F.array(c))
 
 
 def null_markers(c, markers=NULL_MARKERS) -> Column:
@@ -127,12 +140,8 @@ def hour_stamp(c) -> Column:
 def parse_hour_stamp(c) -> Column:
     """``yyyy-MM-dd-HH`` to a timestamp, NULL where the text is none."""
     text = as_column(c)
-    day = F.try_to_date(F.substring(text, 1, 10), "yyyy-MM-dd")
-    hour = F.substring(text, 12, 2).try_cast("int")
-    stamp = F.make_timestamp_ntz(
-        F.year(day), F.month(day), F.dayofmonth(day), hour, F.lit(0), F.lit(0).cast("decimal(16,6)")
-    )
-    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}-\d{2}$") & day.isNotNull() & (hour < 24), stamp)
+    stamp = F.concat(F.substring(text, 1, 10), F.lit(" "), F.substring(text, 12, 2), F.lit(":00:00"))
+    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}-\d{2}$"), stamp.try_cast("timestamp_ntz"))
 
 
 def normalize_identifier(name: str) -> str:

@@ -9,18 +9,20 @@ from cotejo.operators.lookup import anti_join
 from cotejo.values import LEDGER_TOLERANCE_SECONDS
 
 # File-name formats.
-STAMP_PATTERN = r"^(\d{4}-\d{2}-\d{2}-\d{2})"
 NOTICE_PATTERN = r"^\d{4}-\d{2}-\d{2} \d{2}-\d{2} "
 EXPORT_NAME = "[FacturaVsCR][%s][%s][%s].xls"
 
 
 def base_name(path) -> Column:
-    return F.regexp_extract(as_column(path), r"([^/\\]*)$", 1)
+    return F.substring_index(F.substring_index(as_column(path), "/", -1), "\\", -1)
 
 
 def extension(name) -> Column:
     """Lower-cased extension with its dot, empty where there is none."""
-    return F.lower(F.regexp_extract(as_column(name), r"^.+(\.[^./\\]*)$", 1))
+    text = as_column(name)
+    tail = F.substring_index(text, ".", -1)
+    has_dot = F.length(tail) + 1 < F.length(text)
+    return F.when(has_dot, F.lower(F.concat(F.lit("."), tail))).otherwise(F.when(text.isNotNull(), F.lit("")))
 
 
 def inventory(files: DataFrame, extensions: Sequence[str], path: str = "path") -> DataFrame:
@@ -29,7 +31,7 @@ def inventory(files: DataFrame, extensions: Sequence[str], path: str = "path") -
         files.withColumn("name", base_name(path))
         .withColumn("ext", extension("name"))
         .filter(F.col("ext").isin(*extensions) & ~F.startswith("name", F.lit("~")))
-        .withColumn("ts", parse_hour_stamp(F.nullif(F.regexp_extract("name", STAMP_PATTERN, 1), F.lit(""))))
+        .withColumn("ts", parse_hour_stamp(F.substring("name", 1, 13)))
     )
 
 

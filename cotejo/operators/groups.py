@@ -60,7 +60,7 @@ def anchored_groups(files: DataFrame, keys: Sequence[str] = (), ts: str = "ts",
     renamed = anchors.toDF(*[f"_k{i}" for i in range(len(names))], "_ts", "anchor")
     stamped = keyed.filter(F.col(ts).isNotNull())
     pairs = [f"_k{i}" for i in range(len(names))]
-    return join_unique(stamped, [*names, ts], [(renamed, [*pairs, "_ts"])], null_safe=True).drop("_all")
+    return join_unique(stamped, [*names, ts], renamed, [*pairs, "_ts"], null_safe=True).drop("_all")
 
 
 def snapshot_groups(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cotejo.functions.clean import strip, to_number
 from cotejo.operators.dedup import dedup_first, top_rows
+from cotejo.operators.setops import union_by_name
 from cotejo.operators.skew import join_unique
 from cotejo.values import CANCELLED, LIST_LIMIT, MISSING_TEXT, NOT_FOUND
 
@@ -36,20 +37,14 @@ class LookupSpec:
 
 
 def collapse_parts(
-    right: DataFrame,
-    spec: LookupSpec,
-    order: str = "_row_no",
-    part_width: int = PART_WIDTH,
-    skip_nulls: bool = False,
+    right: DataFrame, spec: LookupSpec, order: str = "_row_no", part_width: int = PART_WIDTH
 ) -> DataFrame:
     """Comma-joined right values per key and range of the order column, in row order.
 
     A part covers ``part_width`` row numbers, hence at most that many rows of a key. The rows of one hot key spread
     over many tasks and are joined up inside the map tasks first. Rows with a NULL key match nothing and are left out.
     """
-    texts = [F.col(f"`{c}`").cast("string") for c in spec.returns]
-    if not skip_nulls:
-        texts = [F.coalesce(t, F.lit(MISSING_TEXT)) for t in texts]
+    texts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(MISSING_TEXT)) for c in spec.returns]
     return (
         right.dropna(subset=list(spec.right))
         .select(
@@ -71,47 +66,55 @@ def collapse_parts(
     )
 
 
-def collapse(right, spec, order="_row_no", part_width=PART_WIDTH, skip_nulls=False) -> DataFrame:
-    """One row per key with comma-joined values; the last step only concatenates ready parts."""
-    parts = collapse_parts(right, spec, order, part_width, skip_nulls)
-    return parts.groupBy(*[f"`{k}`" for k in spec.right]).agg(
-        *[F.expr(f"listagg(`{c}`, ',') within group (order by _part)").alias(c) for c in spec.returns],
-        *[F.when(F.sum("_rows") == 1, to_number(F.min(f"`{c}`"))).alias(c) for c in spec.single_numbers],
-    )
+def collapse(
+    lookups: Sequence[tuple[DataFrame, LookupSpec]], order: str = "_row_no", part_width: int = PART_WIDTH
+) -> DataFrame:
+    """One row per key with the joined values of all right tables, key columns ``_key0``, ``_key1``, ...
+
+    The parts of all tables meet in one aggregation, which only concatenates ready parts.
+    """
+    frames, values = [], []
+    for n, (right, spec) in enumerate(lookups):
+        names = {k: f"_key{i}" for i, k in enumerate(spec.right)}
+        values += [F.expr(f"listagg(`{c}`, ',') within group (order by _part)").alias(c) for c in spec.returns]
+        values += [
+            F.when(F.sum(f"_rows{n}") == 1, to_number(F.min(f"`{c}`"))).alias(c) for c in spec.single_numbers
+        ]
+        frames.append(collapse_parts(right, spec, order, part_width).withColumnsRenamed({**names, "_rows": f"_rows{n}"}))
+    keys = [f"_key{i}" for i in range(len(lookups[0][1].right))]
+    return union_by_name(frames).groupBy(*keys).agg(*values)
 
 
 def populate_all(
     left: DataFrame,
     lookups: Sequence[tuple[DataFrame, LookupSpec]],
     order: str = "_row_no",
-    *,
     part_width: int = PART_WIDTH,
-    skip_nulls: bool = False,
     overwrite: bool = False,
-    source: DataFrame | None = None,
 ) -> DataFrame:
-    """Several lookups on the same left key in one pass over the left side."""
+    """Several lookups on the same left key: the right tables are collapsed together, the left side is joined once."""
     usable = []
     for right, spec in lookups:
         missing = spec.missing(left, right)
         if missing:
             log.warning("lookup skipped, missing columns: %s", ", ".join(missing))
-            continue
-        usable.append((right, spec))
+        else:
+            usable.append((right, spec))
     if not usable:
         return left
     left_keys = usable[0][1].left
-    returned = [c for _, spec in usable for c in (*spec.returns, *spec.single_numbers)]
     if any(spec.left != left_keys for _, spec in usable):
         raise ValueError("lookups of one pass must share the left key")
+    returned = [c for _, spec in usable for c in (*spec.returns, *spec.single_numbers)]
     clash = [c for c in returned if c in left.columns or returned.count(c) > 1]
     if clash and not overwrite:
         raise ValueError(f"returned columns already exist: {sorted(set(clash))}")
     kept = left.drop(*[c for c in clash if c not in left_keys])
-    rights = [(collapse(right, spec, order, part_width, skip_nulls), spec.right) for right, spec in usable]
-    joined = join_unique(kept, left_keys, rights, source=source)
-    labelled = {c: F.coalesce(F.col(f"`{c}`"), F.lit(NOT_FOUND)) for _, spec in usable for c in spec.returns}
-    return joined.withColumns(labelled)
+    collapsed = collapse(usable, order, part_width)
+    joined = join_unique(kept, left_keys, collapsed, [f"_key{i}" for i in range(len(left_keys))])
+    return joined.withColumns(
+        {c: F.coalesce(F.col(f"`{c}`"), F.lit(NOT_FOUND)) for _, spec in usable for c in spec.returns}
+    )
 
 
 def populate(left: DataFrame, right: DataFrame, spec: LookupSpec, order="_row_no", **options) -> DataFrame:
@@ -140,24 +143,22 @@ def join_first(
     """Left join with the first right row per key; by default a NULL key matches a NULL key."""
     first = dedup_first(right, [right_key], order).drop(*[c for c in order if c in left.columns])
     first = first.withColumn("_key", F.col(f"`{right_key}`"))
-    return join_unique(left, [left_key], [(first, ["_key"])], null_safe=match_nulls)
+    return join_unique(left, [left_key], first, ["_key"], null_safe=match_nulls)
 
 
 def mark_listed(left: DataFrame, key: str, listed: DataFrame, listed_key: str, column: str, value: str) -> DataFrame:
     """Set ``column`` to ``value`` where the key is listed; NULL keys are never listed."""
     flags = listed.select(F.col(f"`{listed_key}`").alias("_listed")).filter("_listed is not null").distinct()
-    joined = join_unique(left, [key], [(flags.withColumn("_hit", F.lit(True)), ["_listed"])])
+    joined = join_unique(left, [key], flags.withColumn("_hit", F.lit(True)), ["_listed"])
     return joined.withColumn(
         column, F.when(F.col("_hit"), F.lit(value)).otherwise(F.col(f"`{column}`"))
     ).drop("_hit")
 
 
 def anti_join(left: DataFrame, left_keys: Sequence[str], right: DataFrame, right_keys: Sequence[str], null_safe=False):
-    """Left rows without a partner, salted like every lookup, so that hot or missing keys do not pile up."""
-    names = [f"_known{i}" for i in range(len(right_keys))]
-    known = right.select(*[F.col(f"`{k}`").alias(n) for k, n in zip(right_keys, names)]).distinct()
-    joined = join_unique(left, left_keys, [(known.withColumn("_hit", F.lit(True)), names)], null_safe=null_safe)
-    return joined.filter("_hit is null").drop("_hit")
+    """Left rows without a partner; a missing key has none unless ``null_safe``."""
+    known = right.select(*[F.col(f"`{k}`") for k in right_keys]).distinct()
+    return join_unique(left, left_keys, known, right_keys, "left_anti", null_safe)
 
 
 def new_documents(docs: DataFrame, known: DataFrame, uuid="UUID", pair=("Folio", "Archivo")) -> DataFrame:
@@ -190,7 +191,7 @@ def prefix_matches(
         .join(prefixes, F.col("_start") == F.col("_prefix"), "left_semi")
         .select("_start", F.col("_found._path").alias("matches"))
     )
-    return join_unique(keyed, ["_prefix"], [(lists, ["_start"])]).drop("_prefix")
+    return join_unique(keyed, ["_prefix"], lists, ["_start"]).drop("_prefix")
 
 
 def fallback_lookup(
@@ -220,7 +221,7 @@ def fallback_lookup(
         *[F.col(f"`{c}`") for c in work.columns],
         F.posexplode(F.array(*[F.col(f"`{k}`").cast("string") for k in work_keys])).alias("_priority", "_term"),
     ).withColumn("_term", F.when((F.lower("_term") != MISSING_TEXT) & (F.col("_term") != ""), F.col("_term")))
-    hits = join_unique(terms, ["_term"], [(best, ["_candidate"])])
+    hits = join_unique(terms, ["_term"], best, ["_candidate"])
     chosen = hits.groupBy(*[f"`{c}`" for c in work.columns]).agg(
         F.min(F.when(F.col("_payload").isNotNull(), F.struct("_priority", "_payload"))).alias("_hit")
     )

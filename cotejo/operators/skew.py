@@ -1,79 +1,45 @@
-"""Left joins against one-row-per-key tables that stay balanced when a few keys hold most rows.
+"""Joins against a table with one row per key, in a form whose hot keys Spark can split.
 
-Spark's own skew handling cannot split such a join when the right side is the direct result of an aggregation, so the
-hot keys are salted here. A key is hot when it alone exceeds an average shuffle partition; fewer keys than there are
-shuffle partitions can be, which bounds the broadcast list and the number of copied right rows.
+Adaptive execution splits a hot partition of a shuffled join among tasks, but only where both sides come straight from
+a shuffle made for that join. A side that was just aggregated on the join key keeps the aggregation's partitioning
+instead, and the other side's hot key ends up in one task. The second join key below is 0 on every row, so it changes
+no result; it makes Spark shuffle the (already reduced) side once more and thereby lets it split the hot keys of the
+other one, missing keys included.
 """
 
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import MapType, VariantType
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], pieces: int) -> DataFrame:
-    """Keys with more than ``1/pieces`` of the rows, and into how many pieces each should be cut."""
-    counts = df.groupBy(*[F.col(f"`{k}`").alias(f"_hot{i}") for i, k in enumerate(keys)]).agg(
-        F.count(F.lit(1)).alias("_rows")
-    )
-    total = df.agg(F.count(F.lit(1))).scalar()
-    share = F.col("_rows") * F.lit(float(pieces)) / total
-    return (
-        counts.withColumn("_share", share)
-        .filter("_share > 1")
-        .select(*[f"_hot{i}" for i in range(len(keys))], F.ceil("_share").alias("_pieces"))
-    )
+def key_match(names: Sequence[str], others: Sequence[str], null_safe: bool = False) -> Column:
+    condition = F.lit(True)
+    for a, b in zip(names, others):
+        left, right = F.col(f"`{a}`"), F.col(f"`{b}`")
+        condition = condition & (left.eqNullSafe(right) if null_safe else left == right)
+    return condition
 
 
-def key_match(names: Sequence[str], others: Sequence[str], null_safe: bool) -> Column:
-    pairs = [
-        (F.col(f"`{a}`").eqNullSafe(F.col(f"`{b}`")) if null_safe else F.col(f"`{a}`") == F.col(f"`{b}`"))
-        for a, b in zip(names, others)
-    ]
-    condition = pairs[0]
-    for pair in pairs[1:]:
-        condition = condition & pair
-    return condition
+def _zero(names: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(f"`{n}`") for n in names]), F.lit(1))
 
 
 def join_unique(
     left: DataFrame,
     left_keys: Sequence[str],
-    rights: Sequence[tuple[DataFrame, Sequence[str]]],
-    *,
+    right: DataFrame,
+    right_keys: Sequence[str],
+    how: str = "left",
     null_safe: bool = False,
-    source: DataFrame | None = None,
 ) -> DataFrame:
-    """Left-join every right table, each with at most one row per key, keeping exactly the left rows.
+    """Join with a right side that has at most one row per key; no left row is ever repeated.
 
-    The right key columns are dropped; the other right columns must not clash with the left ones. All right tables
-    share one salted partitioning, so the left side is shuffled once however many there are. ``source`` may name a
-    cheaper table with the same key distribution as ``left`` for finding the hot keys.
+    The right key columns are dropped; the other right columns must not clash with the left ones.
     """
-    pieces = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    left_keys = list(left_keys)
-    hot_names = [f"_hot{i}" for i in range(len(left_keys))]
-    hot = F.broadcast(hot_keys(left if source is None else source, left_keys, pieces))
-    hashed = [F.col(f"`{f.name}`") for f in left.schema.fields if not isinstance(f.dataType, (MapType, VariantType))]
-    joined = (
-        left.join(hot, key_match(left_keys, hot_names, True), "left")
-        .withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(*hashed), F.col("_pieces")), F.lit(0)).cast("bigint"))
-        .drop(*hot_names, "_pieces")
+    names = [f"_right{i}" for i in range(len(right_keys))]
+    renamed = right.select(
+        *[F.col(f"`{k}`").alias(n) for k, n in zip(right_keys, names)],
+        *[F.col(f"`{c}`") for c in right.columns if c not in right_keys],
     )
-    for right, right_keys in rights:
-        names = [f"_right{i}" for i in range(len(left_keys))]
-        renamed = right.select(
-            *[F.col(f"`{k}`").alias(n) for k, n in zip(right_keys, names)],
-            *[F.col(f"`{c}`") for c in right.columns if c not in right_keys],
-        )
-        spread = (
-            renamed.join(hot, key_match(names, hot_names, True), "left")
-            .withColumn(
-                "_piece",
-                F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("_pieces", F.lit(1)).cast("bigint") - 1)),
-            )
-            .drop(*hot_names, "_pieces")
-        )
-        condition = key_match(left_keys, names, null_safe) & (F.col("_salt") == F.col("_piece"))
-        joined = joined.join(spread, condition, "left").drop(*names, "_piece")
-    return joined.drop("_salt")
+    condition = key_match(left_keys, names, null_safe) & (_zero(left_keys) == _zero(names))
+    return left.join(renamed, condition, how).drop(*names)

@@ -56,12 +56,12 @@ def backfill_orders(accounts: DataFrame, invoices: DataFrame, **options) -> Data
         .select(F.col("`Folio fiscal`").alias("_folio"))
         .distinct()
     )
-    found = collapse(invoices, ACCOUNT_INVOICE, **options).select("UUID", F.col("Referencia").alias("_order"))
-    fills = open_folios.join(found, F.col("_folio") == F.col("UUID"), "left").select(
+    found = collapse([(invoices, ACCOUNT_INVOICE)], **options).withColumnsRenamed({"Referencia": "_order"})
+    fills = open_folios.join(found, F.col("_folio") == F.col("_key0"), "left").select(
         "_folio", F.coalesce("_order", F.lit(NOT_FOUND)).alias("_order")
     )
     return (
-        join_unique(kept, ["Folio fiscal"], [(fills, ["_folio"])], source=accounts)
+        join_unique(kept, ["Folio fiscal"], fills, ["_folio"])
         .withColumn("Orden de suministro", F.coalesce("_order", F.col("`Orden de suministro`")))
         .drop("_order")
     )
@@ -83,11 +83,11 @@ def integrate(
     single = unique_invoices(invoices)
     states = clean_accounts(accounts, single, **options)
     lookups = [(single, ORDER_INVOICE), (states, ORDER_ACCOUNT), (penalties, ORDER_PENALTY)]
-    enriched = populate_all(priced, lookups, source=orders, **options)
+    enriched = populate_all(priced, lookups, **options)
     return Integrated(
         enriched.withColumn("file_date", stamp(file_date)),
         states,
-        populate(single, priced, INVOICE_CHECK, source=invoices, **options),
+        populate(single, priced, INVOICE_CHECK, **options),
     )
 
 

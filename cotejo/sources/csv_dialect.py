@@ -8,7 +8,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cotejo.functions.clean import as_column
+from cotejo.functions.clean import as_column, once
 from cotejo.sources.lines import read_lines, read_texts
 
 # Private-use characters that stand for escaped ones while a line is parsed.
@@ -49,7 +49,7 @@ def parse_lines(lines: DataFrame, columns: Sequence[str], line: str = "line") ->
     marked = F.concat(_hide(as_column(line)), F.lit(f",{END}"))
     cells = F.from_csv(marked, F.lit(schema), {"quote": '"', "escape": '"', "mode": "PERMISSIVE"})
     others = [F.col(f"`{c}`") for c in lines.columns if c != line]
-    parsed = lines.filter(F.length(line) > 0).select(*others, cells.alias("_cells"))
+    parsed = lines.filter(F.length(line) > 0).select(*others, once(cells).alias("_cells"))
     ends = F.array(*[F.col(f"_cells.`{c}`") for c in [*columns, EXTRA]])
     return parsed.filter(F.array_contains(ends, END)).select(
         *others, *[_show(F.col(f"_cells.`{c}`")).alias(c) for c in columns]

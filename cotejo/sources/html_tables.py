@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cotejo.functions.clean import SPACE, as_column, strip
+from cotejo.functions.clean import SPACE, as_column, once, strip
 
 # Character references decoded in cell texts; the ampersand comes last.
 ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&amp;": "&"}
@@ -28,7 +28,7 @@ def element_rows(pages: DataFrame, key: str, html: str, container: str, row: str
         F.transform(blocks(F.col("row_html"), cell), cell_text) if cell else F.array(cell_text(F.col("row_html")))
     )
     return (
-        pages.select(F.col(key), first.alias("_first"))
+        pages.select(F.col(key), once(first).alias("_first"))
         .select(key, F.posexplode(blocks("_first", row)).alias("row_no", "row_html"))
         .select(key, F.col("row_no").cast("bigint").alias("row_no"), texts.alias("cells"))
     )
@@ -39,7 +39,7 @@ def table_rows(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
     first = F.try_element_at(blocks(html, "table"), F.lit(1))
     parsed = F.transform(blocks(first, "tr"), lambda r: F.transform(blocks(r, "td|th"), cell_text))
     return (
-        pages.select(F.col(key), parsed.alias("_rows"))
+        pages.select(F.col(key), once(parsed).alias("_rows"))
         .select(key, F.try_element_at("_rows", F.lit(1)).alias("header"), F.posexplode("_rows").alias("row_no", "cells"))
         .filter("row_no > 0")
         .select(key, F.col("row_no").cast("bigint").alias("row_no"), "header", "cells")

@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cotejo.functions.clean import series_folio, strict_number
+from cotejo.functions.clean import once, series_folio, strict_number
 from cotejo.sources.lines import read_texts
 
 # Namespaces of the two accepted versions and the parts of a document that are read.
@@ -19,8 +19,8 @@ OPTIONS = {"rowTag": "Comprobante", "ignoreNamespace": "true", "mode": "PERMISSI
 
 def parse_documents(texts: DataFrame, text: str = "text", file_name: str = "file_name") -> DataFrame:
     """(file_name, doc, text): every document parsed once, attribute values kept as text."""
-    return texts.select(
-        F.col(file_name).alias("file_name"), F.from_xml(F.col(text), SCHEMA, OPTIONS).alias("doc"), F.col(text).alias("text")
+    return texts.select(F.col(file_name).alias("file_name"), F.col(text).alias("text")).select(
+        "file_name", "text", once(F.from_xml("text", SCHEMA, OPTIONS)).alias("doc")
     )
 
 

@@ -11,12 +11,12 @@ ID_PATTERN = "(?is)&id=(.+?)&re="
 def receipt_status(receipts: DataFrame, text: str = "text", file_name: str = "filename") -> DataFrame:
     """(uuid, estado, filename); the id without blanks, NULL where there is none."""
     line = F.translate(F.col(text), "\n\r", "  ")
-    uuid = F.replace(F.regexp_extract(line, ID_PATTERN, 1), F.lit(" "), F.lit(""))
+    found = F.nullif(F.regexp_extract(line, ID_PATTERN, 1), F.lit(""))
     status = (
         F.when(F.contains(line, F.lit(CANCELLED)), F.lit(CANCELLED))
         .when(F.contains(line, F.lit(ACTIVE)), F.lit(ACTIVE))
         .otherwise(F.lit(UNKNOWN))
     )
     return receipts.select(
-        F.when(line.rlike(ID_PATTERN), uuid).alias("uuid"), status.alias("estado"), F.col(file_name).alias("filename")
+        F.replace(found, F.lit(" "), F.lit("")).alias("uuid"), status.alias("estado"), F.col(file_name).alias("filename")
     )

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cotejo.functions.clean import normalize_identifier_column, strip
+from cotejo.functions.clean import SPACE, normalize_identifier_column, once, strip
 from cotejo.operators.skew import join_unique
 from cotejo.values import PAYMENT_COLUMNS
 
@@ -19,6 +19,8 @@ TOKEN_ROWS = 30
 # Cells that mark the header of a payment notice.
 FOLIO_PATTERN = r"(?i)folio\s*fiscal"
 NOTICE_TOKENS = ("referencia", "importe", "clc")
+# Fixed value: the character put between the cells of a row.
+CELL = "\ue010"
 
 
 def has_names(cells: Column, names: Sequence[str]) -> Column:
@@ -33,9 +35,12 @@ def equals_names(cells: Column, names: Sequence[str]) -> Column:
 
 
 def has_notice_tokens(cells: Column) -> Column:
-    texts = F.transform(cells, lambda c: F.lower(strip(F.coalesce(c, F.lit("")))))
-    folio = F.exists(texts, lambda c: c.rlike(FOLIO_PATTERN))
-    return folio & has_names(texts, NOTICE_TOKENS)
+    """Tested on the row as one text, which is cheap on the data rows that lack the words."""
+    row = F.lower(F.concat(F.lit(CELL), F.array_join(cells, CELL, ""), F.lit(CELL)))
+    rule = row.rlike(FOLIO_PATTERN)
+    for token in NOTICE_TOKENS:
+        rule = rule & row.rlike(rf"{CELL}{SPACE}*{token}{SPACE}*{CELL}")
+    return rule
 
 
 def header_rows(rows: DataFrame, rule: Column, limit: int) -> DataFrame:
@@ -75,22 +80,17 @@ def rejected_files(rows: DataFrame, headers: DataFrame) -> DataFrame:
     return rows.select("file").distinct().join(headers, "file", "left_anti")
 
 
-def rows_below(rows: DataFrame, headers: DataFrame, names: Sequence[str], header=F.col) -> DataFrame:
-    """(file, pos, one column per name) for the rows under each file's header; NULL where a file lacks the name.
-
-    ``header`` maps the column holding the header cells to the texts compared with the names.
-    """
-    joined = join_unique(rows, ["file"], [(headers.withColumn("_names", header("header")).drop("header"), ["file"])])
+def rows_below(rows: DataFrame, headers: DataFrame, names: Sequence[str]) -> DataFrame:
+    """(file, pos, one column per name) for the rows under each file's header; NULL where a file lacks the name."""
+    places = headers.select(
+        "file", "header_pos", *[F.array_position("header", F.lit(n)).cast("int").alias(f"_at_{n}") for n in names]
+    )
+    joined = join_unique(rows, ["file"], places, ["file"])
     return joined.filter(F.col("pos") > F.col("header_pos")).select(
-        "file", "pos", *[_cell(n).alias(n) for n in names]
+        "file", "pos", *[F.when(F.col(f"_at_{n}") > 0, F.try_element_at("cells", F.col(f"_at_{n}"))).alias(n) for n in names]
     )
 
 
-def _cell(name: str) -> Column:
-    position = F.array_position("_names", F.lit(name)).cast("int")
-    return F.when(position > 0, F.try_element_at("cells", position))
-
-
 def notice_header(header: str) -> Column:
     """Normalised header names; the first one with both ``folio`` and ``fiscal`` counts as ``folio_fiscal``."""
     names = F.transform(F.col(header), lambda c: normalize_identifier_column(F.coalesce(c, F.lit(""))))
@@ -103,6 +103,5 @@ def notice_header(header: str) -> Column:
 def read_notices(rows: DataFrame, headers: DataFrame | None = None) -> DataFrame:
     """Payment notices as (file, pos, folio_fiscal, referencia, importe, clc)."""
     found = locate_notice(rows) if headers is None else headers
-    named = found.withColumn("_tidy", notice_header("header"))
-    usable = named.filter(has_names(F.col("_tidy"), PAYMENT_COLUMNS)).drop("_tidy")
-    return rows_below(rows, usable, PAYMENT_COLUMNS, header=notice_header)
+    named = found.select("file", "header_pos", once(notice_header("header")).alias("header"))
+    return rows_below(rows, named.filter(has_names(F.col("header"), PAYMENT_COLUMNS)), PAYMENT_COLUMNS)
