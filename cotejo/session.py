@@ -5,9 +5,9 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-def local_session(app: str, cores: str = "8", shuffle_partitions: int = 8) -> SparkSession:
+def local_session(app: str, cores: str = "8", shuffle_partitions: int = 8, **settings: str) -> SparkSession:
     """Session for tests and benchmarks on one machine."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -16,8 +16,10 @@ def local_session(app: str, cores: str = "8", shuffle_partitions: int = 8) -> Sp
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    for key, value in settings.items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
 
 
 def shared_folder(spark: SparkSession) -> str:
