@@ -71,21 +71,23 @@ def clean_accounts(accounts: DataFrame, invoices: DataFrame, **options) -> DataF
     return backfill_orders(accounts, invoices, **options).withColumn("Total", parse_currency("`Total`"))
 
 
+def enrich_orders(
+    priced: DataFrame, invoices: DataFrame, accounts: DataFrame, penalties: DataFrame, file_date, **options
+) -> DataFrame:
+    """Orders with invoice, account status, penalty and snapshot: three lookups in one pass over the orders."""
+    lookups = [(invoices, ORDER_INVOICE), (accounts, ORDER_ACCOUNT), (penalties, ORDER_PENALTY)]
+    return populate_all(priced, lookups, **options).withColumn("file_date", stamp(file_date))
+
+
 def integrate(
     orders: DataFrame, invoices: DataFrame, accounts: DataFrame, penalties: DataFrame, file_date, **options
 ) -> Integrated:
-    """All three cleaned tables; the orders carry invoice, status, penalty and snapshot.
-
-    The three lookups on the order key share one pass over the orders. They read the invoices before the delivery
-    note is looked up, which plays no part in them.
-    """
+    """All three cleaned tables. The lookups read the invoices without the delivery note, which they do not need."""
     priced = with_amount(orders)
     single = unique_invoices(invoices)
     states = clean_accounts(accounts, single, **options)
-    lookups = [(single, ORDER_INVOICE), (states, ORDER_ACCOUNT), (penalties, ORDER_PENALTY)]
-    enriched = populate_all(priced, lookups, **options)
     return Integrated(
-        enriched.withColumn("file_date", stamp(file_date)),
+        enrich_orders(priced, single, states, penalties, file_date, **options),
         states,
         populate(single, priced, INVOICE_CHECK, **options),
     )

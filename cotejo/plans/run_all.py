@@ -10,10 +10,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from cotejo.operators.history import prepare_history
-from cotejo.plans.integrate import integrate
+from cotejo.plans.integrate import clean_accounts, clean_invoices, enrich_orders, with_amount
 from cotejo.plans.invoices import load_invoices
 from cotejo.plans.sql_folder import SqlResult, run_sql_folder
-from cotejo.sinks.writers import append_history, write_sheets
+from cotejo.sinks.writers import append_history, write_sheet
 from cotejo.values import HISTORY_KEY
 
 
@@ -32,11 +32,14 @@ def run_all(
 ) -> list[SqlResult]:
     """Tables under ``root`` per sheet and group, history rows in ``table``; returns the SQL results."""
 
-    def stored(sheet: str) -> DataFrame:
-        return spark.read.parquet(f"{root}/{sheet}/group_id={group_id}")
 
-    write_sheets({"loaded": load_invoices(inputs.catalogs, inputs.xml_lines, inputs.tax_status)}, root, group_id)
-    result = integrate(inputs.orders, stored("loaded"), inputs.accounts, inputs.penalties, file_date)
-    write_sheets({"orders": result.orders, "accounts": result.accounts, "invoices": result.invoices}, root, group_id)
-    append_history(spark, table, prepare_history([stored("orders")]), HISTORY_KEY)
+    def keep(sheet: str, frame: DataFrame) -> DataFrame:
+        return write_sheet(frame, root, sheet, group_id)
+
+    loaded = keep("loaded", load_invoices(inputs.catalogs, inputs.xml_lines, inputs.tax_status))
+    priced = with_amount(inputs.orders)
+    invoices = keep("invoices", clean_invoices(loaded, priced))
+    accounts = keep("accounts", clean_accounts(inputs.accounts, invoices))
+    orders = keep("orders", enrich_orders(priced, invoices, accounts, inputs.penalties, file_date))
+    append_history(spark, table, prepare_history([orders]), HISTORY_KEY)
     return run_sql_folder(spark, sql_folder) if sql_folder else []

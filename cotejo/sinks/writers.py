@@ -6,24 +6,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cotejo.operators.history import check_key, new_rows
 from cotejo.operators.setops import concat_by_header
-from cotejo.operators.shape import has_values
-
-
-def write_sheets(sheets: Mapping[str, DataFrame], root: str, group_id: str) -> list[str]:
-    """Each table that holds rows to ``root/<sheet>/group_id=<id>``, replacing that group only."""
-    written = []
-    for sheet, frame in sheets.items():
-        if not has_values(frame):
-            continue
-        (
-            frame.withColumn("group_id", F.lit(group_id))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("group_id")
-            .parquet(f"{root}/{sheet}")
-        )
-        written.append(sheet)
-    return written
+
+
+def write_sheet(frame: DataFrame, root: str, sheet: str, group_id: str) -> DataFrame:
+    """Replace one group of a sheet dataset (``root/<sheet>/group_id=<id>``) and read it back.
+
+    A table without rows leaves a group without rows; asking first whether it has any would run the whole plan twice.
+    """
+    path = f"{root}/{sheet}/group_id={group_id}"
+    frame.write.mode("overwrite").parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def write_sheets(sheets: Mapping[str, DataFrame], root: str, group_id: str) -> dict[str, DataFrame]:
+    return {sheet: write_sheet(frame, root, sheet, group_id) for sheet, frame in sheets.items()}
 
 
 def write_by_header(frames: Sequence[DataFrame], root: str, name: str) -> list[str]:

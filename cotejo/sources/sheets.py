@@ -17,7 +17,7 @@ NAMED_ROWS = 11
 EXACT_ROWS = 11
 TOKEN_ROWS = 30
 # Cells that mark the header of a payment notice.
-FOLIO_PATTERN = r"(?i)folio\s*fiscal"
+FOLIO_PATTERN = rf"folio{SPACE}*fiscal"
 NOTICE_TOKENS = ("referencia", "importe", "clc")
 # Fixed value: the character put between the cells of a row.
 CELL = "\ue010"
@@ -34,15 +34,6 @@ def equals_names(cells: Column, names: Sequence[str]) -> Column:
     return filled == F.array(*[F.lit(n) for n in names])
 
 
-def has_notice_tokens(cells: Column) -> Column:
-    """Tested on the row as one text, which is cheap on the data rows that lack the words."""
-    row = F.lower(F.concat(F.lit(CELL), F.array_join(cells, CELL, ""), F.lit(CELL)))
-    rule = row.rlike(FOLIO_PATTERN)
-    for token in NOTICE_TOKENS:
-        rule = rule & row.rlike(rf"{CELL}{SPACE}*{token}{SPACE}*{CELL}")
-    return rule
-
-
 def header_rows(rows: DataFrame, rule: Column, limit: int) -> DataFrame:
     """(file, header_pos, header): the first row within the limit that satisfies the rule."""
     return (
@@ -72,7 +63,15 @@ def locate_exact(rows: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def locate_notice(rows: DataFrame) -> DataFrame:
-    return header_rows(rows, has_notice_tokens(F.col("cells")), TOKEN_ROWS)
+    """Header of a payment notice; plain word searches keep the cell-wise test away from nearly all data rows."""
+    row = F.lower(F.array_join("cells", CELL))
+    likely = F.lit(True)
+    for word in ("folio", "fiscal", *NOTICE_TOKENS):
+        likely = likely & F.contains(row, F.lit(word))
+    texts = F.transform("cells", lambda c: F.lower(strip(F.coalesce(c, F.lit("")))))
+    candidates = rows.filter((F.col("pos") < TOKEN_ROWS) & likely).select("*", once(texts).alias("_texts"))
+    rule = has_names(F.col("_texts"), NOTICE_TOKENS) & F.array_join("_texts", CELL).rlike(FOLIO_PATTERN)
+    return header_rows(candidates, rule, TOKEN_ROWS)
 
 
 def rejected_files(rows: DataFrame, headers: DataFrame) -> DataFrame:
@@ -91,17 +90,19 @@ def rows_below(rows: DataFrame, headers: DataFrame, names: Sequence[str]) -> Dat
     )
 
 
-def notice_header(header: str) -> Column:
+def normal_notice_headers(headers: DataFrame) -> DataFrame:
     """Normalised header names; the first one with both ``folio`` and ``fiscal`` counts as ``folio_fiscal``."""
-    names = F.transform(F.col(header), lambda c: normalize_identifier_column(F.coalesce(c, F.lit(""))))
-    candidates = F.filter(names, lambda c: F.contains(c, F.lit("folio")) & F.contains(c, F.lit("fiscal")))
-    first = F.try_element_at(candidates, F.lit(1))
-    renamed = F.transform(names, lambda c: F.when(c == first, F.lit("folio_fiscal")).otherwise(c))
-    return F.when(F.array_contains(names, "folio_fiscal"), names).otherwise(renamed)
+    names = F.transform("header", lambda c: normalize_identifier_column(F.coalesce(c, F.lit(""))))
+    tidy = headers.select("file", "header_pos", once(names).alias("_names"))
+    candidates = F.filter("_names", lambda c: F.contains(c, F.lit("folio")) & F.contains(c, F.lit("fiscal")))
+    named = tidy.withColumn("_first", F.try_element_at(candidates, F.lit(1)))
+    renamed = F.transform("_names", lambda c: F.when(c == F.col("_first"), F.lit("folio_fiscal")).otherwise(c))
+    has_name = F.array_contains("_names", "folio_fiscal")
+    return named.select("file", "header_pos", F.when(has_name, F.col("_names")).otherwise(renamed).alias("header"))
 
 
 def read_notices(rows: DataFrame, headers: DataFrame | None = None) -> DataFrame:
     """Payment notices as (file, pos, folio_fiscal, referencia, importe, clc)."""
     found = locate_notice(rows) if headers is None else headers
-    named = found.select("file", "header_pos", once(notice_header("header")).alias("header"))
+    named = normal_notice_headers(found)
     return rows_below(rows, named.filter(has_names(F.col("header"), PAYMENT_COLUMNS)), PAYMENT_COLUMNS)

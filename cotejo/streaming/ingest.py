@@ -12,13 +12,14 @@ from cotejo.sources.datasets import read_dataset
 from cotejo.values import HISTORY_KEY
 
 
-def stream_documents(spark: SparkSession, path: str, pattern: str = "*.xml") -> DataFrame:
+def stream_documents(spark: SparkSession, path: str, pattern: str = "*.xml", files_per_batch: int = 100_000) -> DataFrame:
     """Whole documents as they arrive: (file_name, text)."""
     files = (
         spark.readStream.format("text")
         .option("wholetext", True)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
+        .option("maxFilesPerTrigger", files_per_batch)
         .load(path)
     )
     return files.select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("text"))
