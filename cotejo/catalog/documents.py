@@ -38,9 +38,10 @@ def _csv_lines(t):
                    ELSE o_orderpriority END AS note,
               CASE o_orderkey % 10 WHEN 0 THEN 'plain' WHEN 1 THEN 'unquoted' WHEN 2 THEN 'doubled' WHEN 3 THEN 'escaped'
                    WHEN 4 THEN 'marker' WHEN 8 THEN 't' || chr(92) WHEN 9 THEN ' padded ' END AS kind
-       FROM orders WHERE o_orderkey % 10 NOT IN (5, 7)"""
+       FROM orders WHERE o_orderkey % 10 NOT IN (5, 7)""",
+    name="csv_dialect",
 )
-def csv_dialect_lines(t):
+def csv_lines(t):
     return csv_dialect.parse_lines(_csv_lines(t), ["id", "note", "kind"])
 
 

@@ -497,3 +497,64 @@ def new_documents_only(t):
         F.format_string("f%d.xml", F.col("p_partkey") % 500).alias("Archivo"),
     )
     return lookup.new_documents(docs, known)
+
+
+def _stage_inputs(t):
+    """Catalog rows numbered by part, XML lines and tax status of the parts."""
+    catalog = t["in_invoices"].drop("UUID", "Factura", "Folio").withColumn("Factura", F.concat(F.lit("F"), _part_of("_row_no")))
+    return catalog, _xml_lines(t).drop("Descripcion"), _tax_status(t)
+
+
+def _part_of(row_no):
+    return F.floor(F.col(row_no) / 100_000_000).cast("string")
+
+
+@register(
+    f"""WITH {CATALOG_SQL.replace("catalog AS", "unused AS").split("joined AS")[0].rstrip().rstrip(",")},
+       struck AS (SELECT DISTINCT 'U' || p_partkey AS uuid FROM part WHERE p_size % 2 = 0 AND p_partkey % 10 <> 0),
+       stacked AS (
+        SELECT "Referencia", 'F' || CAST(floor(_row_no / 100000000) AS BIGINT) AS "Factura", "Total",
+               "UUID Descripción" AS state, _row_no FROM in_invoices),
+       loaded AS (
+        SELECT c."Referencia", c."Factura", c._row_no, f."UUID", f."Folio",
+               CASE WHEN f."UUID" IN (SELECT uuid FROM struck) THEN 'Cancelado' ELSE state END AS state
+        FROM stacked c LEFT JOIN firsts f ON c."Factura" IS NOT DISTINCT FROM f."Folio"),
+       single AS (
+        SELECT * FROM (SELECT * REPLACE (regexp_replace("Referencia", '\s+', '', 'g') AS "Referencia") FROM loaded
+                       WHERE state = 'Vigente')
+        QUALIFY row_number() OVER (PARTITION BY "Referencia", "Factura" ORDER BY _row_no) = 1),
+       {BACKFILLED},
+       bills AS (SELECT "Referencia", string_agg(coalesce("UUID", 'nan'), ',' ORDER BY _row_no, coalesce("UUID", 'nan')) AS uuid,
+                        string_agg(coalesce("Folio", 'nan'), ',' ORDER BY _row_no, coalesce("Folio", 'nan')) AS folio
+                 FROM single GROUP BY 1),
+       states AS (SELECT "Orden de suministro" AS o,
+                         string_agg(coalesce("Estado de la factura", 'nan'), ','
+                                    ORDER BY _row_no, coalesce("Estado de la factura", 'nan')) AS st
+                  FROM accounts_done WHERE "Orden de suministro" IS NOT NULL GROUP BY 1),
+       fines AS (SELECT "ORDEN DE SUMINISTRO" AS o, string_agg("PENA", ',' ORDER BY _row_no, "PENA") AS pena,
+                        string_agg("OFICIO", ',' ORDER BY _row_no, "OFICIO") AS oficio FROM in_penalties GROUP BY 1),
+       batch AS (
+        SELECT p.numero_orden_suministro, TIMESTAMP '2024-01-04 00:00:00' AS file_date,
+               CAST(p.cantidad_solicitada AS BIGINT) AS cantidad_solicitada,
+               p.precio_unitario * CAST(p.cantidad_solicitada AS DOUBLE) AS importe,
+               nullif(coalesce(b.uuid, 'no localizado'), 'nan') AS uuid,
+               nullif(coalesce(b.folio, 'no localizado'), 'nan') AS folio,
+               nullif(coalesce(s.st, 'no localizado'), 'nan') AS estado_de_la_factura, TRY_CAST(f.pena AS DOUBLE) AS pena,
+               coalesce(f.oficio, 'no localizado') AS oficio
+        FROM in_orders p LEFT JOIN bills b ON p.numero_orden_suministro = b."Referencia"
+        LEFT JOIN states s ON p.numero_orden_suministro = s.o LEFT JOIN fines f ON p.numero_orden_suministro = f.o)
+       SELECT numero_orden_suministro, file_date, estado_de_la_factura, importe, NULL AS cantidad_solicitada, NULL AS uuid,
+              NULL AS folio, NULL AS pena, NULL AS oficio FROM in_history
+       UNION ALL
+       SELECT numero_orden_suministro, file_date, estado_de_la_factura, importe, cantidad_solicitada, uuid, folio, pena, oficio
+       FROM batch b WHERE NOT EXISTS (SELECT 1 FROM in_history h WHERE h.numero_orden_suministro = b.numero_orden_suministro
+                                      AND h.file_date = b.file_date)"""
+)
+def chained_stages(t):
+    """Invoice load, integration and history load as one plan; ``run_all`` stores each stage instead."""
+    catalog, xml, status = _stage_inputs(t)
+    loaded = invoice_load([catalog], xml, status)
+    done = plan.integrate(t["in_orders"], loaded, t["in_accounts"], t["in_penalties"], "2024-01-04 00:59:00", **WIDE)
+    batch = done.orders.drop("precio_unitario", "orden_remision", "numero_contrato")
+    target = t["in_history"].drop("fechaaltatrunc")
+    return history.load_history(target, [batch]).drop("_row_no")

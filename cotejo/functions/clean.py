@@ -110,7 +110,7 @@ def fill_dates_by_name(df: DataFrame) -> DataFrame:
         if isinstance(field.dataType, (TimestampType, TimestampNTZType, DateType)):
             sentinel = F.lit(NO_DATE).cast("timestamp_ntz").cast(field.dataType)
         elif isinstance(field.dataType, StringType):
-            sentinel = F.lit(f"{NO_DATE:%Y-%m-%d %H:%M:%S}")
+            sentinel = F.lit(NO_DATE)
         else:
             continue
         filled[field.name] = F.coalesce(F.col(f"`{field.name}`"), sentinel)
@@ -133,8 +133,12 @@ def dashed_date(c) -> Column:
 
 
 def hour_stamp(c) -> Column:
-    """Timestamp as ``yyyy-MM-dd-HH``."""
-    return F.date_format(as_column(c), "yyyy-MM-dd-HH")
+    """Timestamp as ``yyyy-MM-dd-HH``, read off its text so that no time zone plays a part."""
+    return F.translate(F.substring(as_column(c).cast("string"), 1, 13), " ", "-")
+
+
+def hour_text(c) -> Column:
+    return F.substring(as_column(c).cast("string"), 12, 2)
 
 
 def parse_hour_stamp(c) -> Column:

@@ -124,8 +124,8 @@ def unexpected_files(expected: DataFrame, present: DataFrame, name: str = "name"
 
 
 def pending_groups(groups: DataFrame, ledger: DataFrame, key: str, modified: str = "modified") -> DataFrame:
-    """Groups not recorded in the ledger with the same modification time (up to one second)."""
+    """Groups not recorded in the ledger with the same modification time (less than a second apart)."""
     seen = ledger.select(F.col(key).alias("_key"), F.col(modified).alias("_seen"))
-    gap = F.abs(F.unix_micros(F.col(modified).cast("timestamp")) - F.unix_micros(F.col("_seen").cast("timestamp")))
-    condition = (F.col(key) == F.col("_key")) & (gap < LEDGER_TOLERANCE_SECONDS * 1_000_000)
-    return groups.join(seen, condition, "left_anti")
+    tolerance = F.expr(f"interval '{LEDGER_TOLERANCE_SECONDS}' second")
+    same = (F.col(modified) < F.col("_seen") + tolerance) & (F.col(modified) > F.col("_seen") - tolerance)
+    return groups.join(seen, (F.col(key) == F.col("_key")) & same, "left_anti")

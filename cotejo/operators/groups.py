@@ -9,7 +9,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cotejo.functions.clean import hour_stamp
+from cotejo.functions.clean import hour_stamp, hour_text
 from cotejo.operators.skew import join_unique, key_match
 from cotejo.values import GROUP_SPAN_HOURS
 
@@ -88,7 +88,7 @@ def snapshot_groups(
     )
     return rows.select(
         *names,
-        F.concat(hour_stamp("anchor"), F.lit("_"), F.date_format("last_ts", "HH")).alias("group_id"),
+        F.concat(hour_stamp("anchor"), F.lit("_"), hour_text("last_ts")).alias("group_id"),
         F.col("anchor").alias("first_ts"),
         "last_ts",
         *[F.col(f"`{c}`.path").alias(c) for c in categories],

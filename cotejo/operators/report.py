@@ -48,7 +48,7 @@ def snapshot_compare(
         raise ValueError("previous and current snapshot must differ")
     status = resolve_column(df, "estado", override=status)
     value = _numeric_amount(df, amount)
-    sides = {"previous": F.lit(previous).cast("timestamp_ntz"), "current": F.lit(current).cast("timestamp_ntz")}
+    sides = {n: F.lit(str(v)).cast("timestamp_ntz") for n, v in (("previous", previous), ("current", current))}
     sums = [
         F.sum(F.when(rule & (F.col(snapshot) == stamp), value)).alias(f"{period}_{side}")
         for period, rule in _period_filters(date, cutoff).items()

@@ -1,5 +1,6 @@
 """Integration of orders with invoices, portal accounts and penalties into one row per order."""
 
+import datetime
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
@@ -95,4 +96,5 @@ def integrate(
 
 def stamp(file_date):
     """The snapshot: the group's date cut to the hour."""
-    return F.date_trunc("hour", F.lit(file_date).cast("timestamp_ntz")).cast("timestamp_ntz")
+    moment = datetime.datetime.fromisoformat(str(file_date)).replace(minute=0, second=0, microsecond=0)
+    return F.lit(moment.isoformat(" ")).cast("timestamp_ntz")

@@ -1,7 +1,5 @@
 """Session helpers."""
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -20,12 +18,3 @@ def local_session(app: str, cores: str = "8", shuffle_partitions: int = 8, **set
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach; a temporary one only where the cluster names none."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        folder = tempfile.mkdtemp(prefix="cotejo-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder

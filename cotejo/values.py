@@ -1,7 +1,5 @@
 """Fixed values that results must reproduce literally."""
 
-import datetime
-
 # Texts written into or compared with data.
 NOT_FOUND = "no localizado"
 MISSING_TEXT = "nan"
@@ -17,7 +15,7 @@ NULL_MARKERS = ("", "nat", "nan", "none", "null", "n/a", "<na>")
 PAYMENT_NULL_MARKERS = ("", "nat", "nan", "none", "null")
 
 # Date sentinel, snapshot span, report and portal limits, ledger tolerance.
-NO_DATE = datetime.datetime(1900, 1, 1)
+NO_DATE = "1900-01-01 00:00:00"
 GROUP_SPAN_HOURS = 2
 REPORT_ROWS = 30
 PORTAL_ROW_CAP = 100
