@@ -520,7 +520,7 @@ def _part_of(row_no):
                CASE WHEN f."UUID" IN (SELECT uuid FROM struck) THEN 'Cancelado' ELSE state END AS state
         FROM stacked c LEFT JOIN firsts f ON c."Factura" IS NOT DISTINCT FROM f."Folio"),
        single AS (
-        SELECT * FROM (SELECT * REPLACE (regexp_replace("Referencia", '\s+', '', 'g') AS "Referencia") FROM loaded
+        SELECT * FROM (SELECT * REPLACE (regexp_replace("Referencia", '\\s+', '', 'g') AS "Referencia") FROM loaded
                        WHERE state = 'Vigente')
         QUALIFY row_number() OVER (PARTITION BY "Referencia", "Factura" ORDER BY _row_no) = 1),
        {BACKFILLED},

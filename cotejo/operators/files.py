@@ -4,7 +4,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cotejo.functions.clean import as_column, dashed_date, parse_hour_stamp
+from cotejo.functions.clean import as_column, dashed_date, once, parse_hour_stamp
 from cotejo.operators.lookup import anti_join
 from cotejo.values import LEDGER_TOLERANCE_SECONDS
 
@@ -28,7 +28,7 @@ def extension(name) -> Column:
 def inventory(files: DataFrame, extensions: Sequence[str], path: str = "path") -> DataFrame:
     """Adds name, ext and the hour in the name; drops temporary files and other extensions."""
     return (
-        files.withColumn("name", base_name(path))
+        files.select("*", once(base_name(path)).alias("name"))
         .withColumn("ext", extension("name"))
         .filter(F.col("ext").isin(*extensions) & ~F.startswith("name", F.lit("~")))
         .withColumn("ts", parse_hour_stamp(F.substring("name", 1, 13)))
