@@ -21,7 +21,6 @@ LINE_NO = "(l_partkey * 1000000 + l_suppkey % 1000000) * 100 + CAST(l_quantity A
 # One part of a lookup covers the row numbers of this many parts (the unit of LINE_NO above).
 LINE_PART_WIDTH = 50 * 100_000_000
 LINE_UUID = "'U' || CAST(l_partkey AS STRING) || '-' || CAST(l_suppkey AS STRING)"
-DAY_TEXT = "CAST(day({d}) AS STRING) || '/' || CAST(month({d}) AS STRING) || '/' || CAST(year({d}) AS STRING)"
 MONEY_TEXT = """'$' || CASE WHEN l_extendedprice >= 1000
     THEN CAST(CAST(floor(l_extendedprice / 1000) AS BIGINT) AS STRING) || ',' ||
          lpad(CAST(CAST(floor(l_extendedprice) AS BIGINT) % 1000 AS STRING), 3, '0')

@@ -58,7 +58,7 @@ EXACT = ["Folio", "Monto", "Nota"]
 )
 def header_exact(t):
     rows = _catalog_rows(t)
-    return sheets.rows_below(rows, sheets.locate_exact(rows, EXACT), EXACT).filter("pos > 0")
+    return sheets.rows_below(rows, sheets.locate_exact(rows, EXACT), EXACT)
 
 
 @register("""SELECT 'sheet' || o_orderkey || '.csv' AS file FROM orders WHERE o_orderkey % 7 = 0 OR o_orderkey % 2 = 1""")

@@ -1,6 +1,6 @@
 """Row filters and splits."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame
 
 from cotejo.functions.clean import to_number
 from cotejo.operators.shape import quoted
