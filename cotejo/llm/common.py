@@ -42,13 +42,12 @@ def partitions(session: SparkSession) -> int:
 
 
 def ranked(df: DataFrame, group: list[str], order: list[Column], rows_per_cell: int = 50_000) -> DataFrame:
-    """Adds ``rank``: gapless from 0 within each group, without bringing a group into one task.
+    """Adds ``rank``: gapless from 0 within each group, without bringing a group into one task. ``df`` should be stored.
 
     Rows are spread over cells by a hash of the columns in ``order``; each cell is numbered on its own and the counts of
     the cells before it are added. A group of any size is thus numbered by as many tasks as it has cells. Rows equal in
     ``order`` share a cell and are numbered among themselves in any order.
     """
-    df = stored(df)
     cells = max(1, df.count() // rows_per_cell)
     df = df.withColumn("_cell", F.pmod(F.xxhash64(*order), F.lit(cells)))
     keys = [*group, "_cell"]

@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cotejo.llm import quality_classifier, quality_rules, substring_dedup
+from cotejo.llm import line_dedup, packing, quality_classifier, quality_rules, simhash, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -26,6 +26,24 @@ def op3_substring_dedup(table):
     return substring_dedup.dedup(table("documents"))
 
 
+@query
+def op4_simhash(table):
+    return simhash.near_classes(table("documents"))
+
+
+@query
+def op5_packing(table):
+    return packing.pack(table("documents"))
+
+
+@query
+def op7_line_dedup(table):
+    return line_dedup.removals(table("documents"))
+
+
 @query
 def op9_quality_classifier(table):
     return quality_classifier.classify(table("documents"), quality_classifier.fitted(table("documents"), table("labels")))
+
+
+SQL["op7_line_dedup"] = line_dedup.SQL
