@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cotejo.llm import line_dedup, packing, quality_classifier, quality_rules, simhash, substring_dedup
+from cotejo.llm import chat_format, line_dedup, packing, quality_classifier, quality_rules, sharding, simhash, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -41,9 +41,23 @@ def op7_line_dedup(table):
     return line_dedup.removals(table("documents"))
 
 
+@query
+def op8_sharding(table):
+    return sharding.shard(table("documents"))
+
+
 @query
 def op9_quality_classifier(table):
     return quality_classifier.classify(table("documents"), quality_classifier.fitted(table("documents"), table("labels")))
 
 
+@query
+def op10_chat_format(table):
+    given = table("conversations").select("conv_id", "turn", "role", "text")
+    hard = r"\### Assistant: </turn> ok"
+    more = given.sparkSession.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], given.schema)
+    return chat_format.digests(chat_format.render(chat_format.events(given.union(more))))
+
+
 SQL["op7_line_dedup"] = line_dedup.SQL
+SQL["op10_chat_format"] = chat_format.SQL
