@@ -24,7 +24,7 @@ def stored(df: DataFrame) -> DataFrame:
 
 def small_batches(session: SparkSession) -> None:
     """Bound what one Arrow batch holds, so that very long texts don't fill a worker's memory."""
-    session.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    session.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
 def identified(docs: DataFrame, *more: str) -> DataFrame:

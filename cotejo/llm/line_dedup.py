@@ -66,7 +66,7 @@ def _marked(docs: DataFrame, lines: int) -> DataFrame:
 
 
 def dedup(docs: DataFrame, lines: int = LINES) -> DataFrame:
-    """The documents with all their columns; text has lost its repeated lines."""
+    """The documents with all their columns; text has lost its repeated lines, and an ``n_chars`` column counts anew."""
     small_batches(docs.sparkSession)
     place, count = docs.columns.index("text"), len(docs.columns)
 
@@ -77,7 +77,10 @@ def dedup(docs: DataFrame, lines: int = LINES) -> DataFrame:
             columns[place] = pa.array(texts, batch.schema.field(place).type)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:count])
 
-    return _marked(docs, lines).mapInArrow(run, docs.schema)
+    out = _marked(docs, lines).mapInArrow(run, docs.schema)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out
 
 
 def removals(docs: DataFrame, lines: int = LINES) -> DataFrame:

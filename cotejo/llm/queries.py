@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cotejo.llm import chat_format, line_dedup, packing, quality_classifier, quality_rules, sharding, simhash, substring_dedup
+from cotejo.llm import chat_format, decontaminate, line_dedup, packing, personal_data, quality_classifier, quality_rules, sharding, simhash, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -16,6 +16,11 @@ def query(function: Callable[[Callable[[str], DataFrame]], DataFrame]):
     return function
 
 
+@query
+def op1_decontamination(table):
+    return decontaminate.holders(table("documents"), table("benchmark"))
+
+
 @query
 def op2_quality_rules(table):
     return quality_rules.judge(table("documents"), quality_rules.fitted(table("documents"), table("labels")))
@@ -36,6 +41,11 @@ def op5_packing(table):
     return packing.pack(table("documents"))
 
 
+@query
+def op6_personal_data(table):
+    return personal_data.detect(table("documents"), personal_data.fitted(table("documents")))
+
+
 @query
 def op7_line_dedup(table):
     return line_dedup.removals(table("documents"))
@@ -59,5 +69,6 @@ def op10_chat_format(table):
     return chat_format.digests(chat_format.render(chat_format.events(given.union(more))))
 
 
+SQL["op1_decontamination"] = decontaminate.SQL
 SQL["op7_line_dedup"] = line_dedup.SQL
 SQL["op10_chat_format"] = chat_format.SQL
