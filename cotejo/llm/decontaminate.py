@@ -21,6 +21,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from cotejo.functions.clean import once
 from cotejo.llm.common import NO_ID, identified, real_id, stored
 
 WIDTH, SHARE = 5, 0.8
@@ -46,13 +47,13 @@ def shingle_hashes(column: str, width: int) -> Column:
 
 
 def _hashed(df: DataFrame, width: int, *keep: str) -> DataFrame:
-    hashed = df.withColumn("_words", F.transform(words("text"), lambda x: F.xxhash64(x)))
-    return hashed.select(*keep, shingle_hashes("_words", width).alias("hashes"))
+    hashed = df.withColumn("_words", once(F.transform(words("text"), lambda x: F.xxhash64(x))))
+    return hashed.select(*keep, once(shingle_hashes("_words", width)).alias("hashes"))
 
 
 def _sketches(items: DataFrame, width: int, share: float) -> DataFrame:
     """(class, item, need, hash): need is the least number of shingles a holder has."""
-    own = _hashed(items, width, "item").withColumn("hashes", F.array_sort(F.array_distinct("hashes")))
+    own = _hashed(items, width, "item").withColumn("hashes", once(F.array_sort(F.array_distinct("hashes"))))
     size = own.withColumn("n", F.size("hashes")).where("n > 0")
     classed = size.withColumn("class", F.ceil(F.log2("n")).cast("int"))
     enough = F.floor(F.lit(1 - share + 1e-9) * F.pow(F.lit(2), F.col("class"))).cast("int") + 1
@@ -88,10 +89,10 @@ def holders(docs: DataFrame, items: DataFrame, share: float = SHARE) -> DataFram
         some = items.where(F.col("width") == width)
         candidates = _candidates(docs, some, width, share)
         wanted = candidates.join(some.select(F.col("item").alias("_item"), "item_id", "text"), F.col("item") == F.col("_item"))
-        wanted = wanted.withColumn("_own", words("text")).select(F.col("doc_id").alias("_doc"), F.struct("item_id", shingle_texts("_own", width).alias("shingles")).alias("_item"))
+        wanted = wanted.withColumn("_own", once(words("text"))).select(F.col("doc_id").alias("_doc"), F.struct("item_id", shingle_texts("_own", width).alias("shingles")).alias("_item"))
         per_doc = wanted.groupBy("_doc").agg(F.collect_list("_item").alias("_items"))  # bounded by the items
-        both = docs.join(per_doc, F.col("doc_id") == F.col("_doc")).withColumn("_words", words("text"))
-        checked = both.select("doc_id", "_items", shingle_texts("_words", width).alias("_has"))
+        both = docs.join(per_doc, F.col("doc_id") == F.col("_doc")).withColumn("_words", once(words("text")))
+        checked = both.select("doc_id", "_items", once(shingle_texts("_words", width)).alias("_has"))
         counted = checked.select("doc_id", F.explode(F.transform("_items", lambda x: F.struct(x["item_id"].alias("item_id"), F.size(F.array_intersect(x["shingles"], F.col("_has"))).alias("n_shared"), F.size(x["shingles"]).alias("n_item")))).alias("x"))
         found.append(counted.select("doc_id", "x.item_id", "x.n_shared", "x.n_item").where(F.col("n_shared") >= F.lit(share - 1e-9) * F.col("n_item")))
     if not found:

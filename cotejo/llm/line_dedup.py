@@ -16,6 +16,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from cotejo.functions.clean import once
 from cotejo.llm.batches import SPACES
 from cotejo.llm.common import NO_ID, identified, real_id, small_batches
 from cotejo.operators.skew import join_unique
@@ -27,7 +28,7 @@ WORDY = r"[^\x20\x09-\x0D]"
 def windows(docs: DataFrame, lines: int = LINES) -> DataFrame:
     """(doc_id, place, h1, h2): place counts the lines with words of a document from 0."""
     wordy = F.filter(F.split("text", "\n"), lambda x: x.rlike(WORDY))
-    rows = docs.select("doc_id", wordy.alias("lines")).where(F.size("lines") >= lines)
+    rows = docs.select("doc_id", once(wordy).alias("lines")).where(F.size("lines") >= lines)
 
     def hashed(place: Column) -> Column:
         own = [F.element_at("lines", place + i + 1) for i in range(lines)]
