@@ -1,6 +1,6 @@
 """Substring dedup: words covered by a window of 20 words whose sequence also starts earlier in the corpus.
 
-Super-k-mer partitioning. The minimiser of a window is the least hash among its runs of five words; it depends on the
+Super-k-mer partitioning. The minimiser of a window is the least hash among its runs of four words; it depends on the
 window's words alone, so equal windows have equal minimisers. Consecutive windows of a document that share a minimiser
 travel together, as one string of their words, to that minimiser's bucket. There the windows are cut out again and
 sorted as texts with their places: in a run of equal windows all but the first place are repeats. Windows are compared
@@ -29,11 +29,12 @@ from pyspark.sql import DataFrame, functions as F
 from cotejo.llm.batches import Words, mixed, slices
 from cotejo.llm.common import identified, partitions, real_id, small_batches, stored
 
-WINDOW, MINIMISER = 20, 5
-BUCKETS_PER_PARTITION = 8
+WINDOW, MINIMISER = 20, 4
+BUCKETS_PER_PARTITION = 2
 LONGEST = 4096  # windows in one string; longer ones are cut
 HOT = 20_000  # strings of one minimiser that a bucket sorts itself
-REMEMBERED = 40 << 20  # bytes of strings that a task remembers
+REMEMBERED = 16 << 20  # bytes of strings that a task remembers
+GATHERED = 16 << 20  # bytes of strings that a task makes into blocks at a time
 BLOCK = "bucket int, block binary, doc_id bigint, start int, end int"
 COVERED = "doc_id bigint, start int, end int"
 
@@ -85,12 +86,29 @@ def _sliding(x: np.ndarray, size: int, of) -> np.ndarray:
 def _cut(docs: DataFrame, window: int, buckets: int) -> DataFrame:
     """Strings in compressed blocks by bucket, and places already known to repeat."""
 
+    kinds = (pa.int32(), pa.binary(), pa.int64(), pa.int32(), pa.int32())
+    names = ["bucket", "block", "doc_id", "start", "end"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3)
         seen: dict[bytes, tuple[int, int]] = {}
-        held = 0
+        held = gathered = 0
+        waiting: list[tuple[np.ndarray, ...]] = []  # bucket, doc_id, start, twice and minimiser of gathered strings
+        texts: list[bytes] = []
+
+        def blocks() -> pa.RecordBatch:
+            bucket, *head = (np.concatenate(x) for x in zip(*waiting))
+            order = np.argsort(bucket, kind="stable")
+            edges = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
+            out = []
+            for x, y in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                own = order[x:y]
+                out.append(pack.compress(_head(*[column[own] for column in head]) + b"\n".join(texts[i] for i in own.tolist())))
+            none = [None] * len(out)
+            return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip((bucket[order[edges[:-1]]], out, none, none, none), kinds)], names=names)
+
         for batch in batches:
-            for low, end, data, offsets in slices(batch.column(1), 8 << 20):
+            for low, end, data, offsets in slices(batch.column(1)):
                 words = Words(data, offsets)
                 begin, stop, least, twice = strings(words, window)
                 if not len(begin):
@@ -99,7 +117,7 @@ def _cut(docs: DataFrame, window: int, buckets: int) -> DataFrame:
                 after = np.zeros(len(data), bool)
                 after[1:] = words.inside[:-1] & ~words.inside[1:]
                 kept = words.inside | after
-                joined = np.where(words.inside, data, 32)[kept].tobytes()
+                joined = np.where(words.inside, data, np.uint8(32))[kept].tobytes()
                 place = np.concatenate([[0], np.cumsum(kept)])
                 froms, tos = place[words.starts[begin]].tolist(), place[words.ends[stop - 1]].tolist()
                 start = words.place[begin]
@@ -112,32 +130,43 @@ def _cut(docs: DataFrame, window: int, buckets: int) -> DataFrame:
                         known.append(i)
                         continue
                     travel.append(i)
+                    texts.append(text)
+                    gathered += b - a
                     if first is None:
                         held += b - a + 200
                         if held > REMEMBERED:
                             seen.clear()
                             held = b - a
                     seen[text] = at
-                bucket = (least % np.uint64(buckets)).astype(np.int64)
-                rows = [[], [], [], [], []]
-                chosen = np.array(travel, np.int64)
-                chosen = chosen[np.lexsort((least[chosen], bucket[chosen]))]
-                edges = np.flatnonzero(np.diff(bucket[chosen], prepend=-1, append=-1))
-                for x, y in zip(edges[:-1].tolist(), edges[1:].tolist()):
-                    own = chosen[x:y]
-                    head = np.column_stack([ids[own], start[own], twice[own], least[own].view(np.int64)]).astype("<i8").tobytes()
-                    body = b"\n".join(joined[froms[i] : tos[i]] for i in own.tolist())
-                    for column, value in zip(rows, (int(bucket[own[0]]), pack.compress(len(own).to_bytes(4, "little") + head + body), None, None, None)):
-                        column.append(value)
+                own = np.array(travel, np.int64)
+                waiting.append(((least[own] % np.uint64(buckets)).astype(np.int32), ids[own], start[own], twice[own], least[own]))
                 if known:
                     own = np.array(known)
-                    for column, values in zip(rows, ((ids[own] % buckets).tolist(), [None] * len(own), ids[own].tolist(), start[own].tolist(), (start[own] + stop[own] - begin[own]).tolist())):
-                        column.extend(values)
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, (pa.int32(), pa.binary(), pa.int64(), pa.int32(), pa.int32()))], names=["bucket", "block", "doc_id", "start", "end"])
+                    none = [None] * len(own)
+                    columns = ((ids[own] % buckets).astype(np.int32), none, ids[own], start[own].astype(np.int32), (start + stop - begin)[own].astype(np.int32))
+                    yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(columns, kinds)], names=names)
+                if gathered > GATHERED:
+                    yield blocks()
+                    waiting, texts, gathered = [], [], 0
+        if texts:
+            yield blocks()
 
     return docs.mapInArrow(run, BLOCK)
 
 
+def _head(ids: np.ndarray, start: np.ndarray, twice: np.ndarray, least: np.ndarray) -> bytes:
+    """Count, then doc_id (as steps), start, twice and the minimiser's upper half of each string, column by column."""
+    steps = np.diff(ids.astype("<i8"), prepend=np.int64(0))
+    columns = (steps, start.astype("<i4"), twice.astype("u1"), (least >> np.uint64(32)).astype("<u4"))
+    return len(ids).to_bytes(4, "little") + b"".join(column.tobytes() for column in columns)
+
+
+def _unpacked(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    n = int.from_bytes(raw[:4], "little")
+    ids, start, twice, least = (np.frombuffer(raw, kind, n, 4 + at * n) for kind, at in (("<i8", 0), ("<i4", 8), ("u1", 12), ("<u4", 13)))
+    return np.cumsum(ids), start, twice, least, raw[4 + 17 * n :].split(b"\n")
+
+
 def _sorted(blocks: DataFrame, window: int, hot: int) -> DataFrame:
     """Covered places; windows of hot minimisers come back as (window, doc_id, start) to be dealt anew."""
 
@@ -159,23 +188,18 @@ def _sorted(blocks: DataFrame, window: int, hot: int) -> DataFrame:
 
     def bucket(parts: list[bytes]) -> Iterator[tuple[int, int, int, bytes | None]]:
         unpack = zstandard.ZstdDecompressor()
-        heads, texts = [], []
-        for part in parts:
-            raw = unpack.decompress(part)
-            count = int.from_bytes(raw[:4], "little")
-            heads.append(np.frombuffer(raw, "<i8", count * 4, 4).reshape(count, 4))
-            texts += raw[4 + count * 32 :].split(b"\n")
-        head = np.concatenate(heads)
-        order = np.argsort(head[:, 3], kind="stable")
-        edges = np.flatnonzero(np.concatenate([[True], np.diff(head[order, 3]) != 0, [True]]))
-        size = np.diff(edges)
-        alone = (size == 1) & (head[order[edges[:-1]], 2] == 0)
+        *columns, lists = zip(*[_unpacked(unpack.decompress(part)) for part in parts])
+        ids, starts, twice, least = map(np.concatenate, columns)
+        texts = [text for own in lists for text in own]
+        order = np.argsort(least, kind="stable")
+        edges = np.flatnonzero(np.concatenate([[True], np.diff(least[order]) != 0, [True]]))
+        alone = (np.diff(edges) == 1) & (twice[order[edges[:-1]]] == 0)
         for x, y in zip(edges[:-1][~alone].tolist(), edges[1:][~alone].tolist()):
             entries = []
             for i in order[x:y].tolist():
-                parts_of, (doc, start) = texts[i].split(b" "), head[i, :2].tolist()
-                for k in range(len(parts_of) - window + 1):
-                    entries.append((b" ".join(parts_of[k : k + window]), doc, start + k))
+                words, doc, start = texts[i].split(b" "), int(ids[i]), int(starts[i])
+                for k in range(len(words) - window + 1):
+                    entries.append((b" ".join(words[k : k + window]), doc, start + k))
             if y - x > hot:
                 yield from ((doc, start, start + window, text) for text, doc, start in entries)
             else:
