@@ -37,6 +37,20 @@ def real_id(column: str = "doc_id") -> Column:
     return F.when(F.col(column) != F.lit(NO_ID), F.col(column)).alias(column)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """The name, longer where the frame already has a column called so."""
+    taken = {column.lower() for column in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The documents with a further column for their id that is never null, and its name."""
+    key = fresh(docs, "_key")
+    return docs.withColumn(key, F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID))), key
+
+
 def partitions(session: SparkSession) -> int:
     return int(session.conf.get("spark.sql.shuffle.partitions"))
 

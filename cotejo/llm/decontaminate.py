@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cotejo.functions.clean import once
-from cotejo.llm.common import NO_ID, identified, real_id, stored
+from cotejo.llm.common import NO_ID, fresh, identified, keyed, real_id, stored
 
 WIDTH, SHARE = 5, 0.8
 NOT_WORD = r"[^\p{L}\p{M}\p{N}]+"
@@ -104,8 +104,10 @@ def holders(docs: DataFrame, items: DataFrame, share: float = SHARE) -> DataFram
 
 def clean(docs: DataFrame, items: DataFrame, share: float = SHARE) -> DataFrame:
     """The documents that hold no item, with all their columns."""
-    held = holders(docs, items, share).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_held")).distinct()
-    return docs.join(held, F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)) == F.col("_held"), "left_anti")
+    rows, key = keyed(docs)
+    name = fresh(rows, "_held")
+    held = holders(docs, items, share).select(F.coalesce("doc_id", F.lit(NO_ID)).alias(name)).distinct()
+    return rows.join(held, F.col(key) == F.col(name), "left_anti").drop(key)
 
 
 SQL = r"""

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cotejo.functions.clean import once
 from cotejo.llm.batches import SPACES
-from cotejo.llm.common import NO_ID, identified, real_id, small_batches
+from cotejo.llm.common import fresh, identified, keyed, real_id, small_batches
 from cotejo.operators.skew import join_unique
 
 LINES = 3
@@ -62,8 +62,9 @@ def without(text: str, places: list[int], lines: int) -> tuple[str, int]:
 
 
 def _marked(docs: DataFrame, lines: int) -> DataFrame:
-    same = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)) == F.col("_doc")
-    return docs.join(repeated(docs, lines), same, "left").drop("_doc")
+    rows, key = keyed(docs)
+    doc, places = fresh(rows, "_doc"), fresh(rows, "_places")
+    return rows.join(repeated(docs, lines).toDF(doc, places), F.col(key) == F.col(doc), "left").drop(key, doc)
 
 
 def dedup(docs: DataFrame, lines: int = LINES) -> DataFrame:

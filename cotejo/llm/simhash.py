@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from cotejo.llm.batches import Words, slices
-from cotejo.llm.common import NO_ID, components, identified, real_id, small_batches, stored
+from cotejo.llm.common import NO_ID, components, fresh, identified, keyed, real_id, small_batches, stored
 
 SHINGLE, BITS, SEED = 4, 4, 42
 MOST = 2_000  # fingerprints that a group joins itself, unless no block is left to deal by
@@ -201,8 +201,8 @@ def one_of_each(docs: DataFrame, budget: int = BITS) -> DataFrame:
     """The documents that are the smallest of their class, with all their columns; of rows that share that id one stays."""
     classes = near_classes(docs, budget).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     chosen = stored(classes.groupBy(F.coalesce("doc_id", F.lit(NO_ID)).alias("_chosen")).agg(F.count("*").alias("_rows")))
-    keyed = docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)))
-    kept = keyed.join(chosen.select("_chosen"), F.col("_key") == F.col("_chosen"), "left_semi")
+    rows, key = keyed(docs)
+    kept = rows.join(chosen.select(F.col("_chosen").alias(fresh(rows, "_chosen"))), F.col(key) == F.col(fresh(rows, "_chosen")), "left_semi")
     if not chosen.where("_rows > 1").isEmpty():
-        kept = kept.dropDuplicates(["_key"])
-    return kept.drop("_key")
+        kept = kept.dropDuplicates([key])
+    return kept.drop(key)
