@@ -58,7 +58,7 @@ def _sketches(items: DataFrame, width: int, share: float) -> DataFrame:
     classed = size.withColumn("class", F.ceil(F.log2("n")).cast("int"))
     enough = F.floor(F.lit(1 - share + 1e-9) * F.pow(F.lit(2), F.col("class"))).cast("int") + 1
     # A document is large enough with SHARE of the class's least size.
-    need = F.ceil(F.lit(share - 1e-9) * (F.pow(F.lit(2), F.col("class") - 1) + 1)).cast("int")
+    need = F.ceil(F.lit(share - 1e-9) * (F.floor(F.pow(F.lit(2), F.col("class") - 1)) + 1)).cast("int")
     return classed.select("class", "item", need.alias("need"), F.explode(F.slice("hashes", 1, enough)).alias("hash"))
 
 

@@ -197,24 +197,23 @@ def _sum_exp(x: np.ndarray, axis: int) -> np.ndarray:
     return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis))
 
 
-def train(x: np.ndarray, y: np.ndarray, epochs: int = 8, batch: int = 48, seed: int = 5) -> Network:
+def train(x: np.ndarray, y: np.ndarray, steps: int = 280, batch: int = 48, seed: int = 5) -> Network:
     """Adam on the CRF's likelihood; x are windows of codes, y their tags."""
     network, rng = Network.new(seed), np.random.default_rng(seed)
     weights = [network.inputs, network.recurrent, network.output, network.bias, network.transitions]
     first, second = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
-    step, total = 0, epochs * -(-len(x) // batch)
-    for _ in range(epochs):
-        order = rng.permutation(len(x))
-        for at in range(0, len(x), batch):
-            own = order[at : at + batch]
-            _, slopes = network.gradients(x[own], y[own])
-            step += 1
-            rate = 0.02 * (1 - 0.9 * step / total)
-            for w, a, b, slope in zip(weights, first, second, slopes):
-                np.clip(slope, -1, 1, out=slope)
-                a += 0.1 * (slope - a)
-                b += 0.01 * (slope * slope - b)
-                w -= rate * a / (1 - 0.9**step) / (np.sqrt(b / (1 - 0.99**step)) + 1e-7)
+    waiting = np.zeros(0, np.int64)
+    for step in range(1, steps + 1):
+        if len(waiting) < min(batch, len(x)):
+            waiting = rng.permutation(len(x))
+        own, waiting = waiting[:batch], waiting[batch:]
+        _, slopes = network.gradients(x[own], y[own])
+        rate = 0.02 * (1 - 0.9 * step / steps)
+        for w, a, b, slope in zip(weights, first, second, slopes):
+            np.clip(slope, -1, 1, out=slope)
+            a += 0.1 * (slope - a)
+            b += 0.01 * (slope * slope - b)
+            w -= rate * a / (1 - 0.9**step) / (np.sqrt(b / (1 - 0.99**step)) + 1e-7)
     return network
 
 

@@ -8,6 +8,7 @@ import pytest
 import xxhash
 from hypothesis import given, settings, strategies as st
 
+from awkward_rows import awkward, docs  # noqa: F401
 from cotejo.llm import line_dedup, simhash, substring_dedup
 from cotejo.llm.batches import Words
 

@@ -5,6 +5,7 @@ import zlib
 
 import pytest
 
+from awkward_rows import awkward, docs  # noqa: F401
 from cotejo.llm import labelled, quality_classifier, quality_rules
 
 FOLDER = "/root/testdata/sf0.01"
