@@ -55,7 +55,7 @@ def partitions(session: SparkSession) -> int:
     return int(session.conf.get("spark.sql.shuffle.partitions"))
 
 
-def ranked(df: DataFrame, group: list[str], order: list[Column], rows_per_cell: int = 50_000) -> DataFrame:
+def ranked(df: DataFrame, group: list[str], order: list[Column], rows_per_cell: int = 5_000) -> DataFrame:
     """Adds ``rank``: gapless from 0 within each group, without bringing a group into one task. ``df`` should be stored.
 
     Rows are spread over cells by a hash of the columns in ``order``; each cell is numbered on its own and the counts of

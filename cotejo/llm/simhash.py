@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from cotejo.llm.batches import Words, slices
-from cotejo.llm.common import NO_ID, components, fresh, identified, keyed, real_id, small_batches, stored
+from cotejo.llm.common import NO_ID, components, fresh, identified, keyed, partitions, real_id, small_batches, stored
 
 SHINGLE, BITS, SEED = 4, 4, 42
 MOST = 2_000  # fingerprints that a group joins itself, unless no block is left to deal by
@@ -182,7 +182,7 @@ def _joined(groups: DataFrame, budget: int) -> DataFrame:
         if rest is not None and len(rest[0]) > 1:
             yield settle(rest[1], rest[2].view(np.uint64))
 
-    spread = groups.repartition("group").sortWithinPartitions("group")
+    spread = groups.repartition(partitions(groups.sparkSession), "group").sortWithinPartitions("group")
     return spread.select("group", "node", "rest").mapInArrow(run, "a bigint, b bigint")
 
 
