@@ -45,6 +45,50 @@ def csv_lines(t):
     return csv_dialect.parse_lines(_csv_lines(t), ["id", "note", "kind"])
 
 
+def _csv_files(t):
+    """Lines of five files: two orders of the columns, a narrow header, an unknown one; some lines are too wide."""
+    key, status, priority = _text("o_orderkey"), F.col("o_orderstatus"), F.concat(F.lit('"'), F.col("o_orderpriority"), F.lit(',"'))
+    part = F.col("o_orderkey") % 5
+    body = (
+        F.when(F.col("o_orderkey") % 17 == 0, F.concat_ws(",", key, status, priority, key, key))
+        .when(part == 0, F.concat_ws(",", status, key, priority))
+        .when(part == 1, F.concat_ws(",", key, status))
+        .otherwise(F.concat_ws(",", key, status, priority))
+    )
+    lines = t["orders"].select(F.format_string("f%d", part).alias("file"), F.col("o_orderkey").alias("pos"), body.alias("line"))
+    heads = lines.groupBy("file").agg(F.lit(-1).cast("bigint").alias("pos"))
+    head = F.when(F.col("file") == "f0", F.lit("status,id,note")).when(F.col("file") == "f4", F.lit("id,status,other"))
+    return lines.unionByName(heads.withColumn("line", head.otherwise(F.lit("id,status,note"))))
+
+
+CSV_FILES = """
+    WITH l AS (SELECT *, 'f' || (o_orderkey % 5) AS file, o_orderkey % 17 = 0 AS wide FROM orders)
+    SELECT {columns} FROM l WHERE {where}"""
+
+
+@register(
+    CSV_FILES.format(
+        columns="""file, o_orderkey AS pos, CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus AS status,
+                   CASE WHEN file <> 'f1' THEN o_orderpriority || ',' END AS note""",
+        where="file <> 'f4' AND NOT wide",
+    )
+)
+def csv_files(t):
+    return csv_dialect.rows_by_header(csv_dialect.split_cells(_csv_files(t), 8), ["id", "status", "note"])[0].drop("line")
+
+
+@register(
+    CSV_FILES.format(
+        columns="file, o_orderkey AS pos, CASE WHEN file = 'f4' THEN 'unknown header' ELSE 'too many cells' END AS reason",
+        where="file = 'f4' OR wide",
+    )
+    + " UNION ALL SELECT DISTINCT 'f4', -1, 'unknown header' FROM orders WHERE o_orderkey % 5 = 4"
+)
+def csv_rejects(t):
+    rows = csv_dialect.split_cells(_csv_files(t), 8)
+    return csv_dialect.rows_by_header(rows, ["id", "status", "note"])[1].select("file", "pos", "reason")
+
+
 def _xml_texts(t):
     """One invoice document per line item, in all the states the reader must tell apart."""
     line = F.col("l_linenumber")
@@ -122,16 +166,17 @@ def receipt_status(t):
 
 
 @register(
-    """WITH lists AS (SELECT page_id, regexp_extract(html, '(?is)<(?:ul)(?:\\s[^>]*)?>(.*?)</(?:ul)\\s*>', 1) AS ul FROM pages),
-       items AS (SELECT page_id, unnest(regexp_extract_all(ul, '(?is)<(?:li)(?:\\s[^>]*)?>(.*?)</(?:li)\\s*>', 1)) AS item,
+    """WITH found AS (SELECT page_id, regexp_extract_all(html, '(?is)<(?:ul)(?:\\s[^>]*)?>(.*?)</(?:ul)\\s*>', 1) AS uls FROM pages),
+       lists AS (SELECT page_id, unnest(uls) AS ul, generate_subscripts(uls, 1) - 1 AS container_no FROM found),
+       items AS (SELECT page_id, container_no, unnest(regexp_extract_all(ul, '(?is)<(?:li)(?:\\s[^>]*)?>(.*?)</(?:li)\\s*>', 1)) AS item,
                  generate_subscripts(regexp_extract_all(ul, '(?is)<(?:li)(?:\\s[^>]*)?>(.*?)</(?:li)\\s*>', 1), 1) - 1 AS row_no FROM lists)
-       SELECT page_id, row_no, trim(regexp_replace(replace(replace(replace(replace(replace(replace(
+       SELECT page_id, container_no, row_no, trim(regexp_replace(replace(replace(replace(replace(replace(replace(
                   regexp_replace(item, '<[^>]*>', '', 'g'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'),
                   '&#39;', ''''), '&amp;', '&'), '\\s+', ' ', 'g')) AS item FROM items"""
 )
 def html_list_items(t):
     rows = html_tables.element_rows(t["pages"], "page_id", "html", "ul", "li")
-    return rows.select("page_id", "row_no", F.element_at("cells", 1).alias("item"))
+    return rows.select("page_id", "container_no", "row_no", F.element_at("cells", 1).alias("item"))
 
 
 def _html_tables(t):

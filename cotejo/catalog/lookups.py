@@ -301,7 +301,7 @@ def _snapshot_sheets(t):
     """Two snapshot sheets with raw text, overlapping keys and a column that is dropped at load."""
     day = "CAST(day({d}) AS STRING) || '/' || CAST(month({d}) AS STRING) || '/' || CAST(year({d}) AS STRING)"
     first = t.sql(
-        f"""SELECT {ORDER_ID.format(k="o_orderkey")} AS numero_orden_suministro,
+        f"""SELECT CASE WHEN o_orderkey % 23 <> 5 THEN {ORDER_ID.format(k="o_orderkey")} END AS numero_orden_suministro,
                    CAST(DATE '2024-01-01' + CAST(o_orderkey % 3 AS INT) AS TIMESTAMP_NTZ) AS file_date,
                    CASE WHEN o_orderkey % 9 = 0 THEN ' N/A ' ELSE {day.format(d="o_orderdate")} END
                        AS fecha_autorizacion,
@@ -323,24 +323,27 @@ def _snapshot_sheets(t):
 
 @register(
     """WITH sheets AS (
-        SELECT 'OS-' || CAST(o_orderkey AS VARCHAR) AS k, CAST(DATE '2024-01-01' + CAST(o_orderkey % 3 AS INT) AS TIMESTAMP) AS d,
+        SELECT CASE WHEN o_orderkey % 23 <> 5 THEN 'OS-' || CAST(o_orderkey AS VARCHAR) END AS k, CAST(DATE '2024-01-01' + CAST(o_orderkey % 3 AS INT) AS TIMESTAMP) AS d,
                CASE WHEN o_orderkey % 9 = 0 THEN TIMESTAMP '1900-01-01' ELSE date_trunc('day', o_orderdate) END AS f,
                o_orderkey % 90 AS p, CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_custkey END AS q,
                o_totalprice AS i, o_orderpriority AS c, NULL AS pena, o_orderkey AS r FROM orders
         UNION ALL
         SELECT 'OS-' || CAST(o_orderkey - o_orderkey % 2 AS VARCHAR), CAST(DATE '2024-01-03' + CAST(o_orderkey % 2 AS INT) AS TIMESTAMP),
                TIMESTAMP '1900-01-01', 7, NULL, NULL, NULL, CAST(o_custkey AS DOUBLE), o_orderkey + 1000000000000 FROM orders),
-       batch AS (SELECT * FROM sheets QUALIFY row_number() OVER (PARTITION BY k, d ORDER BY r DESC) = 1),
+       batch AS (SELECT * FROM sheets WHERE k IS NOT NULL QUALIFY row_number() OVER (PARTITION BY k, d ORDER BY r DESC) = 1),
        target AS (SELECT numero_orden_suministro AS k, file_date AS d, importe AS i FROM in_history)
        SELECT k AS numero_orden_suministro, d AS file_date, NULL AS fecha_autorizacion, NULL AS precio_unitario,
-              NULL AS cantidad_solicitada, i AS importe, NULL AS numero_contrato, NULL AS pena FROM target
+              NULL AS cantidad_solicitada, i AS importe, NULL AS numero_contrato, NULL AS pena, false AS rejected FROM target
        UNION ALL
-       SELECT k, d, f, p, q, i, c, pena FROM batch
-       WHERE NOT EXISTS (SELECT 1 FROM target t WHERE t.k = batch.k AND t.d = batch.d)"""
+       SELECT k, d, f, p, q, i, c, pena, false FROM batch
+       WHERE NOT EXISTS (SELECT 1 FROM target t WHERE t.k = batch.k AND t.d = batch.d)
+       UNION ALL SELECT k, d, f, p, q, i, c, pena, true FROM sheets WHERE k IS NULL"""
 )
 def load_history(t):
     target = t["in_history"].select("numero_orden_suministro", "file_date", "importe")
-    return history.load_history(target, _snapshot_sheets(t)).drop("_row_no")
+    loaded, rejected = history.load_history_split(target, _snapshot_sheets(t))
+    flagged = loaded.withColumn("rejected", F.lit(False)).unionByName(rejected.withColumn("rejected", F.lit(True)))
+    return flagged.drop("_row_no")
 
 
 @register(
@@ -371,6 +374,7 @@ def _work_and_results(t):
         .alias("Folio fiscal"),
         F.concat(F.lit("OS-"), (F.col("c_custkey") * 2).cast("string")).alias("Orden de Suministro"),
     )
+    work = work.unionByName(work.filter("row_id % 10 = 0"))  # repeated rows
     results = t["orders"].select(
         F.concat(F.lit("F"), F.col("o_custkey").cast("string")).alias("factura"),
         F.concat(F.lit("U"), (F.col("o_orderkey") % 40).cast("string")).alias("folio"),
@@ -387,7 +391,8 @@ FALLBACK = """
     WITH work AS (
         SELECT c_custkey AS row_id, CASE WHEN c_custkey % 4 <> 0 THEN 'F' || c_custkey END AS factura,
                CASE WHEN c_custkey % 3 = 0 THEN 'nan' ELSE 'U' || c_nationkey END AS "Folio fiscal",
-               'OS-' || (c_custkey * 2) AS "Orden de Suministro" FROM customer),
+               'OS-' || (c_custkey * 2) AS "Orden de Suministro"
+        FROM (SELECT * FROM customer UNION ALL SELECT * FROM customer WHERE c_custkey % 10 = 0)),
     alive AS (SELECT * FROM orders WHERE o_orderstatus <> 'F'),
     keys AS (
         SELECT k, min(o_orderkey) AS id FROM (
@@ -441,7 +446,7 @@ PREFIX = """
                                 ELSE printf('Customer#%06d', o_custkey % 2000) || ' ' END AS "Folio" FROM orders),
     keys AS (SELECT DISTINCT lower(trim("Folio")) AS k FROM wanted),
     hits AS (
-        SELECT k, list('/pdf/' || c_name ORDER BY c_custkey)[1:5] AS paths
+        SELECT k, list('/pdf/' || c_name ORDER BY c_custkey) AS paths
         FROM keys JOIN customer ON starts_with(lower(c_name), k) GROUP BY 1)
     SELECT o_orderkey, "Folio", {columns} FROM wanted LEFT JOIN hits ON lower(trim("Folio")) = k WHERE {where}"""
 
@@ -463,13 +468,13 @@ def prefix_match_first(t):
 def prefix_match_dups(t):
     several = _prefix(t).filter(F.size("matches") > 1)
     return several.select(
-        "o_orderkey", "Folio", F.size("matches").cast("bigint").alias("listed"), F.array_join("matches", ";").alias("paths")
+        "o_orderkey", "Folio", F.col("found").alias("listed"), F.array_join("matches", ";").alias("paths")
     )
 
 
 @register(PREFIX.format(columns="1 AS missing", where="paths IS NULL").replace(", 1 AS missing", ""))
 def prefix_unmatched(t):
-    return _prefix(t).filter("matches is null").drop("matches")
+    return _prefix(t).filter("matches is null").drop("matches", "found")
 
 
 @register(

@@ -79,7 +79,8 @@ INPUTS = {
                || CASE WHEN event_id % 25 = 0 THEN 'copy ' ELSE '' END || {HOUR_TEXT}
                || 'h ' || lpad(CAST(event_id AS STRING), 12, '0')
                || CASE event_type WHEN 'error' THEN '.tmp' WHEN 'signup' THEN '.XLS' ELSE '.xlsx' END AS path,
-               event_type AS category, user_id AS owner, user_id % 8 AS office, ts AS modified
+               event_type AS category, CASE WHEN user_id % 30 = 3 THEN NULL ELSE user_id END AS owner,
+               CASE WHEN user_id % 8 = 7 THEN NULL ELSE user_id % 8 END AS office, ts AS modified
         FROM <events>""",
     "in_notices": """
         SELECT substring(CAST(o_orderdate AS STRING), 1, 10) || ' ' ||

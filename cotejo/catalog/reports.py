@@ -72,10 +72,10 @@ def snapshot_compare_totals(t):
 
 
 @register(
-    f"""WITH {TOTALS} SELECT * FROM full_tot WHERE period = 'after' ORDER BY is_total, current DESC, status LIMIT 30"""
+    f"""WITH {TOTALS} SELECT * FROM full_tot ORDER BY period, is_total, current DESC, status"""
 )
 def snapshot_top(t):
-    return _rounded(report.snapshot_top(_totals(t), "after"), delta_pct=6)
+    return _rounded(report.snapshot_top(_totals(t)), delta_pct=6)
 
 
 @register(
@@ -117,6 +117,7 @@ def rollup_report(t):
        UNION ALL SELECT 'large_orders.sql', 'ok', (SELECT count(*) FROM in_history WHERE importe > 250000)
        UNION ALL SELECT 'latest_snapshot.sql', 'ok', (SELECT count(*) FROM in_history
                         WHERE file_date = (SELECT max(file_date) FROM in_history))
+       UNION ALL SELECT 'not_a_number.sql', 'error', NULL
        UNION ALL SELECT 'unknown_column.sql', 'error', NULL"""
 )
 def sql_folder(t):

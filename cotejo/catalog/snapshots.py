@@ -21,9 +21,9 @@ NEXT_ANCHORS = """
     anchors({keys}, anchor, following) AS (
         SELECT {keys}, ts, following FROM nxt QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY ts) = 1
         UNION ALL
-        SELECT n.{keys}, n.ts, n.following FROM anchors a JOIN nxt n ON n.{keys} = a.{keys} AND n.ts = a.following),
+        SELECT n.{keys}, n.ts, n.following FROM anchors a JOIN nxt n ON n.{keys} IS NOT DISTINCT FROM a.{keys} AND n.ts = a.following),
     assigned AS (SELECT d.{keys}, d.ts, max(a.anchor) AS anchor FROM d JOIN anchors a
-                 ON a.{keys} = d.{keys} AND a.anchor <= d.ts AND d.ts <= a.anchor + INTERVAL '2 hours' GROUP BY 1, 2)"""
+                 ON a.{keys} IS NOT DISTINCT FROM d.{keys} AND a.anchor <= d.ts AND d.ts <= a.anchor + INTERVAL '2 hours' GROUP BY 1, 2)"""
 GROUPED = f"""
     WITH RECURSIVE {INVENTORY},
     {NEXT_ANCHORS.format(keys="office", only="AND category IN ('view', 'click', 'purchase')")},
@@ -32,7 +32,7 @@ GROUPED = f"""
                max(CASE WHEN category = 'view' THEN strftime(i.ts, '%Y%m%d%H') || path END) AS v,
                max(CASE WHEN category = 'click' THEN strftime(i.ts, '%Y%m%d%H') || path END) AS c,
                max(CASE WHEN category = 'purchase' THEN strftime(i.ts, '%Y%m%d%H') || path END) AS p
-        FROM inv i JOIN assigned a ON i.office = a.office AND i.ts = a.ts
+        FROM inv i JOIN assigned a ON i.office IS NOT DISTINCT FROM a.office AND i.ts = a.ts
         WHERE category IN ('view', 'click', 'purchase') GROUP BY 1, 2),
     named AS (
         SELECT office, strftime(anchor, '%Y-%m-%d-%H') || '_' || strftime(last_ts, '%H') AS group_id, anchor AS first_ts,
@@ -74,7 +74,7 @@ def file_fingerprint(t):
 
 @register(
     f"""WITH RECURSIVE {INVENTORY}, {NEXT_ANCHORS.format(keys="owner", only="")}
-        SELECT i.*, a.anchor FROM inv i JOIN assigned a ON i.owner = a.owner AND i.ts = a.ts"""
+        SELECT i.*, a.anchor FROM inv i JOIN assigned a ON i.owner IS NOT DISTINCT FROM a.owner AND i.ts = a.ts"""
 )
 def anchored_groups(t):
     return groups.anchored_groups(_inventory(t), ["owner"])
@@ -179,14 +179,15 @@ EXPECTED = f"""
     expected AS (SELECT *, '[FacturaVsCR][user][' || replace("DATE START", '/', '-') || '][' ||
                         replace("DATE END", '/', '-') || '].xls' AS expected_name
                  FROM ({CALENDAR.replace("<orders>", "orders")}) WHERE "DATE START" IS NOT NULL),
-    present AS (SELECT DISTINCT expected_name AS name FROM expected WHERE o_custkey % 50 = 0
-                UNION ALL SELECT 'stray ' || l_orderkey || '.xls' FROM lineitem WHERE l_linenumber = 1 GROUP BY ALL)"""
+    present AS (SELECT expected_name AS name FROM expected GROUP BY 1 HAVING min(o_custkey) % 3 = 0
+                UNION ALL SELECT 'stray ' || l_orderkey || '.xls' FROM lineitem GROUP BY ALL)"""
 
 
 def _exports(t):
     expected = files.expected_exports(t.sql(CALENDAR), "user")
-    found = expected.filter("o_custkey % 50 = 0").select(F.col("expected_name").alias("name")).distinct()
-    stray = t["lineitem"].filter("l_linenumber = 1").select(F.format_string("stray %d.xls", "l_orderkey").alias("name"))
+    first = expected.groupBy(F.col("expected_name").alias("name")).agg(F.min("o_custkey").alias("least"))
+    found = first.filter("least % 3 = 0").select("name")
+    stray = t["lineitem"].select(F.format_string("stray %d.xls", "l_orderkey").alias("name"))
     return expected, found.unionByName(stray.distinct())
 
 
@@ -206,12 +207,15 @@ def present_files(t):
 
 
 RANGES = """
-    SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS start, last_day(CAST(o_orderdate AS DATE)) AS "end"
+    SELECT CASE WHEN o_orderkey % 11 = 0 THEN last_day(CAST(o_orderdate AS DATE))
+                ELSE CAST(date_trunc('month', o_orderdate) AS DATE) END AS start,
+           CASE WHEN o_orderkey % 11 = 0 THEN CAST(date_trunc('month', o_orderdate) AS DATE)
+                ELSE last_day(CAST(o_orderdate AS DATE)) END AS "end"
     FROM <orders>"""
 
 
 @register(
-    f"""SELECT r.start, r."end", count(*) AS hits FROM ({RANGES.replace("<orders>", "orders")}) r
+    f"""SELECT r.start, r."end", count(*) AS hits FROM (SELECT DISTINCT * FROM ({RANGES.replace("<orders>", "orders")})) r
         JOIN orders o ON CAST(o.o_orderdate AS DATE) BETWEEN r.start AND r."end" GROUP BY 1, 2 HAVING count(*) > 180"""
 )
 def range_overflow(t):

@@ -37,10 +37,12 @@ def range_overflow(ranges: DataFrame, rows: DataFrame, ts: str, cap: int = PORTA
     """Date ranges (whole days, both ends included) with more than ``cap`` rows.
 
     Rows are counted per day first and ranges are unfolded into days, so an equi-join on the day replaces the range
-    join and its size depends on the calendar only.
+    join and its size depends on the calendar only. A range given several times is reported once; one that ends before
+    it starts holds no day.
     """
     days = rows.groupBy(F.col(ts).cast("date").alias("_day")).agg(F.count(F.lit(1)).alias("_rows"))
-    unfolded = ranges.withColumn("_range_day", F.explode(F.sequence("start", "end")))
+    forward = ranges.select("start", "end").filter("start <= end").distinct()
+    unfolded = forward.withColumn("_range_day", F.explode(F.sequence("start", "end")))
     return (
         unfolded.join(days, F.col("_range_day") == F.col("_day"))
         .groupBy("start", "end")

@@ -10,42 +10,36 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cotejo.functions.clean import hour_stamp, hour_text
-from cotejo.operators.skew import join_unique, key_match
+from cotejo.operators.skew import join_unique
 from cotejo.values import GROUP_SPAN_HOURS
 
 
-def _anchor_list(stamps: Column, span: Column) -> Column:
-    """Anchors among ascending stamps: the first one, then each first stamp beyond the span of the last anchor."""
-    start = F.slice(stamps, 1, 1)
-    return F.aggregate(
-        stamps,
-        start,
-        lambda anchors, ts: F.when(ts > F.element_at(anchors, -1) + span, F.array_append(anchors, ts)).otherwise(anchors),
-    )
+def _anchored(stamps: Column, span: Column) -> Column:
+    """(ts, anchor) of ascending stamps: an anchor is the first stamp, then each first one beyond the last anchor's span."""
+
+    def step(pairs: Column, ts: Column) -> Column:
+        last = F.element_at(pairs, -1)["anchor"]
+        anchor = F.when(ts > last + span, ts).otherwise(last)
+        return F.array_append(pairs, F.struct(ts.alias("ts"), anchor.alias("anchor")))
+
+    first = F.transform(F.slice(stamps, 1, 1), lambda ts: F.struct(ts.alias("ts"), ts.alias("anchor")))
+    return F.aggregate(F.slice(stamps, 2, F.size(stamps)), first, step)
 
 
 def stamp_anchors(files: DataFrame, keys: Sequence[str], ts: str = "ts", hours: int = GROUP_SPAN_HOURS) -> DataFrame:
     """(keys, ts, anchor) for every distinct stamp.
 
     A gap above the span always opens a new group, so it cuts the stamps into islands that are solved side by side.
+    Stamps are cut to the hour, which bounds their number.
     """
     span = F.expr(f"interval '{hours}' hour")
-    stamps = files.select(*keys, F.col(ts).alias("ts")).filter("ts is not null").distinct()
+    stamps = files.select(*keys, F.date_trunc("hour", ts).cast(files.schema[ts].dataType).alias("ts")).filter("ts is not null").distinct()
     ordered = Window.partitionBy(*keys).orderBy("ts")
     islands = stamps.withColumn(
         "_opens", F.coalesce((F.col("ts") > F.lag("ts").over(ordered) + span).cast("int"), F.lit(1))
     ).withColumn("_island", F.sum("_opens").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
-    anchors = (
-        islands.groupBy(*keys, "_island")
-        .agg(F.array_sort(F.collect_list("ts")).alias("_stamps"))
-        .withColumn("_anchors", _anchor_list(F.col("_stamps"), span))
-    )
-    # Inside an island every stamp belongs to the last anchor at or before it, at most one span away.
-    names = [f"_anchor_key{i}" for i in range(len(keys))]
-    opened = anchors.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.explode("_anchors").alias("anchor"))
-    flagged = stamps.join(opened, key_match([*keys, "ts"], [*names, "anchor"], True), "left").drop(*names)
-    running = F.last("anchor", ignorenulls=True).over(ordered.rowsBetween(Window.unboundedPreceding, 0))
-    return flagged.withColumn("anchor", running)
+    solved = islands.groupBy(*keys, "_island").agg(_anchored(F.array_sort(F.collect_list("ts")), span).alias("_pairs"))
+    return solved.select(*keys, F.inline("_pairs"))
 
 
 def _global_key(files: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -57,10 +51,14 @@ def anchored_groups(files: DataFrame, keys: Sequence[str] = (), ts: str = "ts",
     """Every file with the anchor of its group; files without a stamp are left out."""
     keyed, names = _global_key(files, keys)
     anchors = stamp_anchors(keyed, names, ts, hours)
-    renamed = anchors.toDF(*[f"_k{i}" for i in range(len(names))], "_ts", "anchor")
-    stamped = keyed.filter(F.col(ts).isNotNull())
+    stamped = keyed.filter(F.col(ts).isNotNull()).withColumn("_hour", F.date_trunc("hour", ts).cast(files.schema[ts].dataType))
+    return _with_anchor(stamped, anchors, names, "_hour").drop("_all", "_hour")
+
+
+def _with_anchor(stamped: DataFrame, anchors: DataFrame, names: Sequence[str], ts: str) -> DataFrame:
+    """Rows with the anchor of their key and stamp; a missing key is a key like any other."""
     pairs = [f"_k{i}" for i in range(len(names))]
-    return join_unique(stamped, [*names, ts], renamed, [*pairs, "_ts"], null_safe=True).drop("_all")
+    return join_unique(stamped, [*names, ts], anchors.toDF(*pairs, "_ts", "anchor"), [*pairs, "_ts"], "inner", null_safe=True)
 
 
 def snapshot_groups(
@@ -76,11 +74,11 @@ def snapshot_groups(
     keyed, names = _global_key(files.filter(F.col(category).isin(*categories)), keys)
     reduced = (
         keyed.filter(F.col(ts).isNotNull())
-        .groupBy(*names, F.col(ts).alias("ts"), F.col(category).alias("category"))
+        .groupBy(*names, F.date_trunc("hour", ts).cast(files.schema[ts].dataType).alias("ts"), F.col(category).alias("category"))
         .agg(F.max(path).alias("path"))
     )
     anchors = stamp_anchors(reduced, names, hours=hours)
-    grouped = reduced.join(anchors, [*names, "ts"]).groupBy(*names, "anchor")
+    grouped = _with_anchor(reduced, anchors, names, "ts").groupBy(*names, "anchor")
     latest = F.struct("ts", "path")
     rows = grouped.agg(
         F.max("ts").alias("last_ts"),

@@ -41,12 +41,17 @@ def new_rows(
 ) -> DataFrame:
     """Batch rows to append: one per key, none whose key the target already holds.
 
+    A row with a missing key fails the job, as a primary key would; ``split_null_keys`` sets such rows aside beforehand.
     Both sides of the anti join hold at most one row per key, so no key can be hot.
     """
     if keep not in ("first", "last"):
         raise ValueError(f"keep must be 'first' or 'last', not {keep!r}")
     names = check_key(batch, key)
-    rows, _ = split_null_keys(batch, key)
+    refused = F.raise_error(F.lit(f"missing value in the primary key ({', '.join(names)})"))
+    full = F.lit(True)
+    for name in names:
+        full = full & quoted(name).isNotNull()
+    rows = batch.filter(F.when(full, F.lit(True)).otherwise(refused.cast("boolean")))
     single = dedup_last(rows, names, order) if keep == "last" else dedup_first(rows, names, order)
     return single.join(target.select(*[quoted(n) for n in names]), names, "left_anti")
 
@@ -76,6 +81,14 @@ def load_history(target: DataFrame, frames: Sequence[DataFrame], order=("_row_no
     return insert_if_absent(target, prepare_history(frames, **options), key, order, keep="last")
 
 
+def load_history_split(
+    target: DataFrame, frames: Sequence[DataFrame], order=("_row_no",), key=HISTORY_KEY, **options
+) -> tuple[DataFrame, DataFrame]:
+    """(the target after the load, rows that a primary key would refuse)."""
+    full, rejected = split_null_keys(prepare_history(frames, **options), key)
+    return insert_if_absent(target, full, key, order, keep="last"), rejected
+
+
 def latest_snapshot(history: DataFrame, snapshot: str = "file_date") -> DataFrame:
     """Rows of the newest snapshot; the scalar subquery prunes the scan on a table partitioned by snapshot."""
     return history.filter(F.col(snapshot) == history.agg(F.max(snapshot)).scalar())

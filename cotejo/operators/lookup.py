@@ -10,7 +10,7 @@ from cotejo.functions.clean import strip, to_number
 from cotejo.operators.dedup import dedup_first, top_rows
 from cotejo.operators.setops import union_by_name
 from cotejo.operators.skew import join_unique
-from cotejo.values import CANCELLED, LIST_LIMIT, MISSING_TEXT, NOT_FOUND
+from cotejo.values import CANCELLED, MISSING_TEXT, NOT_FOUND
 
 log = logging.getLogger(__name__)
 
@@ -36,6 +36,15 @@ class LookupSpec:
         return [c for c in self.left if c not in left.columns] + [c for c in wanted_right if c not in right.columns]
 
 
+def asked_for(right: DataFrame, spec: LookupSpec, wanted: DataFrame) -> DataFrame:
+    """Right rows whose key occurs in ``wanted`` (its columns in the order of the key): only those are worth joining up.
+
+    Labels such as ``no localizado`` and ``nan`` that stand for missing keys on the right go here, before their rows are gathered.
+    """
+    keys = wanted.dropna().distinct().toDF(*[f"_want{i}" for i in range(len(spec.right))])
+    return join_unique(right, spec.right, keys, keys.columns, "left_semi")
+
+
 def collapse_parts(
     right: DataFrame, spec: LookupSpec, order: str = "_row_no", part_width: int = PART_WIDTH
 ) -> DataFrame:
@@ -110,7 +119,8 @@ def populate_all(
     if clash and not overwrite:
         raise ValueError(f"returned columns already exist: {sorted(set(clash))}")
     kept = left.drop(*[c for c in clash if c not in left_keys])
-    collapsed = collapse(usable, order, part_width)
+    wanted = left.select(*[F.col(f"`{k}`") for k in left_keys])
+    collapsed = collapse([(asked_for(right, spec, wanted), spec) for right, spec in usable], order, part_width)
     joined = join_unique(kept, left_keys, collapsed, [f"_key{i}" for i in range(len(left_keys))])
     return joined.withColumns(
         {c: F.coalesce(F.col(f"`{c}`"), F.lit(NOT_FOUND)) for _, spec in usable for c in spec.returns}
@@ -168,10 +178,11 @@ def new_documents(docs: DataFrame, known: DataFrame, uuid="UUID", pair=("Folio",
 
 
 def prefix_matches(
-    wanted: DataFrame, key: str, files: DataFrame, name: str, path: str, order: Sequence, limit: int = LIST_LIMIT
+    wanted: DataFrame, key: str, files: DataFrame, name: str, path: str, order: Sequence, limit: int | None = None
 ) -> DataFrame:
-    """``wanted`` rows with ``matches``: up to ``limit`` paths whose file name starts with the key, NULL if none.
+    """``wanted`` rows with ``found`` and ``matches``: how many file names start with the key, and their paths in order.
 
+    Both are NULL if there are none. ``limit`` shortens the lists for a report; the count is always of all.
     Every file name is cut to each key length that occurs, which turns the search into an equi-join on the prefix.
     """
     keyed = wanted.withColumn("_prefix", F.lower(strip(F.col(f"`{key}`"))))
@@ -184,14 +195,13 @@ def prefix_matches(
         .filter(F.col("_length") <= F.length("_name"))
         .withColumn("_start", F.expr("substring(_name, 1, _length)"))
     )
-    ranked = top_rows(candidates, ["_start"], order, limit, rank="_rank")
-    lists = (
-        ranked.groupBy("_start")
-        .agg(F.array_sort(F.collect_list(F.struct("_rank", F.col(f"`{path}`").alias("_path")))).alias("_found"))
-        .join(prefixes, F.col("_start") == F.col("_prefix"), "left_semi")
-        .select("_start", F.col("_found._path").alias("matches"))
-    )
-    return join_unique(keyed, ["_prefix"], lists, ["_start"]).drop("_prefix")
+    candidates = candidates.join(prefixes, F.col("_start") == F.col("_prefix"), "left_semi")
+    counts = candidates.groupBy("_start").agg(F.count(F.lit(1)).alias("found"))
+    listed = candidates if limit is None else top_rows(candidates, ["_start"], order, limit, rank="_rank")
+    place = F.struct(*[F.col(o) if isinstance(o, str) else o for o in order], F.col(f"`{path}`").alias("_path"))
+    lists = listed.groupBy("_start").agg(F.transform(F.array_sort(F.collect_list(place)), lambda x: x["_path"]).alias("matches"))
+    both = join_unique(keyed, ["_prefix"], counts, ["_start"])
+    return join_unique(both, ["_prefix"], lists, ["_start"]).drop("_prefix")
 
 
 def fallback_lookup(
@@ -205,7 +215,8 @@ def fallback_lookup(
 ) -> DataFrame:
     """Work rows with the first result that is not cancelled, trying the keys in the given order.
 
-    ``work`` needs a column that tells its rows apart. Adds ``priority`` (position of the key that hit, from 0) and the payload columns, NULL where no key hits.
+    Adds ``priority`` (position of the key that hit, from 0) and the payload columns, NULL where no key hits. Work rows
+    with the same keys are looked up once and all kept.
     """
     alive = results.filter(~F.coalesce(F.contains(F.col(f"`{status}`"), F.lit(CANCELLED)), F.lit(False)))
     candidates = alive.select(
@@ -217,14 +228,15 @@ def fallback_lookup(
         "_candidate",
         F.struct(*[F.col(f"_pay{i}").alias(c) for i, c in enumerate(payload)]).alias("_payload"),
     )
-    terms = work.select(
-        *[F.col(f"`{c}`") for c in work.columns],
-        F.posexplode(F.array(*[F.col(f"`{k}`").cast("string") for k in work_keys])).alias("_priority", "_term"),
-    ).withColumn("_term", F.when((F.lower("_term") != MISSING_TEXT) & (F.col("_term") != ""), F.col("_term")))
-    hits = join_unique(terms, ["_term"], best, ["_candidate"])
-    chosen = hits.groupBy(*[f"`{c}`" for c in work.columns]).agg(
-        F.min(F.when(F.col("_payload").isNotNull(), F.struct("_priority", "_payload"))).alias("_hit")
+    asked = [f"_asked{i}" for i in range(len(work_keys))]
+    terms = work.select(*[F.col(f"`{k}`").cast("string") for k in work_keys]).toDF(*asked).distinct()
+    terms = terms.select(*asked, F.posexplode(F.array(*asked)).alias("_priority", "_term")).withColumn(
+        "_term", F.when((F.lower("_term") != MISSING_TEXT) & (F.col("_term") != ""), F.col("_term"))
     )
+    hits = join_unique(terms, ["_term"], best, ["_candidate"], "inner")
+    first = hits.groupBy(*asked).agg(F.min(F.struct("_priority", "_payload")).alias("_hit"))
+    texts = work.withColumns({f"_text{i}": F.col(f"`{k}`").cast("string") for i, k in enumerate(work_keys)})
+    chosen = join_unique(texts, [f"_text{i}" for i in range(len(work_keys))], first, asked, null_safe=True)
     return chosen.select(
         *[F.col(f"`{c}`") for c in work.columns],
         F.col("_hit._priority").cast("bigint").alias("priority"),

@@ -3,11 +3,11 @@
 Everything is one map-side-combined aggregation over the scan; all later steps work on one row per status.
 """
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cotejo.functions.clean import format_currency, format_percent, to_number
 from cotejo.operators.shape import quoted, resolve_column
-from cotejo.values import GRAND_TOTAL_LABEL, REPORT_ROWS, SUBTOTAL_LABEL, TOTAL_LABEL
+from cotejo.values import GRAND_TOTAL_LABEL, SUBTOTAL_LABEL, TOTAL_LABEL
 
 PERIODS = ("raw", "before", "after")
 
@@ -98,11 +98,13 @@ def snapshot_totals(compared: DataFrame) -> DataFrame:
     )
 
 
-def snapshot_top(totals: DataFrame, period: str, rows: int = REPORT_ROWS) -> DataFrame:
-    """Largest current amount first, the total last, cut to the report length."""
-    return (
-        totals.filter(F.col("period") == period).orderBy("is_total", F.desc("current"), "status").limit(rows)
-    )
+def snapshot_top(totals: DataFrame, period: str | None = None, rows: int | None = None) -> DataFrame:
+    """Per period the largest current amount first, the total last; ``rows`` limits the statuses, never the total."""
+    chosen = totals if period is None else totals.filter(F.col("period") == period)
+    if rows is not None:
+        place = F.row_number().over(Window.partitionBy("period", "is_total").orderBy(F.desc("current"), "status"))
+        chosen = chosen.withColumn("_place", place).filter(F.col("is_total") | (F.col("_place") <= rows)).drop("_place")
+    return chosen.orderBy("period", "is_total", F.desc("current"), "status")
 
 
 def snapshot_formatted(totals: DataFrame) -> DataFrame:

@@ -5,7 +5,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from cotejo.functions.clean import normalize_header, normalize_identifier
+from cotejo.functions.clean import normalize_identifier
+
+
+# Fixed value: headers of columns without a name.
+UNNAMED = r"^Unnamed(\s*:\s*\d+)?$"
 
 
 def quoted(name: str):
@@ -21,14 +25,10 @@ def with_identifiers(df: DataFrame) -> DataFrame:
     return df.toDF(*names)
 
 
-def with_normal_headers(df: DataFrame) -> DataFrame:
-    return df.toDF(*[normalize_header(c) for c in df.columns])
-
-
 def clean_table(df: DataFrame) -> DataFrame:
-    """Tidy headers, drop unnamed columns, drop rows without any value."""
+    """Tidy headers, drop unnamed columns; rows stay as they are."""
     tidy = df.toDF(*[" ".join(c.split()) for c in df.columns])
-    named = [c for c in tidy.columns if not re.match(r"^Unnamed(\s*:\s*\d+)?$", c)]
+    named = [c for c in tidy.columns if not re.match(UNNAMED, c)]
     return tidy.select(*[quoted(c) for c in named])
 
 

@@ -34,8 +34,11 @@ def join_unique(
 ) -> DataFrame:
     """Join with a right side that has at most one row per key; no left row is ever repeated.
 
-    The right key columns are dropped; the other right columns must not clash with the left ones.
+    The right key columns are dropped; other right columns that clash with the left ones are an error.
     """
+    clash = [c for c in right.columns if c not in right_keys and c in left.columns]
+    if clash and how not in ("left_semi", "left_anti"):
+        raise ValueError(f"columns on both sides of the join: {clash}")
     names = [f"_right{i}" for i in range(len(right_keys))]
     renamed = right.select(
         *[F.col(f"`{k}`").alias(n) for k, n in zip(right_keys, names)],

@@ -28,18 +28,20 @@ class Inputs:
 
 
 def run_all(
-    spark: SparkSession, inputs: Inputs, root: str, group_id: str, file_date, table: str, sql_folder: str | None = None
+    spark: SparkSession, inputs: Inputs, root: str, group_id: str, file_date, table: str, sql_folder: str | None = None, **options
 ) -> list[SqlResult]:
-    """Tables under ``root`` per sheet and group, history rows in ``table``; returns the SQL results."""
+    """Tables under ``root`` per sheet and group, history rows in ``table``; returns the SQL results.
 
+    ``options`` go to the lookups (``order``, ``part_width``, ``overwrite``).
+    """
 
     def keep(sheet: str, frame: DataFrame) -> DataFrame:
         return write_sheet(frame, root, sheet, group_id)
 
     loaded = keep("loaded", load_invoices(inputs.catalogs, inputs.xml_lines, inputs.tax_status))
     priced = with_amount(inputs.orders)
-    invoices = keep("invoices", clean_invoices(loaded, priced))
-    accounts = keep("accounts", clean_accounts(inputs.accounts, invoices))
-    orders = keep("orders", enrich_orders(priced, invoices, accounts, inputs.penalties, file_date))
+    invoices = keep("invoices", clean_invoices(loaded, priced, **options))
+    accounts = keep("accounts", clean_accounts(inputs.accounts, invoices, **options))
+    orders = keep("orders", enrich_orders(priced, invoices, accounts, inputs.penalties, file_date, **options))
     append_history(spark, table, prepare_history([orders]), HISTORY_KEY)
     return run_sql_folder(spark, sql_folder) if sql_folder else []

@@ -1,11 +1,14 @@
-"""Run every SQL file of a folder over the registered views."""
+"""Run every SQL file of a folder over the registered views.
+
+The SQL texts themselves are read by the driver, from its own file system.
+"""
 
 import logging
 from dataclasses import dataclass
 from pathlib import Path
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 log = logging.getLogger(__name__)
 
@@ -34,16 +37,23 @@ def run_sql_folder(spark: SparkSession, folder: str, args: dict | None = None) -
     return results
 
 
+def count_rows(result: DataFrame) -> int:
+    """Rows of a result that is worked out in full: a count alone would leave out columns, and their errors."""
+    seen = Observation()
+    result.observe(seen, F.count(F.lit(1)).alias("rows")).write.format("noop").mode("overwrite").save()
+    return seen.get["rows"]
+
+
 def folder_report(spark: SparkSession, results: list[SqlResult]) -> DataFrame:
-    """(file, status, result_rows): the rows of all results counted in one job."""
-    report = None
+    """(file, status, result_rows): every result is run on its own, so that one that fails leaves the others alone."""
+    rows = []
     for item in results:
+        status, count = item.status, None
         if item.result is not None:
-            row = item.result.agg(F.count(F.lit(1)).alias("result_rows"))
-        else:
-            row = spark.range(1).select(F.lit(None).cast("bigint").alias("result_rows"))
-        row = row.select(F.lit(item.file).alias("file"), F.lit(item.status).alias("status"), "result_rows")
-        report = row if report is None else report.unionByName(row)
-    if report is None:
-        return spark.createDataFrame([], "file string, status string, result_rows bigint")
-    return report
+            try:
+                count = count_rows(item.result)
+            except PySparkException as error:
+                log.warning("%s failed: %s", item.file, error)
+                status = "error"
+        rows.append((item.file, status, count))
+    return spark.createDataFrame(rows, "file string, status string, result_rows bigint")

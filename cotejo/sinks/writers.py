@@ -64,19 +64,28 @@ def append_history(
 ) -> None:
     """Append the keys the table does not hold yet (single writer).
 
-    The target is read only in the partitions the batch touches when the partition column is part of the key; their
-    number is the number of snapshots in the batch.
+    When the partition column is part of the key, the target is read only between the batch's first and last snapshot:
+    two scalar subqueries prune its partitions. Columns of the table that the batch lacks become NULL; columns that the
+    table lacks are an error. A batch with a long plan should be stored first, since those bounds read it once more.
     """
     hidden = [c for c in order if isinstance(c, str) and c.startswith("_")]
     names = check_key(batch, key)
     create_table(spark, table, batch.drop(*hidden), key, partition if partition in batch.columns else None)
     target = spark.table(table)
     if partition in names and partition in target.columns:
-        touched = [row[0] for row in batch.select(partition).distinct().collect()]
-        target = target.filter(F.col(partition).isin(*[t for t in touched if t is not None]))
+        bounds = batch.select(F.col(partition).alias("_snapshot"))
+        target = target.filter(
+            (F.col(partition) >= bounds.agg(F.min("_snapshot")).scalar())
+            & (F.col(partition) <= bounds.agg(F.max("_snapshot")).scalar())
+        )
     rows = new_rows(target, batch, key, order, keep).drop(*hidden)
-    # insertInto goes by position; columns the table lacks are not added (no schema evolution on later loads).
-    rows.select(*spark.table(table).columns).write.mode("append").insertInto(table)
+    fields = spark.table(table).schema.fields
+    unknown = [c for c in rows.columns if c not in {f.name for f in fields}]
+    if unknown:
+        raise ValueError(f"columns that the table {table} lacks: {unknown}")
+    # insertInto goes by position.
+    values = [F.col(f"`{f.name}`") if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
+    rows.select(*values).write.mode("append").insertInto(table)
 
 
 def append_jdbc(rows: DataFrame, url: str, table: str, **options) -> None:

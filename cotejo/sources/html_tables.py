@@ -22,15 +22,14 @@ def cell_text(cell: Column) -> Column:
 
 
 def element_rows(pages: DataFrame, key: str, html: str, container: str, row: str, cell: str | None = None) -> DataFrame:
-    """(key, row_no, cells) of the first container; without a cell tag the row itself is the only cell."""
-    first = F.try_element_at(blocks(html, container), F.lit(1))
+    """(key, container_no, row_no, cells) of every container; without a cell tag the row itself is the only cell."""
     texts = (
         F.transform(blocks(F.col("row_html"), cell), cell_text) if cell else F.array(cell_text(F.col("row_html")))
     )
     return (
-        pages.select(F.col(key), once(first).alias("_first"))
-        .select(key, F.posexplode(blocks("_first", row)).alias("row_no", "row_html"))
-        .select(key, F.col("row_no").cast("bigint").alias("row_no"), texts.alias("cells"))
+        pages.select(F.col(key), F.posexplode(blocks(html, container)).alias("container_no", "_own"))
+        .select(key, "container_no", F.posexplode(blocks("_own", row)).alias("row_no", "row_html"))
+        .select(key, *[F.col(c).cast("bigint").alias(c) for c in ("container_no", "row_no")], texts.alias("cells"))
     )
 
 

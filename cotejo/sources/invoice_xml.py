@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cotejo.functions.clean import once, series_folio, strict_number
-from cotejo.sources.lines import read_texts
+from cotejo.sources.lines import read_texts, with_row_numbers
 
 # Namespaces of the two accepted versions and the parts of a document that are read.
 VERSION_PATTERN = r"xmlns(:[\w.-]+)?\s*=\s*[\"'][^\"']*cfd/[34]"
@@ -14,6 +14,7 @@ SCHEMA = """
     Complemento array<struct<TimbreFiscalDigital: struct<_UUID: string>>>,
     _corrupt_record string
 """
+ITEMS = 1_000_000  # more line items than a document has
 OPTIONS = {"rowTag": "Comprobante", "ignoreNamespace": "true", "mode": "PERMISSIVE"}
 
 
@@ -74,3 +75,13 @@ def rejects(parsed: DataFrame) -> DataFrame:
 
 def read_invoices(spark: SparkSession, path: str) -> DataFrame:
     return parse_documents(read_texts(spark, path, "*.xml"))
+
+
+def numbered_items(spark: SparkSession, path: str) -> DataFrame:
+    """Line items of all documents of a path with ``_row_no``: by file, then by place in the document."""
+    texts = read_texts(spark, path, "*.xml").withColumns({"file": F.col("path"), "block": F.lit(0), "line_id": F.lit(0)})
+    files = with_row_numbers(texts).select(F.col("file_name").alias("_name"), F.col("_row_no").alias("_file_no"))
+    items = line_items(headers(parse_documents(texts)))
+    first = files.groupBy("_name").agg(F.min("_file_no").alias("_file_no"))
+    joined = items.join(first, F.col("Archivo") == F.col("_name"))
+    return joined.withColumn("_row_no", F.col("_file_no") * ITEMS + F.col("line_no")).drop("_name", "_file_no")

@@ -1,6 +1,8 @@
 """Text files as ordered lines, split over tasks like any other scan."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 LINE_ORDER = ("block", "line_id")
 
@@ -9,12 +11,13 @@ BOM = "^\ufeff"
 
 
 def read_lines(spark: SparkSession, path: str, **options) -> DataFrame:
-    """(file_name, block, line_id, line); block and line_id give the order inside a file.
+    """(file, file_name, block, line_id, line); block and line_id give the order inside a file.
 
     A large file is read by many tasks: ``block`` is the byte offset of a task's slice, ``line_id`` ascends inside it.
     """
     lines = spark.read.options(**options).text(path)
     return lines.select(
+        F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line_id"),
@@ -22,8 +25,33 @@ def read_lines(spark: SparkSession, path: str, **options) -> DataFrame:
     )
 
 
+def with_row_numbers(lines: DataFrame) -> DataFrame:
+    """Adds ``pos``, the line's position in its file, and ``_row_no``, its position among all lines by file and place.
+
+    Both count from 0 without gaps, and are the same however the files are split among tasks. Nothing is sorted but
+    the slices (one small row each): a line's place in its slice is known from the ascending ids.
+    """
+    slices = lines.groupBy(F.col("file").alias("_file"), F.col("block").alias("_block")).agg(
+        F.min("line_id").alias("_first"), F.count(F.lit(1)).alias("_lines")
+    )
+    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    of_file = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = slices.withColumns({
+        "_start": F.coalesce(F.sum("_lines").over(before), F.lit(0)),
+        "_in_file": F.coalesce(F.sum("_lines").over(of_file), F.lit(0)),
+    }).drop("_lines")
+    joined = lines.join(starts, (F.col("file") == F.col("_file")) & (F.col("block") == F.col("_block")))
+    place = F.col("line_id") - F.col("_first")
+    return joined.withColumns({"pos": F.col("_in_file") + place, "_row_no": F.col("_start") + place}).drop(
+        "_file", "_block", "_first", "_start", "_in_file"
+    )
+
+
 def read_texts(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """(file_name, path, text): one row per file, for documents that must be seen whole."""
+    """(file_name, path, text): one row per file, for documents that must be seen whole.
+
+    A text is one cell, of at most 2 GB, and one task; large files belong to ``read_lines``.
+    """
     files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(path, wholetext=True)
     return files.select(
         F.col("_metadata.file_name").alias("file_name"),
@@ -32,6 +60,17 @@ def read_texts(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     )
 
 
+def index_files(spark: SparkSession, folders: Sequence[str], pattern: str = "*") -> DataFrame:
+    """(path, name): every file below the folders once, with its lower-cased name; a folder given twice counts once."""
+    found = None
+    for folder in dict.fromkeys(f.rstrip("/") for f in folders):
+        own = list_files(spark, folder, pattern).select("path", F.lower(F.element_at(F.split("path", "/"), -1)).alias("name"))
+        found = own if found is None else found.union(own)
+    if found is None:
+        raise ValueError("no folders to search")
+    return found.dropDuplicates(["path"])
+
+
 def list_files(spark: SparkSession, path: str, pattern: str = "*", content: bool = False) -> DataFrame:
     """(path, modified, length): file metadata; contents are read only on request."""
     files = (

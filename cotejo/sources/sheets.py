@@ -43,11 +43,11 @@ def header_rows(rows: DataFrame, rule: Column, limit: int) -> DataFrame:
     )
 
 
-def locate_by_names(rows: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Header with all the names in the first eleven rows, else the first row."""
+def locate_by_names(rows: DataFrame, names: Sequence[str], limit: int = NAMED_ROWS) -> DataFrame:
+    """Header with all the names in the first ``limit`` rows, else the first row."""
     rule = has_names(F.col("cells"), names)
     return (
-        rows.filter((F.col("pos") < NAMED_ROWS) & (rule | (F.col("pos") == 0)))
+        rows.filter((F.col("pos") < limit) & (rule | (F.col("pos") == 0)))
         .groupBy("file")
         .agg(
             F.coalesce(F.min(F.when(rule, F.col("pos"))), F.lit(0)).cast("bigint").alias("header_pos"),
@@ -58,20 +58,20 @@ def locate_by_names(rows: DataFrame, names: Sequence[str]) -> DataFrame:
     )
 
 
-def locate_exact(rows: DataFrame, names: Sequence[str]) -> DataFrame:
-    return header_rows(rows, equals_names(F.col("cells"), names), EXACT_ROWS)
+def locate_exact(rows: DataFrame, names: Sequence[str], limit: int = EXACT_ROWS) -> DataFrame:
+    return header_rows(rows, equals_names(F.col("cells"), names), limit)
 
 
-def locate_notice(rows: DataFrame) -> DataFrame:
+def locate_notice(rows: DataFrame, limit: int = TOKEN_ROWS) -> DataFrame:
     """Header of a payment notice; plain word searches keep the cell-wise test away from nearly all data rows."""
     row = F.lower(F.array_join("cells", CELL))
     likely = F.lit(True)
     for word in ("folio", "fiscal", *NOTICE_TOKENS):
         likely = likely & F.contains(row, F.lit(word))
     texts = F.transform("cells", lambda c: F.lower(strip(F.coalesce(c, F.lit("")))))
-    candidates = rows.filter((F.col("pos") < TOKEN_ROWS) & likely).select("*", once(texts).alias("_texts"))
+    candidates = rows.filter((F.col("pos") < limit) & likely).select("*", once(texts).alias("_texts"))
     rule = has_names(F.col("_texts"), NOTICE_TOKENS) & F.array_join("_texts", CELL).rlike(FOLIO_PATTERN)
-    return header_rows(candidates, rule, TOKEN_ROWS)
+    return header_rows(candidates, rule, limit)
 
 
 def rejected_files(rows: DataFrame, headers: DataFrame) -> DataFrame:
@@ -80,13 +80,17 @@ def rejected_files(rows: DataFrame, headers: DataFrame) -> DataFrame:
 
 
 def rows_below(rows: DataFrame, headers: DataFrame, names: Sequence[str]) -> DataFrame:
-    """(file, pos, one column per name) for the rows under each file's header; NULL where a file lacks the name."""
+    """(file, pos, one column per name) for the rows under each file's header; NULL where a file lacks the name.
+
+    Rows of files without a header place go. An ingest number (``_row_no``) is kept where there is one.
+    """
     places = headers.select(
         "file", "header_pos", *[F.array_position("header", F.lit(n)).cast("int").alias(f"_at_{n}") for n in names]
     )
-    joined = join_unique(rows, ["file"], places, ["file"])
+    joined = join_unique(rows, ["file"], places, ["file"], "inner")
+    number = [c for c in ("_row_no",) if c in rows.columns]
     return joined.filter(F.col("pos") > F.col("header_pos")).select(
-        "file", "pos", *[F.when(F.col(f"_at_{n}") > 0, F.try_element_at("cells", F.col(f"_at_{n}"))).alias(n) for n in names]
+        "file", "pos", *number, *[F.when(F.col(f"_at_{n}") > 0, F.try_element_at("cells", F.col(f"_at_{n}"))).alias(n) for n in names]
     )
 
 

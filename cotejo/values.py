@@ -14,13 +14,11 @@ GRAND_TOTAL_LABEL = "Grand total"
 NULL_MARKERS = ("", "nat", "nan", "none", "null", "n/a", "<na>")
 PAYMENT_NULL_MARKERS = ("", "nat", "nan", "none", "null")
 
-# Date sentinel, snapshot span, report and portal limits, ledger tolerance.
+# Date sentinel, snapshot span, portal limit, ledger tolerance.
 NO_DATE = "1900-01-01 00:00:00"
 GROUP_SPAN_HOURS = 2
-REPORT_ROWS = 30
 PORTAL_ROW_CAP = 100
 LEDGER_TOLERANCE_SECONDS = 1
-LIST_LIMIT = 5
 
 # Column sets of the domain tables.
 HISTORY_KEY = ("numero_orden_suministro", "file_date")

@@ -63,6 +63,14 @@ def test_complete_groups(spark):
     assert tuple(groups.hour_agreement_counts(found, CATS).first()) == (1, 1)
 
 
+def test_missing_group_keys_are_a_group(spark):
+    rows = [(None, "2024-01-01 08:10:00", "x", "p"), (None, "2024-01-01 09:00:00", "y", "q"), ("k", "2024-01-01 08:00:00", "x", "r")]
+    files = spark.createDataFrame(rows, "office string, t string, category string, path string").selectExpr("*", "cast(t as timestamp_ntz) as ts")
+    found = groups.snapshot_groups(files, ("x", "y"), ["office"])
+    assert sorted(((r["office"], r["x"], r["y"]) for r in found.collect()), key=str) == [("k", "r", None), (None, "p", "q")]
+    assert groups.anchored_groups(files, ["office"]).count() == 3
+
+
 def test_newest_day_first(spark):
     ids = ["2025-09-19-08_10", "2025-09-20-15_15", "2025-09-20-09_10"]
     frame = spark.createDataFrame([(i,) for i in ids], "group_id string")

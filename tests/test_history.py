@@ -23,13 +23,13 @@ def test_keep_first_and_last(rows):
 
 def test_existing_rows_never_change(rows):
     target = rows("k string, v int", ("k1", 1)).drop("_row_no")
-    batch = rows("k string, v int", ("k1", 9), ("k2", 2), ("k2", 3), (None, 4))
+    given = rows("k string, v int", ("k1", 9), ("k2", 2), ("k2", 3), (None, 4))
+    batch, refused = history.split_null_keys(given, ["k"])
     last = history.insert_if_absent(target, batch, ["K"], keep="last")
     assert values(last) == {"k1": 1, "k2": 3}
     assert values(history.insert_if_absent(target, batch, ["K"], keep="first")) == {"k1": 1, "k2": 2}
     assert values(history.insert_if_absent(last.drop("_row_no"), batch, ["K"])) == {"k1": 1, "k2": 3}
-    good, refused = history.split_null_keys(batch, ["k"])
-    assert (good.count(), refused.count()) == (3, 1)
+    assert (batch.count(), refused.count()) == (3, 1)
 
 
 def test_key_must_exist(rows):
@@ -76,6 +76,49 @@ def test_append_twice_gives_the_same_table(spark, rows):
     assert list(map(tuple, latest.collect())) == [("o2", "P", 4.0)]
 
 
+def test_missing_keys_fail_and_can_be_set_aside(spark, rows):
+    batch = rows("k string, v int", ("a", 1), (None, 2))
+    target = spark.createDataFrame([], "k string, v int")
+    with pytest.raises(Exception, match="primary key"):
+        history.insert_if_absent(target, batch, ["k"]).collect()
+    full, refused = history.split_null_keys(batch, ["k"])
+    assert history.insert_if_absent(target, full, ["k"]).count() == 1 and [r["v"] for r in refused.collect()] == [2]
+
+
+def test_append_tells_of_columns_the_table_lacks(spark, rows):
+    schema = "numero_orden_suministro string, file_date timestamp_ntz"
+    writers.append_history(spark, "hist.narrow", rows(schema + ", importe double, uuid string", ("o1", D1, 1.0, "u")), HISTORY_KEY)
+    with pytest.raises(ValueError, match="extra"):
+        writers.append_history(spark, "hist.narrow", rows(schema + ", extra int", ("o2", D1, 1)), HISTORY_KEY)
+    writers.append_history(spark, "hist.narrow", rows(schema + ", uuid string", ("o2", D1, "v")), HISTORY_KEY)
+    table = spark.table("hist.narrow").select("numero_orden_suministro", "importe", "uuid")
+    assert sorted(map(tuple, table.collect())) == [("o1", 1.0, "u"), ("o2", None, "v")]
+
+
+def test_append_prunes_the_target(spark, rows):
+    from conftest import plan_of
+
+    batch = rows("numero_orden_suministro string, file_date timestamp_ntz, importe double", ("o1", D1, 1.0), ("o2", D2, 2.0))
+    writers.append_history(spark, "hist.bounds", batch, HISTORY_KEY)
+    target = spark.table("hist.bounds")
+    low = batch.agg({"file_date": "min"}).scalar()
+    pruned = target.filter(target.file_date >= low)
+    pruned.collect()
+    assert "PartitionFilters: [isnotnull(file_date" in plan_of(pruned) and "Subquery" in plan_of(pruned)
+
+
+def test_history_writer_of_a_stream(spark, rows, tmp_path):
+    from cotejo.streaming.ingest import history_writer, run_once
+
+    schema = "numero_orden_suministro string, file_date timestamp_ntz, importe double, _row_no bigint"
+    batch = rows(schema, ("o1", D1, 1.0, 0), ("o1", D1, 2.0, 1))
+    for _ in range(2):
+        batch.write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        run_once(stream, str(tmp_path / "state"), history_writer("hist.streamed")).awaitTermination(120)
+    assert [r["importe"] for r in spark.table("hist.streamed").collect()] == [2.0]
+
+
 def test_latest_snapshot_reads_one_partition(spark, rows):
     from conftest import plan_of
 

@@ -137,8 +137,11 @@ def test_prefixes(rows):
     found = lookup.prefix_matches(wanted, "Folio", names, "name", "path", ("_row_no",))
     assert as_dict(found, "Folio", "matches") == {"f-1": ["/a", "/b"], " F-10 ": ["/b"], "zz": None, None: None}
     many = rows("name string, path string", *[(f"x{i:02}", f"/{i:02}") for i in range(9)])
-    listed = lookup.prefix_matches(rows("Folio string", ("X",)), "Folio", many, "name", "path", ("_row_no",))
-    assert listed.first()["matches"] == [f"/{i:02}" for i in range(5)]
+    one = rows("Folio string", ("X",)).drop("_row_no")
+    listed = lookup.prefix_matches(one, "Folio", many, "name", "path", ("_row_no",)).first()
+    assert (listed["found"], listed["matches"]) == (9, [f"/{i:02}" for i in range(9)])
+    short = lookup.prefix_matches(one, "Folio", many, "name", "path", ("_row_no",), limit=5).first()
+    assert (short["found"], short["matches"]) == (9, [f"/{i:02}" for i in range(5)])
 
 
 def test_fallback_order(rows):
@@ -150,6 +153,36 @@ def test_fallback_order(rows):
     assert found == {1: (1, "first"), 2: (1, "first"), 3: (None, None), 4: (None, None)}
 
 
+def test_fallback_keeps_repeated_work_rows(rows):
+    work = rows("a string, b string", ("k1", "k2"), ("k1", "k2"), (None, None), (None, None)).drop("_row_no")
+    results = rows("x string, st string, v string", ("k2", "Activo", "hit"))
+    got = lookup.fallback_lookup(work, ("a", "b"), results, ("x",), "st", ("v",), ("_row_no",))
+    assert sorted(map(tuple, got.collect()), key=str) == [("k1", "k2", 1, "hit")] * 2 + [(None, None, None, None)] * 2
+
+
+def test_unasked_keys_are_not_joined_up(spark, rows):
+    """A million right rows under labels for missing keys leave before their values are gathered."""
+    from pyspark.sql import functions as F
+
+    left = rows("k string", ("a",), (None,))
+    hit = rows("k string, v string", ("a", "x"), ("a", "y"))
+    missed = spark.range(1_000_000).select(
+        F.when(F.col("id") % 2 == 0, F.lit("no localizado")).otherwise(F.lit("nan")).alias("k"), F.lit("z").alias("v"), F.col("id").alias("_row_no")
+    )
+    spec = lookup.LookupSpec(("k",), ("k",), ("v",))
+    right = hit.unionByName(missed)
+    assert lookup.asked_for(right, spec, left.select("k")).count() == 2
+    got = lookup.populate(left, right, spec)
+    assert sorted((r["k"] or "", r["v"]) for r in got.collect()) == [("", "no localizado"), ("a", "x,y")]
+
+
+def test_join_refuses_columns_on_both_sides(rows):
+    from cotejo.operators.skew import join_unique
+
+    with pytest.raises(ValueError):
+        join_unique(rows("k int, v int", (1, 2)).drop("_row_no"), ["k"], rows("q int, v int", (1, 3)).drop("_row_no"), ["q"])
+
+
 def test_new_documents(rows):
     docs = rows("UUID string, Folio string, Archivo string, n int",
                 ("u1", "f", "a", 1), (None, "g", "b", 2), (None, "h", "c", 3), ("u2", "h", "c", 4), ("u2", "i", "d", 5))

@@ -116,5 +116,27 @@ def test_sinks(spark, tmp_path):
     assert spark.read.option("header", True).csv(f"{root}/csv").columns == ["a", "b"]
 
 
+def test_sql_that_fails_while_it_runs(spark, tmp_path):
+    (tmp_path / "bad.sql").write_text("SELECT CAST(concat('x', id) AS INT) AS n, id FROM range(3)")
+    (tmp_path / "good.sql").write_text("SELECT * FROM range(3)")
+    report = folder_report(spark, run_sql_folder(spark, str(tmp_path)))
+    assert sorted(map(tuple, report.collect())) == [("bad.sql", "error", None), ("good.sql", "ok", 3)]
+
+
+def test_exchanges(spark, rows, inputs):
+    """The number of shuffles of the larger plans, so that none creeps in."""
+    from conftest import plan_of
+
+    from cotejo.operators import groups
+
+    files = spark.createDataFrame([("k", "2024-01-01 08:00:00", "p")], "owner string, t string, path string")
+    stamped = files.withColumn("ts", F.col("t").cast("timestamp_ntz"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert plan_of(groups.anchored_groups(stamped, ["owner"])).count("Exchange hashpartitioning") <= 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_empty_sql_folder(spark, tmp_path):
     assert folder_report(spark, run_sql_folder(spark, str(tmp_path))).count() == 0

@@ -21,7 +21,9 @@ def test_csv_dialect(spark, tmp_path):
         "11,x,y,",
     ]
     (tmp_path / "one.csv").write_text("\n".join(body) + "\n", encoding="utf-8")
-    got = {r["a"]: (r["b"], r["c"]) for r in csv_dialect.read_csv_dialect(spark, str(tmp_path), ["a", "b", "c"]).collect()}
+    found, rejects = csv_dialect.read_csv_dialect(spark, str(tmp_path), ["a", "b", "c"])
+    got = {r["a"]: (r["b"], r["c"]) for r in found.collect()}
+    assert [(r["line"], r["reason"]) for r in rejects.orderBy("pos").collect()] == [("6,too,wide,row", "too many cells"), ("11,x,y,", "too many cells")]
     assert got == {
         "1": ("plain", "z"), "2": ("m,n", "z"), "3": ('p"q', "z"), "4": ('x"y', "z"), "5": (None, "z"),
         "7": ("narrow", None), "8": (None, None), "9": ("q,r", " s "), "10": ("back\\slash", "t"),
@@ -30,10 +32,111 @@ def test_csv_dialect(spark, tmp_path):
 
 def test_csv_with_line_breaks_in_quotes(spark, tmp_path):
     (tmp_path / "one.csv").write_text('a,b\n1,"two\nlines, and ""more"""\n2,x\n', encoding="utf-8")
-    got = csv_dialect.read_csv_dialect(spark, str(tmp_path), ["a", "b"], line_breaks=True)
+    got, _ = csv_dialect.read_csv_dialect(spark, str(tmp_path), ["a", "b"], line_breaks=True)
     assert {r["a"]: r["b"] for r in got.collect()} == {"1": 'two\nlines, and "more"', "2": "x"}
 
 
+def test_every_file_is_read_by_its_own_header(spark, tmp_path):
+    texts = {"1": "a,b,c\n1,2,3\n", "2": "c,b,a\n30,20,10\n\n31,21\n", "3": "a,b,x\n7,8,9\n", "4": "b,a,c\n5,4,6,7\n", "5": ""}
+    for name, text in texts.items():
+        (tmp_path / f"{name}.csv").write_text(text)
+    found, rejects = csv_dialect.read_csv_dialect(spark, str(tmp_path), ["a", "b", "c"])
+    assert sorted((r["a"] or "", r["b"], r["c"]) for r in found.collect()) == [("", "21", "31"), ("1", "2", "3"), ("10", "20", "30")]
+    assert sorted((r["line"], r["reason"]) for r in rejects.collect()) == [
+        ("5,4,6,7", "too many cells"), ("7,8,9", "unknown header"), ("a,b,x", "unknown header"),
+    ]
+    sets = {tuple(r["names"]): len(r["files"]) for r in csv_dialect.header_sets(csv_dialect.read_sheet_rows(spark, str(tmp_path))).collect()}
+    assert sets == {("a", "b", "c"): 3, ("a", "b", "x"): 1}
+
+
+def test_wide_lines_are_not_lost(spark):
+    given = spark.createDataFrame([(1, "a,b"), (2, "a,b,c"), (3, "a")], "n int, line string")
+    assert [r["n"] for r in csv_dialect.wide_lines(given, ["x", "y"]).collect()] == [2]
+    assert sorted(r["n"] for r in csv_dialect.parse_lines(given, ["x", "y"]).collect()) == [1, 3]
+
+
+@pytest.mark.parametrize("size", ["100b", "1k", "100m"])
+def test_row_numbers_do_not_depend_on_the_split(spark, tmp_path, size):
+    for name in ("a", "b", "c"):
+        (tmp_path / f"{name}.txt").write_text("".join(f"{name}{i}\n" for i in range(300)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        numbered = lines.with_row_numbers(lines.read_lines(spark, str(tmp_path)))
+        got = [(r["line"], r["pos"]) for r in numbered.orderBy("_row_no").collect()]
+        assert got == [(f"{name}{i}", i) for name in "abc" for i in range(300)]
+        assert [r["_row_no"] for r in numbered.select("_row_no").orderBy("_row_no").collect()] == list(range(900))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_catalogs_from_files(spark, tmp_path):
+    from cotejo.plans import invoices
+
+    (tmp_path / "1.csv").write_text("title,,\nFactura,x,Total\nF1,?,10\nF2,?,20\n")
+    (tmp_path / "2.csv").write_text("Total,Factura\n30,F1\n")
+    got = invoices.read_catalogs(spark, str(tmp_path), ["Factura", "Total"]).orderBy("_row_no").collect()
+    assert [(r["Factura"], r["Total"]) for r in got] == [("F1", "10"), ("F2", "20"), ("F1", "30")]
+    one = spark.createDataFrame([("F1", 1, 0)], "Factura string, n int, _row_no bigint")
+    two = spark.createDataFrame([("F1", 2, 0)], "f string, m int, r bigint")
+    xml = spark.createDataFrame([("F1", "u", 0)], "Folio string, UUID string, _row_no bigint")
+    assert [r["n"] for r in invoices.load_invoices([one, two], xml).orderBy("_row_no").collect()] == [1, 2]
+
+
+def test_notices_from_files(spark, tmp_path):
+    (tmp_path / "n.csv").write_text("x\nFolio  Fiscal,Referencia,Importe,CLC\nu1,r1,5,c1\n")
+    rows = csv_dialect.read_sheet_rows(spark, str(tmp_path))
+    assert [(r["folio_fiscal"], r["importe"], r["_row_no"]) for r in sheets.read_notices(rows).collect()] == [("u1", "5", 2)]
+
+
+def test_numbered_invoice_items(spark, tmp_path):
+    (tmp_path / "b.xml").write_text(CFDI.format(v=4, rec=RECEIVER, more=SECOND))
+    (tmp_path / "a.xml").write_text(CFDI.format(v=3, rec=RECEIVER, more=""))
+    got = invoice_xml.numbered_items(spark, str(tmp_path)).orderBy("_row_no").collect()
+    assert [(r["Archivo"], r["line_no"]) for r in got] == [("a.xml", 0), ("b.xml", 0), ("b.xml", 1)]
+
+
+def test_damaged_history_files(spark, tmp_path):
+    root = tmp_path / "h"
+    for name in ("one", "two", "three"):
+        spark.range(1000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("v")).coalesce(1).write.parquet(str(root / "s" / f"part={name}"))
+    (damaged,) = (root / "s" / "part=two").glob("*.parquet")
+    raw = bytearray(damaged.read_bytes())
+    raw[4:4000] = bytes(3996)  # pages
+    damaged.write_bytes(bytes(raw))
+    (cut,) = (root / "s" / "part=three").glob("*.parquet")
+    cut.write_bytes(cut.read_bytes()[:-8])  # footer
+    for crc in root.rglob(".*.crc"):
+        crc.unlink()
+    with pytest.raises(Exception):
+        datasets.scan_history_sheets(spark, str(root), "s", "id bigint, v string, part string").agg(F.max("v")).collect()
+    kept, rejects = datasets.scan_readable_sheets(spark, str(root), "s")
+    assert {r["part"]: r["count"] for r in kept.groupBy("part").count().collect()} == {"one": 1000}
+    assert sorted(r["path"].split("/")[-2] for r in rejects.collect()) == ["part=three", "part=two"]
+
+
+def test_work_lists(spark, tmp_path):
+    (tmp_path / "w.csv").write_text("folio,x\n F1 ,1\nF1,2\n,3\n")
+    (tmp_path / "empty.csv").write_text("folio,x\n")
+    assert [r["folio"] for r in datasets.read_receipt_list(spark, str(tmp_path / "w.csv"), "folio").collect()] == ["F1"]
+    for bad in (("empty.csv", "folio"), ("w.csv", "other")):
+        with pytest.raises(ValueError):
+            datasets.read_receipt_list(spark, str(tmp_path / bad[0]), bad[1])
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "A.PDF").write_text("x")
+    found = lines.index_files(spark, [str(tmp_path / "sub"), str(tmp_path / "sub") + "/", str(tmp_path)], "*.PDF")
+    assert [r["name"] for r in found.collect()] == ["a.pdf"]
+
+
+def test_tables_without_values_are_left_out(spark, tmp_path):
+    one = spark.createDataFrame([(1, None), (None, None)], "a int, b string")
+    one.write.parquet(str(tmp_path / "one"))
+    one.filter("a is null").write.parquet(str(tmp_path / "none"))
+    assert [t.count() for t in datasets.read_sheets(spark, [str(tmp_path / "one"), str(tmp_path / "none")])] == [2]
+
+
 def test_line_order(spark, tmp_path):
     (tmp_path / "t.txt").write_text("\n".join(str(i) for i in range(100)), encoding="utf-8")
     got = lines.read_lines(spark, str(tmp_path)).orderBy("file_name", *lines.LINE_ORDER)
