@@ -66,8 +66,10 @@ def scan_readable_sheets(spark: SparkSession, root: str, sheet: str, schema: Str
     names = [F.col(f"`{c}`") for c in rows.columns]
     file = F.col("_metadata.file_path")
     announced = rows.select(file.alias("path")).groupBy("path").agg(F.count(F.lit(1)).alias("announced"))
-    decoded = rows.select(file.alias("path"), F.xxhash64(*names).alias("_hash")).groupBy("path").agg(F.count("_hash").alias("decoded"))
-    good = announced.join(decoded, "path").filter("announced = decoded").select(F.col("path").alias("_good"))
+    # The hash is asked for so that every column is decoded; a count alone would read none.
+    hashed = rows.select(file.alias("path"), F.xxhash64(*names).alias("_hash"))
+    decoded = hashed.groupBy("path").agg(F.count(F.lit(1)).alias("decoded"), F.max("_hash").alias("_seen"))
+    good = announced.join(decoded, "path").filter("announced = decoded and _seen is not null").select(F.col("path").alias("_good"))
     kept = rows.select("*", file.alias("_path")).join(good, F.col("_path") == F.col("_good"), "left_semi").drop("_path")
     return kept, listed.join(good, F.col("path") == F.col("_good"), "left_anti")
 
