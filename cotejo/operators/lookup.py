@@ -36,13 +36,46 @@ class LookupSpec:
         return [c for c in self.left if c not in left.columns] + [c for c in wanted_right if c not in right.columns]
 
 
-def asked_for(right: DataFrame, spec: LookupSpec, wanted: DataFrame) -> DataFrame:
+def _rows(lookups: Sequence[tuple[DataFrame, LookupSpec]], order: str, part_width: int) -> DataFrame:
+    """Rows of all right tables side by side: keys ``_key0``..., order and part, and the values of table n in columns of its own.
+
+    Rows with a NULL key match nothing and are left out.
+    """
+    frames = []
+    for n, (right, spec) in enumerate(lookups):
+        texts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(MISSING_TEXT)) for c in spec.returns]
+        frames.append(
+            right.dropna(subset=list(spec.right)).select(
+                *[F.col(f"`{k}`").alias(f"_key{i}") for i, k in enumerate(spec.right)],
+                F.col(order).alias("_order"),
+                F.floor(F.col(order) / part_width).alias("_part"),
+                F.lit(n).alias("_of"),
+                *[t.alias(f"_text{n}_{i}") for i, t in enumerate(texts)],
+                *[F.col(f"`{c}`").cast("string").alias(f"_single{n}_{i}") for i, c in enumerate(spec.single_numbers)],
+            )
+        )
+    return union_by_name(frames)
+
+
+def _asked_for(rows: DataFrame, keys: Sequence[str], wanted: DataFrame) -> DataFrame:
     """Right rows whose key occurs in ``wanted`` (its columns in the order of the key): only those are worth joining up.
 
-    Labels such as ``no localizado`` and ``nan`` that stand for missing keys on the right go here, before their rows are gathered.
+    Labels such as ``no localizado`` and ``nan`` that stand for missing keys on the right go here, before they are gathered.
     """
-    keys = wanted.dropna().distinct().toDF(*[f"_want{i}" for i in range(len(spec.right))])
-    return join_unique(right, spec.right, keys, keys.columns, "left_semi")
+    asked = wanted.dropna().distinct().toDF(*[f"_want{i}" for i in range(len(keys))])
+    return join_unique(rows, keys, asked, asked.columns, "left_semi")
+
+
+def _parts(rows: DataFrame, keys: Sequence[str], lookups: Sequence[tuple[DataFrame, LookupSpec]]) -> DataFrame:
+    """Comma-joined values per key and range of the order column, in row order; NULL where a table has no row."""
+    values = []
+    for n, (_, spec) in enumerate(lookups):
+        values.append(F.count_if(F.col("_of") == n).alias(f"_rows{n}"))
+        for i in range(len(spec.returns)):
+            name = f"_text{n}_{i}"
+            values.append(F.expr(f"listagg({name}, ',') within group (order by _order, {name})").alias(name))
+        values += [F.min(f"_single{n}_{i}").alias(f"_single{n}_{i}") for i in range(len(spec.single_numbers))]
+    return rows.groupBy(*keys, "_part").agg(*values)
 
 
 def collapse_parts(
@@ -51,47 +84,40 @@ def collapse_parts(
     """Comma-joined right values per key and range of the order column, in row order.
 
     A part covers ``part_width`` row numbers, hence at most that many rows of a key. The rows of one hot key spread
-    over many tasks and are joined up inside the map tasks first. Rows with a NULL key match nothing and are left out.
+    over many tasks and are joined up inside the map tasks first.
     """
-    texts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(MISSING_TEXT)) for c in spec.returns]
-    return (
-        right.dropna(subset=list(spec.right))
-        .select(
-            *[F.col(f"`{k}`") for k in spec.right],
-            F.col(order).alias("_order"),
-            F.floor(F.col(order) / part_width).alias("_part"),
-            *[t.alias(f"_text{i}") for i, t in enumerate(texts)],
-            *[F.col(f"`{c}`").cast("string").alias(f"_single{i}") for i, c in enumerate(spec.single_numbers)],
-        )
-        .groupBy(*[f"`{k}`" for k in spec.right], "_part")
-        .agg(
-            F.count(F.lit(1)).alias("_rows"),
-            *[
-                F.expr(f"listagg(_text{i}, ',') within group (order by _order, _text{i})").alias(c)
-                for i, c in enumerate(spec.returns)
-            ],
-            *[F.min(f"_single{i}").alias(c) for i, c in enumerate(spec.single_numbers)],
-        )
+    keys = [f"_key{i}" for i in range(len(spec.right))]
+    parts = _parts(_rows([(right, spec)], order, part_width), keys, [(right, spec)])
+    return parts.select(
+        *[F.col(k).alias(name) for k, name in zip(keys, spec.right)],
+        "_part",
+        F.col("_rows0").alias("_rows"),
+        *[F.col(f"_text0_{i}").alias(c) for i, c in enumerate(spec.returns)],
+        *[F.col(f"_single0_{i}").alias(c) for i, c in enumerate(spec.single_numbers)],
     )
 
 
 def collapse(
-    lookups: Sequence[tuple[DataFrame, LookupSpec]], order: str = "_row_no", part_width: int = PART_WIDTH
+    lookups: Sequence[tuple[DataFrame, LookupSpec]],
+    order: str = "_row_no",
+    part_width: int = PART_WIDTH,
+    wanted: DataFrame | None = None,
 ) -> DataFrame:
     """One row per key with the joined values of all right tables, key columns ``_key0``, ``_key1``, ...
 
-    The parts of all tables meet in one aggregation, which only concatenates ready parts.
+    The tables travel together: one shuffle picks the wanted keys, one joins up the parts of all tables, and one concatenates
+    ready parts.
     """
-    frames, values = [], []
-    for n, (right, spec) in enumerate(lookups):
-        names = {k: f"_key{i}" for i, k in enumerate(spec.right)}
-        values += [F.expr(f"listagg(`{c}`, ',') within group (order by _part)").alias(c) for c in spec.returns]
+    keys = [f"_key{i}" for i in range(len(lookups[0][1].right))]
+    rows = _rows(lookups, order, part_width)
+    parts = _parts(rows if wanted is None else _asked_for(rows, keys, wanted), keys, lookups)
+    values = []
+    for n, (_, spec) in enumerate(lookups):
+        values += [F.expr(f"listagg(_text{n}_{i}, ',') within group (order by _part)").alias(c) for i, c in enumerate(spec.returns)]
         values += [
-            F.when(F.sum(f"_rows{n}") == 1, to_number(F.min(f"`{c}`"))).alias(c) for c in spec.single_numbers
+            F.when(F.sum(f"_rows{n}") == 1, to_number(F.min(f"_single{n}_{i}"))).alias(c) for i, c in enumerate(spec.single_numbers)
         ]
-        frames.append(collapse_parts(right, spec, order, part_width).withColumnsRenamed({**names, "_rows": f"_rows{n}"}))
-    keys = [f"_key{i}" for i in range(len(lookups[0][1].right))]
-    return union_by_name(frames).groupBy(*keys).agg(*values)
+    return parts.groupBy(*keys).agg(*values)
 
 
 def populate_all(
@@ -120,7 +146,7 @@ def populate_all(
         raise ValueError(f"returned columns already exist: {sorted(set(clash))}")
     kept = left.drop(*[c for c in clash if c not in left_keys])
     wanted = left.select(*[F.col(f"`{k}`") for k in left_keys])
-    collapsed = collapse([(asked_for(right, spec, wanted), spec) for right, spec in usable], order, part_width)
+    collapsed = collapse(usable, order, part_width, wanted)
     joined = join_unique(kept, left_keys, collapsed, [f"_key{i}" for i in range(len(left_keys))])
     return joined.withColumns(
         {c: F.coalesce(F.col(f"`{c}`"), F.lit(NOT_FOUND)) for _, spec in usable for c in spec.returns}

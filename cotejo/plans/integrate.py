@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from cotejo.functions.clean import line_amount, parse_currency, strip_key
 from cotejo.operators.dedup import dedup_first
 from cotejo.operators.filters import active_only, not_cancelled
-from cotejo.operators.lookup import LookupSpec, asked_for, collapse, populate, populate_all
+from cotejo.operators.lookup import LookupSpec, collapse, populate, populate_all
 from cotejo.operators.skew import join_unique
 from cotejo.values import NOT_FOUND
 
@@ -57,8 +57,7 @@ def backfill_orders(accounts: DataFrame, invoices: DataFrame, **options) -> Data
         .select(F.col("`Folio fiscal`").alias("_folio"))
         .distinct()
     )
-    asked = asked_for(invoices, ACCOUNT_INVOICE, open_folios)
-    found = collapse([(asked, ACCOUNT_INVOICE)], **options).withColumnsRenamed({"Referencia": "_order"})
+    found = collapse([(invoices, ACCOUNT_INVOICE)], wanted=open_folios, **options).withColumnsRenamed({"Referencia": "_order"})
     fills = open_folios.join(found, F.col("_folio") == F.col("_key0"), "left").select(
         "_folio", F.coalesce("_order", F.lit(NOT_FOUND)).alias("_order")
     )
