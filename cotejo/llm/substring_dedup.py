@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cotejo.llm.batches import Words, mixed, slices
 from cotejo.llm.common import identified, partitions, real_id, small_batches, stored
+from cotejo.operators.skew import join_unique
 
 WINDOW, MINIMISER = 20, 4
 BUCKETS_PER_PARTITION = 2
@@ -195,15 +196,16 @@ def _sorted(blocks: DataFrame, window: int, hot: int) -> DataFrame:
         edges = np.flatnonzero(np.concatenate([[True], np.diff(least[order]) != 0, [True]]))
         alone = (np.diff(edges) == 1) & (twice[order[edges[:-1]]] == 0)
         for x, y in zip(edges[:-1][~alone].tolist(), edges[1:][~alone].tolist()):
-            entries = []
-            for i in order[x:y].tolist():
-                words, doc, start = texts[i].split(b" "), int(ids[i]), int(starts[i])
-                for k in range(len(words) - window + 1):
-                    entries.append((b" ".join(words[k : k + window]), doc, start + k))
+            own = (
+                (b" ".join(words[k : k + window]), int(ids[i]), int(starts[i]) + k)
+                for i in order[x:y].tolist()
+                for words in (texts[i].split(b" "),)
+                for k in range(len(words) - window + 1)
+            )
             if y - x > hot:
-                yield from ((doc, start, start + window, text) for text, doc, start in entries)
+                yield from ((doc, start, start + window, text) for text, doc, start in own)
             else:
-                yield from ((*place, None) for place in covered(entries))
+                yield from ((*place, None) for place in covered(list(own)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple[int, bytes | None, int, int, int]]:
@@ -238,7 +240,7 @@ def covered_words(docs: DataFrame, window: int = WINDOW, hot: int = HOT) -> Data
     plain = found.where("window is null").select("doc_id", "start", "end")
     dealt = found.where("window is not null")
     first = dealt.groupBy(F.col("window").alias("_window")).agg(F.min(F.struct("doc_id", "start")).alias("_first"))
-    later = dealt.join(first, F.col("window") == F.col("_window")).where(F.struct("doc_id", "start") > F.col("_first"))
+    later = join_unique(dealt, ["window"], first, ["_window"], "inner").where(F.struct("doc_id", "start") > F.col("_first"))
     return plain.union(later.select("doc_id", "start", "end"))
 
 
