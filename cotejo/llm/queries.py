@@ -28,7 +28,7 @@ def op2_quality_rules(table):
 
 @query
 def op3_substring_dedup(table):
-    return substring_dedup.dedup(table("documents"))
+    return substring_dedup.dedup(table("documents")).drop("removed")
 
 
 @query
@@ -70,5 +70,6 @@ def op10_chat_format(table):
 
 
 SQL["op1_decontamination"] = decontaminate.SQL
+SQL["op3_substring_dedup"] = substring_dedup.SQL
 SQL["op7_line_dedup"] = line_dedup.SQL
 SQL["op10_chat_format"] = chat_format.SQL

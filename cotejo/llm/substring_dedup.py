@@ -274,3 +274,19 @@ def dedup(docs: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
 
     result = joined.mapInArrow(run, "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, removed array<struct<start:int,end:int>>")
     return result.select(real_id(), "n_words", "n_removed", "kept_sha256", "removed")
+
+
+SQL = r"""
+WITH texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+    SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM texts)),
+later AS (SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, i) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM later),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM texts),
+kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
+removed AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT t.doc_id, CAST(len(t.w) AS BIGINT) AS n_words, CAST(coalesce(r.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k.text, '')) AS kept_sha256
+FROM texts t LEFT JOIN removed r USING (doc_id) LEFT JOIN kept k USING (doc_id)"""
