@@ -69,8 +69,10 @@ def fit(rows, label: str = "quality", steps: int = 60) -> Model | None:
             total = np.bincount(owner, minlength=len(offsets) - 1)
             key, n = np.unique((owner + low) << BITS | bucket, return_counts=True)
             own = key >> BITS
-            part.append((key & ((1 << BITS) - 1), own, n / total[own - low]))
-    parts = [tuple(map(np.concatenate, zip(*part))) for part in parts]
+            part.append(((key & ((1 << BITS) - 1)).astype(np.int32), own.astype(np.int32), (n / total[own - low]).astype(np.float32)))
+    for i, part in enumerate(parts):  # one at a time: the driver holds the features of the sample once
+        parts[i] = tuple(map(np.concatenate, zip(*part)))
+        part.clear()
     weights, first, second = ([np.zeros(1 << BITS) for _ in parts] for _ in range(3))
     balance = np.where(y == 1, 0.5 / max(1, y[~check].sum()), 0.5 / max(1, (1 - y[~check]).sum())) * ~check
     bias = 0.0
