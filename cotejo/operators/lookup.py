@@ -222,12 +222,15 @@ def prefix_matches(
         .withColumn("_start", F.expr("substring(_name, 1, _length)"))
     )
     candidates = candidates.join(prefixes, F.col("_start") == F.col("_prefix"), "left_semi")
-    counts = candidates.groupBy("_start").agg(F.count(F.lit(1)).alias("found"))
-    listed = candidates if limit is None else top_rows(candidates, ["_start"], order, limit, rank="_rank")
     place = F.struct(*[F.col(o) if isinstance(o, str) else o for o in order], F.col(f"`{path}`").alias("_path"))
-    lists = listed.groupBy("_start").agg(F.transform(F.array_sort(F.collect_list(place)), lambda x: x["_path"]).alias("matches"))
-    both = join_unique(keyed, ["_prefix"], counts, ["_start"])
-    return join_unique(both, ["_prefix"], lists, ["_start"]).drop("_prefix")
+    found = F.count(F.lit(1)).alias("found")
+    matches = F.transform(F.array_sort(F.collect_list(place)), lambda x: x["_path"]).alias("matches")
+    if limit is None:
+        lists = candidates.groupBy("_start").agg(found, matches)
+    else:
+        short = top_rows(candidates, ["_start"], order, limit, rank="_rank").groupBy("_start").agg(matches)
+        lists = candidates.groupBy("_start").agg(found).join(short, "_start")
+    return join_unique(keyed, ["_prefix"], lists, ["_start"]).drop("_prefix")
 
 
 def fallback_lookup(

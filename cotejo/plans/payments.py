@@ -6,14 +6,15 @@ from cotejo.functions.clean import clean_strings, null_markers
 from cotejo.operators.filters import split_payments
 from cotejo.operators.files import first_sheet_per_prefix
 from cotejo.operators.history import insert_if_absent
-from cotejo.sources.sheets import locate_notice, read_notices
+from cotejo.sources.sheets import TOKEN_ROWS, locate_notice, read_notices
 from cotejo.values import PAYMENT_COLUMNS, PAYMENT_KEY, PAYMENT_NULL_MARKERS
 
 
 def notice_rows(files: DataFrame, rows: DataFrame, suffix: str, order: str) -> DataFrame:
     """Typed-as-text rows of the first sheet of every prefix, with the file they came from."""
     chosen = first_sheet_per_prefix(files, suffix, order).select(F.col("first_file").alias("file"))
-    headers = locate_notice(rows).join(chosen, "file", "left_semi")  # one row per file: the rows themselves are dealt once
+    # Only the leading rows are needed to find the headers; the rows below are then dealt once.
+    headers = locate_notice(rows.filter(F.col("pos") < TOKEN_ROWS).join(chosen, "file", "left_semi"))
     notices = read_notices(rows, headers)
     number = F.col("_row_no") if "_row_no" in notices.columns else F.col("pos")
     return notices.select(
