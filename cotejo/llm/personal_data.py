@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from cotejo.llm import labelled
 from cotejo.llm.common import small_batches
 
 KINDS = ("email", "ip", "card", "phone")
@@ -357,6 +358,6 @@ def detect(docs: DataFrame, network: Network | None) -> DataFrame:
 def fitted(docs: DataFrame, most: int = FIT_DOCUMENTS) -> Network | None:
     """The network, trained on base spans of at most ``most`` documents (those with the least id hash)."""
     some = docs.where(F.col("text").rlike("[0-9@]")).select("doc_id", "text")
-    rows = some.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).collect()
+    rows = labelled.least_hashed(some, most).collect()
     x, y = examples([row["text"] for row in rows])
     return train(x, y) if (y > 0).any() else None
