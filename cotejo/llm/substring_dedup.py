@@ -91,7 +91,7 @@ def _cut(docs: DataFrame, window: int, buckets: int) -> DataFrame:
     names = ["bucket", "block", "doc_id", "start", "end"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=3)
+        pack = zstandard.ZstdCompressor(level=6)
         seen: dict[bytes, tuple[int, int]] = {}
         held = gathered = 0
         waiting: list[tuple[np.ndarray, ...]] = []  # bucket, doc_id, start, twice and minimiser of gathered strings
@@ -236,7 +236,7 @@ def covered_words(docs: DataFrame, window: int = WINDOW, hot: int = HOT) -> Data
     """
     small_batches(docs.sparkSession)
     tasks = partitions(docs.sparkSession)
-    found = stored(_sorted(_cut(docs, window, tasks * BUCKETS_PER_PARTITION).repartition(tasks, "bucket"), window, hot))
+    found = stored(_sorted(_cut(docs, window, tasks * BUCKETS_PER_PARTITION).repartitionById(tasks, "bucket"), window, hot))
     plain = found.where("window is null").select("doc_id", "start", "end")
     dealt = found.where("window is not null")
     first = dealt.groupBy(F.col("window").alias("_window")).agg(F.min(F.struct("doc_id", "start")).alias("_first"))
