@@ -45,16 +45,31 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
-    """The documents with a further column for their id that is never null, and its name."""
-    key = fresh(docs, "_key")
-    return docs.withColumn(key, F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID))), key
-
-
 def partitions(session: SparkSession) -> int:
     return int(session.conf.get("spark.sql.shuffle.partitions"))
 
 
+def row_keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The documents with a bigint column that no two rows share and that orders them by doc_id, and its name.
+
+    Where no id is shared (several missing ids are) the key is the id itself. Otherwise the rows that share one are stored
+    with a number of their own, all rows are numbered in the order of (doc_id, own number), and that is stored too.
+    """
+    key, at, row = fresh(docs, "_key"), fresh(docs, "_at"), fresh(docs, "_row")
+    rows = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)))
+    shared = rows.groupBy(F.col(key).alias("_shared")).agg(F.count("*").alias("_n")).where("_n > 1").select("_shared")
+    if shared.isEmpty():
+        return rows, key
+    shared = stored(shared)
+    several = stored(rows.join(shared, F.col(key) == F.col("_shared"), "left_semi").withColumn(at, F.monotonically_increasing_id()))
+    single = rows.join(shared, F.col(key) == F.col("_shared"), "left_anti").withColumn(at, F.lit(0).cast("bigint"))
+    both = single.unionByName(several)
+    in_order = both.select(key, at).repartitionByRange(partitions(docs.sparkSession), key, at).sortWithinPartitions(key, at)
+    numbers = stored(in_order.select(F.col(key).alias("_of"), F.col(at).alias("_nth"), F.monotonically_increasing_id().alias(row)))
+    numbered = both.join(numbers, (F.col(key) == F.col("_of")) & (F.col(at) == F.col("_nth")))
+    return numbered.select(*[F.col(f"`{c}`") for c in docs.columns], F.col(row).alias(key)), key
+
+
 def ranked(df: DataFrame, group: list[str], order: list[Column], rows_per_cell: int = 5_000) -> DataFrame:
     """Adds ``rank``: gapless from 0 within each group, without bringing a group into one task. ``df`` should be stored.
 

@@ -11,7 +11,8 @@ classes of items that it is large enough to hold. Candidates are then verified b
 
 An item of fewer than five words is one shingle of all of them, looked up among document shingles of that width. Null
 and empty texts have no shingles: such items are held by nothing, such documents hold nothing. Missing ids are reported as
-null; rows that share an id count as one, with their best share. Further columns play no part.
+null; rows that share an id are reported as one, with their best share, and cleaned each by its own text. Further columns
+play no part.
 
 Item sketches are joined as Spark chooses by their size; with a large benchmark that is a shuffled join of small rows,
 whose hot hashes adaptive execution splits. Texts are shuffled once, to verify the candidates.
@@ -22,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cotejo.functions.clean import once
-from cotejo.llm.common import NO_ID, fresh, identified, keyed, real_id, stored
+from cotejo.llm.common import NO_ID, fresh, identified, real_id, row_keyed, stored
 
 WIDTH, SHARE = 5, 0.8
 NOT_WORD = r"[^\p{L}\p{M}\p{N}]+"
@@ -104,9 +105,9 @@ def holders(docs: DataFrame, items: DataFrame, share: float = SHARE) -> DataFram
 
 def clean(docs: DataFrame, items: DataFrame, share: float = SHARE) -> DataFrame:
     """The documents that hold no item, with all their columns."""
-    rows, key = keyed(docs)
+    rows, key = row_keyed(docs)
     name = fresh(rows, "_held")
-    held = holders(docs, items, share).select(F.coalesce("doc_id", F.lit(NO_ID)).alias(name)).distinct()
+    held = holders(rows.select(F.col(key).alias("doc_id"), "text"), items, share).select(F.coalesce("doc_id", F.lit(NO_ID)).alias(name)).distinct()
     return rows.join(held, F.col(key) == F.col(name), "left_anti").drop(key)
 
 

@@ -6,8 +6,8 @@ first stays (smallest doc_id, then earliest place); every line covered by a late
 overlapping windows are merged. A text that loses nothing is returned unchanged; a null text stays null.
 
 Only hashes and places are shuffled to find windows: the first place of each is an aggregation with a combine in
-every map task, and it is joined back so that hot windows can be split. Rows that share a doc_id are one place: equal
-windows at the same place are no copies of each other. A missing doc_id is the smallest id and stays null.
+every map task, and it is joined back so that hot windows can be split. Rows that share a doc_id are documents of their
+own, one after the other. A missing doc_id is the smallest id and stays null.
 """
 
 import hashlib
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cotejo.functions.clean import once
 from cotejo.llm.batches import SPACES
-from cotejo.llm.common import fresh, identified, keyed, real_id, small_batches
+from cotejo.llm.common import fresh, row_keyed, small_batches
 from cotejo.operators.skew import join_unique
 
 LINES = 3
@@ -39,8 +39,8 @@ def windows(docs: DataFrame, lines: int = LINES) -> DataFrame:
 
 
 def repeated(docs: DataFrame, lines: int = LINES) -> DataFrame:
-    """(_doc, places): the places of later copies in each document that has any."""
-    found = windows(identified(docs), lines)
+    """(_doc, places): the places of later copies in each document that has any; no two documents share a doc_id."""
+    found = windows(docs, lines)
     at = F.struct("doc_id", "place")
     first = found.groupBy("h1", "h2").agg(F.min(at).alias("_first"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
     later = join_unique(found, ["h1", "h2"], first, ["h1", "h2"], "inner").where(at > F.col("_first"))
@@ -62,9 +62,10 @@ def without(text: str, places: list[int], lines: int) -> tuple[str, int]:
 
 
 def _marked(docs: DataFrame, lines: int) -> DataFrame:
-    rows, key = keyed(docs)
+    rows, key = row_keyed(docs)
     doc, places = fresh(rows, "_doc"), fresh(rows, "_places")
-    return rows.join(repeated(docs, lines).toDF(doc, places), F.col(key) == F.col(doc), "left").drop(key, doc)
+    of_rows = repeated(rows.select(F.col(key).alias("doc_id"), "text"), lines)
+    return rows.join(of_rows.toDF(doc, places), F.col(key) == F.col(doc), "left").drop(key, doc)
 
 
 def dedup(docs: DataFrame, lines: int = LINES) -> DataFrame:
@@ -100,8 +101,8 @@ def removals(docs: DataFrame, lines: int = LINES) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.string()))], names=["doc_id", "n_lines", "n_removed", "kept_sha256"])
 
-    rows = _marked(identified(docs), lines).mapInArrow(run, "doc_id bigint, n_lines bigint, n_removed bigint, kept_sha256 string")
-    return rows.select(real_id(), "n_lines", "n_removed", "kept_sha256")
+    rows = _marked(docs.select(F.col("doc_id").cast("bigint"), "text"), lines)
+    return rows.mapInArrow(run, "doc_id bigint, n_lines bigint, n_removed bigint, kept_sha256 string")
 
 
 SQL = """

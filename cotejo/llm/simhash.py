@@ -12,8 +12,8 @@ within the group: a group returns a star per class, at most one link per member.
 dealt again by the blocks of the remaining bits, which is exact for the same reason, until groups are small or all
 blocks are used. Classes are the components of all links.
 
-Repeated rows with one doc_id count once or several times alike; a missing doc_id is the smallest id and comes back
-null, also as component.
+Nodes are fingerprints, so rows that share a doc_id are linked only by their texts. A missing doc_id is the smallest id
+and comes back null, also as component.
 """
 
 from collections.abc import Iterator
@@ -24,7 +24,8 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from cotejo.llm.batches import Words, slices
-from cotejo.llm.common import NO_ID, components, fresh, identified, keyed, partitions, real_id, small_batches, stored
+from cotejo.llm.common import NO_ID, components, fresh, identified, partitions, real_id, row_keyed, small_batches, stored
+from cotejo.operators.skew import join_unique
 
 SHINGLE, BITS, SEED = 4, 4, 42
 MOST = 2_000  # fingerprints that a group joins itself, unless no block is left to deal by
@@ -189,20 +190,23 @@ def _joined(groups: DataFrame, budget: int) -> DataFrame:
 def near_classes(docs: DataFrame, budget: int = BITS, most: int = MOST) -> DataFrame:
     """doc_id, fingerprint (16 hexadecimal digits) and component_id, the smallest doc_id reachable, of every document."""
     prints = stored(fingerprints(docs))
-    nodes = stored(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("node")))
-    classes = components(links(nodes, budget, most))
-    of_node = nodes.join(classes.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
-    of_print = of_node.select(F.col("fingerprint").alias("_print"), F.coalesce("component", "node").alias("component_id"))
+    nodes = stored(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least")))
+    linked_nodes = components(links(nodes.select(F.col("fingerprint").alias("node"), "fingerprint"), budget, most))
+    of_node = nodes.join(linked_nodes, F.col("fingerprint") == F.col("node"), "left")
+    of_node = stored(of_node.select("fingerprint", "least", F.coalesce("component", "fingerprint").alias("class")))
+    of_class = of_node.groupBy("class").agg(F.min("least").alias("component_id"))
+    of_print = join_unique(of_node, ["class"], of_class, ["class"], "inner").select(F.col("fingerprint").alias("_print"), "component_id")
     rows = prints.join(of_print, F.col("fingerprint") == F.col("_print"))
     return rows.select(real_id(), F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), real_id("component_id"))
 
 
 def one_of_each(docs: DataFrame, budget: int = BITS) -> DataFrame:
-    """The documents that are the smallest of their class, with all their columns; of rows that share that id one stays."""
-    classes = near_classes(docs, budget).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    chosen = stored(classes.groupBy(F.coalesce("doc_id", F.lit(NO_ID)).alias("_chosen")).agg(F.count("*").alias("_rows")))
-    rows, key = keyed(docs)
-    kept = rows.join(chosen.select(F.col("_chosen").alias(fresh(rows, "_chosen"))), F.col(key) == F.col(fresh(rows, "_chosen")), "left_semi")
-    if not chosen.where("_rows > 1").isEmpty():
-        kept = kept.dropDuplicates([key])
-    return kept.drop(key)
+    """One document of each class, with all its columns: that with the smallest id among those with a text, if any has one."""
+    rows, key = row_keyed(docs)
+    own = rows.select(F.col(key).alias("doc_id"), "text")
+    classes = near_classes(own, budget).select(*[F.coalesce(c, F.lit(NO_ID)).alias(c) for c in ("doc_id", "component_id")])
+    empty = own.where("text is null").select(F.col("doc_id").alias("_empty"), F.lit(True).alias("_no_text"))
+    order = F.struct(F.coalesce("_no_text", F.lit(False)), F.col("doc_id").alias("_chosen"))
+    ordered = classes.join(empty, F.col("doc_id") == F.col("_empty"), "left")
+    chosen = stored(ordered.groupBy("component_id").agg(F.min(order).alias("_least")).select(F.col("_least._chosen").alias(fresh(rows, "_chosen"))))
+    return rows.join(chosen, F.col(key) == F.col(fresh(rows, "_chosen")), "left_semi").drop(key)

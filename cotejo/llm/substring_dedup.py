@@ -13,8 +13,8 @@ word by word, never by hash alone.
 * A minimiser with more strings than ``HOT`` in a bucket is dealt once more, window by window, over buckets by the
   window's own hash; thus no minimiser, however common, is sorted by one task.
 
-A missing text has no words; a missing doc_id is the smallest id. Rows that share a doc_id are one place: of two equal
-windows at the same place neither is earlier. Further columns of the input play no part.
+A missing text has no words; a missing doc_id is the smallest id. Rows that share a doc_id are documents of their own,
+one after the other. Further columns of the input play no part.
 """
 
 import hashlib
@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from cotejo.llm.batches import Words, mixed, slices
-from cotejo.llm.common import identified, partitions, real_id, small_batches, stored
+from cotejo.llm.common import partitions, row_keyed, small_batches, stored
 from cotejo.operators.skew import join_unique
 
 WINDOW, MINIMISER = 20, 4
@@ -230,7 +230,7 @@ def _sorted(blocks: DataFrame, window: int, hot: int) -> DataFrame:
 
 
 def covered_words(docs: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
-    """(doc_id, start, end) of word ranges covered by repeated windows; ranges may overlap.
+    """(doc_id, start, end) of word ranges covered by repeated windows; ranges may overlap. No two documents share a doc_id.
 
     The windows of hot minimisers are settled by an aggregation and a join on the window.
     """
@@ -246,9 +246,10 @@ def covered_words(docs: DataFrame, window: int = WINDOW, hot: int = HOT) -> Data
 
 def dedup(docs: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and removed (merged word ranges) of every document."""
-    docs = identified(docs)
-    ranges = covered_words(docs, window, hot).groupBy(F.col("doc_id").alias("_doc")).agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("ranges"))
-    joined = docs.join(ranges, F.col("doc_id") == F.col("_doc"), "left").select("doc_id", "text", "ranges")
+    rows, key = row_keyed(docs.select(F.col("doc_id").cast("bigint"), "text"))
+    covered = covered_words(rows.select(F.col(key).alias("doc_id"), "text"), window, hot)
+    ranges = covered.groupBy(F.col("doc_id").alias("_doc")).agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("ranges"))
+    joined = rows.join(ranges, F.col(key) == F.col("_doc"), "left").select("doc_id", "text", "ranges")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -272,9 +273,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), kinds)], names=names)
 
-    result = joined.mapInArrow(run, "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, removed array<struct<start:int,end:int>>")
-    return result.select(real_id(), "n_words", "n_removed", "kept_sha256", "removed")
-
+    return joined.mapInArrow(run, "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, removed array<struct<start:int,end:int>>")
 
 SQL = r"""
 WITH texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
