@@ -8,6 +8,8 @@ import pyarrow as pa
 SPACES = b"\t\n\x0b\x0c\r "  # what separates words: x20 and x09 to x0D
 IS_WORD = np.ones(256, bool)
 IS_WORD[list(SPACES)] = False
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 SLICE_BYTES = 2 << 20
 MIX = np.uint64(0x9E3779B97F4A7C15)
 POWER = np.uint64(0x100000001B3)

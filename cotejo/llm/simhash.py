@@ -23,16 +23,15 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from cotejo.llm.batches import Words, slices
-from cotejo.llm.common import NO_ID, components, fresh, identified, partitions, real_id, row_keyed, small_batches, stored
+from cotejo.llm.batches import LOWER, Words, slices
+from cotejo.llm.common import components, fresh, identified, partitions, real_id, row_keyed, small_batches, stored
+from cotejo.llm.near_copies import representatives
 from cotejo.operators.skew import join_unique
 
 SHINGLE, BITS, SEED = 4, 4, 42
 MOST = 2_000  # fingerprints that a group joins itself, unless no block is left to deal by
 LEVELS = 3  # rounds of dealing by blocks
 PAIRS = 1 << 18  # pairs of trie nodes that descend at once
-LOWER = np.arange(256, dtype=np.uint8)
-LOWER[65:91] += 32
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -200,13 +199,8 @@ def near_classes(docs: DataFrame, budget: int = BITS, most: int = MOST) -> DataF
     return rows.select(real_id(), F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), real_id("component_id"))
 
 
-def one_of_each(docs: DataFrame, budget: int = BITS) -> DataFrame:
-    """One document of each class, with all its columns: that with the smallest id among those with a text, if any has one."""
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One document of each class of near copies (see there), with all its columns."""
     rows, key = row_keyed(docs)
-    own = rows.select(F.col(key).alias("doc_id"), "text")
-    classes = near_classes(own, budget).select(*[F.coalesce(c, F.lit(NO_ID)).alias(c) for c in ("doc_id", "component_id")])
-    empty = own.where("text is null").select(F.col("doc_id").alias("_empty"), F.lit(True).alias("_no_text"))
-    order = F.struct(F.coalesce("_no_text", F.lit(False)), F.col("doc_id").alias("_chosen"))
-    ordered = classes.join(empty, F.col("doc_id") == F.col("_empty"), "left")
-    chosen = stored(ordered.groupBy("component_id").agg(F.min(order).alias("_least")).select(F.col("_least._chosen").alias(fresh(rows, "_chosen"))))
+    chosen = stored(representatives(rows.select(F.col(key).alias("doc_id"), "text")).toDF(fresh(rows, "_chosen")))
     return rows.join(chosen, F.col(key) == F.col(fresh(rows, "_chosen")), "left_semi").drop(key)

@@ -1,0 +1,68 @@
+"""Near copies at a similarity of 0.8, against a plain version."""
+
+import re
+from collections import defaultdict
+
+import pytest
+
+from awkward_rows import docs  # noqa: F401
+from cotejo.llm import near_copies, simhash
+
+
+def shingles(text):
+    words = re.findall("[^\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
+    return {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
+
+
+def plain_classes(pairs):
+    """The least place of the class of each (doc_id, text)."""
+    sets, label, places = [shingles(t) for _, t in pairs], list(range(len(pairs))), defaultdict(list)
+    for i, own in enumerate(sets):
+        for x in own:
+            places[x].append(i)
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for i, own in enumerate(sets):
+        shared = defaultdict(int)
+        for x in own:
+            for k in places[x]:
+                if k < i:
+                    shared[k] += 1
+        for k, n in shared.items():
+            if n >= 0.8 * (len(own) + len(sets[k]) - n):
+                a, b = sorted((root(i), root(k)))
+                label[b] = a
+    return [root(i) for i in range(len(pairs))]
+
+
+def changed(words, *places):
+    return " ".join("new" + w if i in places else w for i, w in enumerate(words))
+
+
+def test_near_copies_go_and_others_stay(docs):  # noqa: F811
+    words = [f"w{i}" for i in range(100)]
+    near, far = changed(words, 30, 60), changed(words, 20, 50, 80)  # 86 of 106 and 81 of 111 shingles
+    got = simhash.one_of_each(docs((1, changed(words)), (2, near.upper().replace("NEW", "new")), (3, far)))
+    assert sorted(r.doc_id for r in got.collect()) == [1, 3]
+
+
+def test_a_group_is_settled_whatever_its_hubs(docs):  # noqa: F811
+    words = [f"w{i}" for i in range(100)]
+    # All of them share bands; the unchanged one comes last.
+    chain = [(k, changed(words, *range(10 * (k % 10), 10 * (k % 10) + 4)) if k else changed(words)) for k in (3, 8, 1, 5, 9, 0)]
+    rows = [(i, t) for i, (_, t) in enumerate(chain)] + [(50 + i, " ".join(f"{i}x{k}" for k in range(40))) for i in range(3)]
+    expected = sorted({rows[k][0] for k in plain_classes(rows)})
+    assert sorted(r.doc_id for r in simhash.one_of_each(docs(*rows)).collect()) == expected
+
+
+@pytest.mark.parametrize("more", [1, near_copies.MORE_HUBS])
+def test_classes_of_documents(spark, monkeypatch, more):
+    monkeypatch.setattr(near_copies, "MORE_HUBS", more)
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    pairs = sorted(tuple(r) for r in table.select("doc_id", "text").collect())
+    expected = sorted({pairs[k][0] for k in plain_classes(pairs)})
+    assert sorted(r.doc_id for r in simhash.one_of_each(table).select("doc_id").collect()) == expected
