@@ -10,8 +10,9 @@ word by word, never by hash alone.
 * Strings of one bucket travel as compressed blocks, which takes about the corpus's own size of shuffle instead of three times
   that. Buckets follow ``spark.sql.shuffle.partitions``; a task sorts its buckets one after another, so memory holds
   a bucket's strings at a time.
-* A minimiser with more strings than ``HOT`` in a bucket is dealt once more, window by window, over buckets by the
-  window's own hash; thus no minimiser, however common, is sorted by one task.
+* Windows are counted per minimiser first (by ``SLOTS`` bits of its hash). Where there are more than ``HOT``, strings are cut
+  into windows in the map tasks already and travel by document; Spark aggregates them by window. Thus no task receives a
+  minimiser, however common, as a whole.
 
 A missing text has no words; a missing doc_id is the smallest id. Rows that share a doc_id are documents of their own,
 one after the other. Further columns of the input play no part.
@@ -33,10 +34,11 @@ from cotejo.operators.skew import join_unique
 WINDOW, MINIMISER = 20, 4
 BUCKETS_PER_PARTITION = 2
 LONGEST = 4096  # windows in one string; longer ones are cut
-HOT = 20_000  # strings of one minimiser that a bucket sorts itself
+HOT = 20_000  # windows of one minimiser that a bucket sorts itself
+SLOTS = 21  # bits of a minimiser by which windows are counted
 REMEMBERED = 16 << 20  # bytes of strings that a task remembers
 GATHERED = 16 << 20  # bytes of strings that a task makes into blocks at a time
-BLOCK = "bucket int, block binary, doc_id bigint, start int, end int"
+BLOCK = "bucket int, block binary, doc_id bigint, start int, end int, window binary"
 COVERED = "doc_id bigint, start int, end int"
 
 
@@ -84,11 +86,32 @@ def _sliding(x: np.ndarray, size: int, of) -> np.ndarray:
     return out
 
 
-def _cut(docs: DataFrame, window: int, buckets: int) -> DataFrame:
-    """Strings in compressed blocks by bucket, and places already known to repeat."""
+def _slots(least: np.ndarray) -> np.ndarray:
+    return (least >> np.uint64(64 - SLOTS)).astype(np.int64)
 
-    kinds = (pa.int32(), pa.binary(), pa.int64(), pa.int32(), pa.int32())
-    names = ["bucket", "block", "doc_id", "start", "end"]
+
+def hot_slots(docs: DataFrame, window: int, hot: int) -> np.ndarray:
+    """Slots of minimisers with more than ``hot`` windows in all documents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = np.zeros(1 << SLOTS, np.int64)
+        for batch in batches:
+            for _, _, data, offsets in slices(batch.column(1)):
+                begin, stop, least, _ = strings(Words(data, offsets), window)
+                np.add.at(count, _slots(least), stop - begin - window + 1)
+        used = np.flatnonzero(count)
+        if len(used):
+            yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(count[used])], names=["slot", "n"])
+
+    counts = docs.select("doc_id", "text").mapInArrow(run, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
+    return np.array(sorted(row["slot"] for row in counts.where(F.col("n") > hot).select("slot").collect()), np.int64)
+
+
+def _cut(docs: DataFrame, window: int, buckets: int, hot: np.ndarray) -> DataFrame:
+    """Strings in compressed blocks by bucket, places already known to repeat, and the windows of hot slots."""
+
+    kinds = (pa.int32(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+    names = ["bucket", "block", "doc_id", "start", "end", "window"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=6)
@@ -106,7 +129,13 @@ def _cut(docs: DataFrame, window: int, buckets: int) -> DataFrame:
                 own = order[x:y]
                 out.append(pack.compress(_head(*[column[own] for column in head]) + b"\n".join(texts[i] for i in own.tolist())))
             none = [None] * len(out)
-            return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip((bucket[order[edges[:-1]]], out, none, none, none), kinds)], names=names)
+            return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip((bucket[order[edges[:-1]]], out, none, none, none, none), kinds)], names=names)
+
+        def windows(own: list[tuple[bytes, int, int]]) -> Iterator[tuple]:
+            for text, doc, at in own:
+                split = text.split(b" ")
+                for k in range(len(split) - window + 1):
+                    yield (doc + at + k) % buckets, None, doc, at + k, at + k + window, b" ".join(split[k : k + window])
 
         for batch in batches:
             for low, end, data, offsets in slices(batch.column(1)):
@@ -124,29 +153,36 @@ def _cut(docs: DataFrame, window: int, buckets: int) -> DataFrame:
                 start = words.place[begin]
                 known: list[int] = []
                 travel: list[int] = []
+                dealt: list[tuple[bytes, int, int]] = []
+                is_hot = np.isin(_slots(least), hot).tolist()
                 for i, (a, b, at) in enumerate(zip(froms, tos, zip(ids.tolist(), start.tolist()))):
                     text = joined[a:b]
                     first = seen.get(text)
                     if first is not None and first < at:
                         known.append(i)
                         continue
-                    travel.append(i)
-                    texts.append(text)
-                    gathered += b - a
+                    if is_hot[i]:
+                        dealt.append((text, *at))
+                    else:
+                        travel.append(i)
+                        texts.append(text)
+                        gathered += b - a
                     if first is None:
                         held += b - a + 200
                         if held > REMEMBERED:
                             seen.clear()
                             held = b - a
                     seen[text] = at
+                for chunk in itertools.batched(windows(dealt), 20_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*chunk), kinds)], names=names)
                 own = np.array(travel, np.int64)
                 waiting.append(((least[own] % np.uint64(buckets)).astype(np.int32), ids[own], start[own], twice[own], least[own]))
                 if known:
                     own = np.array(known)
                     none = [None] * len(own)
-                    columns = ((ids[own] % buckets).astype(np.int32), none, ids[own], start[own].astype(np.int32), (start + stop - begin)[own].astype(np.int32))
+                    columns = ((ids[own] % buckets).astype(np.int32), none, ids[own], start[own].astype(np.int32), (start + stop - begin)[own].astype(np.int32), none)
                     yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(columns, kinds)], names=names)
-                if gathered > GATHERED:
+                if gathered > GATHERED and texts:
                     yield blocks()
                     waiting, texts, gathered = [], [], 0
         if texts:
@@ -168,8 +204,8 @@ def _unpacked(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     return np.cumsum(ids), start, twice, least, raw[4 + 17 * n :].split(b"\n")
 
 
-def _sorted(blocks: DataFrame, window: int, hot: int) -> DataFrame:
-    """Covered places; windows of hot minimisers come back as (window, doc_id, start) to be dealt anew."""
+def _sorted(blocks: DataFrame, window: int) -> DataFrame:
+    """Covered places; windows of hot slots pass with their place."""
 
     def covered(entries: list[tuple[bytes, int, int]]) -> Iterator[tuple[int, int, int]]:
         """Ranges of the repeated windows, those that touch or overlap as one."""
@@ -202,22 +238,19 @@ def _sorted(blocks: DataFrame, window: int, hot: int) -> DataFrame:
                 for words in (texts[i].split(b" "),)
                 for k in range(len(words) - window + 1)
             )
-            if y - x > hot:
-                yield from ((doc, start, start + window, text) for text, doc, start in own)
-            else:
-                yield from ((*place, None) for place in covered(list(own)))
+            yield from ((*place, None) for place in covered(list(own)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Iterator[tuple[int, bytes | None, int, int, int]]:
+        def rows() -> Iterator[tuple[int, bytes | None, int, int, int, bytes | None]]:
             for batch in batches:
                 yield from zip(*[column.to_pylist() for column in batch.columns])
 
         def found() -> Iterator[tuple[int, int, int, bytes | None]]:
             for _, own in itertools.groupby(rows(), key=lambda row: row[0]):
                 parts = []
-                for _, block, doc, start, end in own:
+                for _, block, doc, start, end, text in own:
                     if block is None:
-                        yield doc, start, end, None
+                        yield doc, start, end, text
                     else:
                         parts.append(block)
                 if parts:
@@ -232,11 +265,12 @@ def _sorted(blocks: DataFrame, window: int, hot: int) -> DataFrame:
 def covered_words(docs: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
     """(doc_id, start, end) of word ranges covered by repeated windows; ranges may overlap. No two documents share a doc_id.
 
-    The windows of hot minimisers are settled by an aggregation and a join on the window.
+    The windows of hot slots are settled by an aggregation and a join on the window.
     """
     small_batches(docs.sparkSession)
     tasks = partitions(docs.sparkSession)
-    found = stored(_sorted(_cut(docs, window, tasks * BUCKETS_PER_PARTITION).repartitionById(tasks, "bucket"), window, hot))
+    cut = _cut(docs, window, tasks * BUCKETS_PER_PARTITION, hot_slots(docs, window, hot))
+    found = stored(_sorted(cut.repartitionById(tasks, "bucket"), window))
     plain = found.where("window is null").select("doc_id", "start", "end")
     dealt = found.where("window is not null")
     first = dealt.groupBy(F.col("window").alias("_window")).agg(F.min(F.struct("doc_id", "start")).alias("_first"))
