@@ -5,10 +5,10 @@ model is trained in numpy, on the driver, from labelled spans: base spans in a b
 same values in disguises the rules don't know (masked at signs, numbers without a plus or with other separators), each in its
 surroundings; look-alikes (versions, hashes, keys, ids) are labelled as nothing.
 
-A value of these kinds holds a digit or an at sign, plain or masked. Windows are laid over every place with one, with a margin,
-overlapping by half; a window without is never decoded because it can't hold a span. Windows of many texts are scored
-together, decoded by Viterbi, and reconciled over the whole text: each place takes the tag of the window in whose
-middle it stands. Spans that cross windows come out whole. A span is added if it meets its kind's own conditions (Luhn, number of
+Windows are laid over the whole text, overlapping by half, and each place takes the tag of the window in whose middle it
+stands. A span is accepted only with a digit or where it touches an address, plain or with "at" and "dot" spelled out in
+any case, which it then covers as a whole. So the windows with those are decoded first, and from them on to either side as long as a span goes on: the accepted spans are those of
+decoding every window. Windows of many texts are scored together and decoded by Viterbi. Spans that cross windows come out whole. A span is added if it meets its kind's own conditions (Luhn, number of
 digits, parts up to 255) and touches no base span.
 
 Offsets count code points. Null and empty texts have no spans; missing ids stay null, repeated rows are judged alike,
@@ -17,7 +17,7 @@ further columns play no part. Without labelled spans to learn from, the base spa
 
 import hashlib
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,7 +30,7 @@ from cotejo.llm.common import small_batches
 
 KINDS = ("email", "ip", "card", "phone")
 FIT_DOCUMENTS = 1500  # documents with an at sign or a digit that the model may learn from
-WINDOW, STRIDE, MARGIN = 64, 32, 24
+WINDOW, STRIDE = 64, 32
 HIDDEN, SYMBOLS = 20, 130  # units per direction; characters: ASCII, other letters, padding
 TAGS = 1 + 2 * len(KINDS)  # nothing, then begin and inside of each kind
 AT_ONCE = 4096  # windows decoded together
@@ -41,7 +41,10 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-ANCHOR = re.compile(r"[0-9@]+|[(\[] ?at ?[)\]]")
+ANCHOR = re.compile(r"[0-9@]+|(?<![^\W_])at(?![^\W_])", re.I)  # every span that is accepted holds one
+_AT = r"(?:\s?[(\[{<]\s?(?:at|@)\s?[)\]}>]\s?|\s?@\s?|\s+at\s+)"
+_DOT = r"(?:\s?[(\[{<]\s?(?:dot|\.)\s?[)\]}>]\s?|\s+dot\s+)"
+ADDRESS = re.compile(rf"(?<![\w.%+-])[\w.%+-]+(?:{_DOT}[\w.%+-]+)*{_AT}[\w-]+(?:(?:\.|{_DOT})[\w-]+)+", re.I)
 Span = tuple[int, int, int]  # start, kind, end
 
 
@@ -222,8 +225,12 @@ def disguises(value: str, kind: int, rng: np.random.Generator) -> str:
     """The value as a writer might hide or reformat it."""
     if kind == 0:
         local, _, domain = value.partition("@")
-        at = [" [at] ", " (at) ", "[at]", "(at)", " @ "][rng.integers(5)]
-        return local + at + domain
+        if rng.random() < 0.2:
+            local = (local + "." + local[::-1]) * 3
+        form = rng.integers(9)
+        at = (" [at] ", " (at) ", "[at]", "(at)", " @ ", " at ", " (AT) ", " {at} ", " AT ")[form]
+        dot = (".", " dot ", "[dot]", " DOT ")[rng.integers(4)] if form < 5 else (" dot ", " dot ", ".", " DOT ")[form - 5]
+        return local + at + domain.replace(".", dot)
     digits = digits_of(value)
     if kind == 1:
         return value
@@ -248,10 +255,10 @@ def examples(texts: list[str], most: int = 1600, seed: int = 5) -> tuple[np.ndar
             low, high = max(0, start - 40), min(len(text), end + 40)
             near = [(a - low, k, b - low) for a, k, b in spans if a >= low and b <= high]
             made.append((text[low:high], near))
-            other = disguises(text[start:end], kind, rng)
             before, after = text[max(0, start - 30) : start], text[end : end + 30]
-            if other != text[start:end] and not ANCHOR.search(before + after):
-                made.append((before + other + after, [(len(before), kind, len(before) + len(other))]))
+            for other in dict.fromkeys(disguises(text[start:end], kind, rng) for _ in range(4 if kind == 0 else 1)):
+                if other != text[start:end] and not ANCHOR.search(before + after):
+                    made.append((before + other + after, [(len(before), kind, len(before) + len(other))]))
         taken = {p for a, _, b in spans for p in range(a, b)}
         odd = [m.start() for m in ANCHOR.finditer(text) if m.start() not in taken]
         for at in odd[:2]:
@@ -273,56 +280,68 @@ def examples(texts: list[str], most: int = 1600, seed: int = 5) -> tuple[np.ndar
     return x, y
 
 
-def windows(text: str) -> list[tuple[int, int]]:
-    """Regions (start, end) around places that may hold a value, those that overlap as one."""
-    out: list[list[int]] = []
-    for match in ANCHOR.finditer(text):
-        low, high = max(0, match.start() - MARGIN), min(len(text), match.end() + MARGIN)
-        if out and low <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], high)
-        else:
-            out.append([low, high])
-    return [(a, b) for a, b in out]
-
-
 def found(texts: list[str], network: Network) -> list[list[Span]]:
-    """Spans of the decoded tags of each text."""
-    regions = [(i, a, b) for i, text in enumerate(texts) for a, b in windows(text)]
-    coded = {i: codes(texts[i]) for i, _, _ in regions}
-    laid = [(r, s) for r, (_, a, b) in enumerate(regions) for s in range(a, max(a + 1, b - WINDOW + STRIDE), STRIDE)]
-    tags = [np.zeros(b - a, np.int8) for _, a, b in regions]
-    for at in range(0, len(laid), AT_ONCE):
-        own = laid[at : at + AT_ONCE]
+    """Spans that hold an anchor, from the decoded tags of each text."""
+    quarter = (WINDOW - STRIDE) // 2
+    coded: dict[int, np.ndarray] = {}
+    tags: dict[int, np.ndarray] = {}
+    waiting: list[tuple[int, int]] = []  # text, number of the window
+    for i, text in enumerate(texts):
+        last = (max(1, len(text) - WINDOW + STRIDE) - 1) // STRIDE
+        own = {min(max(0, p - quarter) // STRIDE, last) for m in ANCHOR.finditer(text) for p in range(m.start(), m.end())}
+        if own:
+            own |= {min(max(0, p - quarter) // STRIDE, last) for a, b in addresses(text) for p in range(a, b)}
+            coded[i], tags[i] = codes(text), np.zeros(len(text), np.int8)
+            waiting += [(i, j) for j in sorted(own)]
+    seen = set(waiting)
+    while waiting:
+        own, waiting = waiting[:AT_ONCE], waiting[AT_ONCE:]
         x = np.full((len(own), WINDOW), SYMBOLS - 1, np.int16)
-        for row, (r, s) in enumerate(own):
-            piece = coded[regions[r][0]][s : min(s + WINDOW, regions[r][2])]
+        for row, (i, j) in enumerate(own):
+            piece = coded[i][j * STRIDE : j * STRIDE + WINDOW]
             x[row, : len(piece)] = piece
-        quarter = (WINDOW - STRIDE) // 2
-        for (r, s), got in zip(own, network.tags(x)):
-            _, a, b = regions[r]
-            low = s if s == a else s + quarter  # the middle of a window counts, and its ends where no other has them
-            high = min(b, s + WINDOW if s + WINDOW >= b else s + WINDOW - quarter)
-            tags[r][low - a : high - a] = got[low - s : high - s]
+        for (i, j), got in zip(own, network.tags(x)):
+            s, end = j * STRIDE, len(tags[i])
+            low = s if s == 0 else s + quarter  # the middle of a window counts, and its ends where no other has them
+            high = end if s + WINDOW >= end else s + WINDOW - quarter
+            tags[i][low:high] = got[low - s : high - s]
+            # A span that reaches the end of the middle goes on in the next window.
+            for edge, near in ((low, (i, j - 1)), (high - 1, (i, j + 1))):
+                if got[edge - s] and 0 < (edge if near[1] < j else end - high) and near not in seen:
+                    seen.add(near)
+                    waiting.append(near)
     out: list[list[Span]] = [[] for _ in texts]
-    for (i, a, _), own in zip(regions, tags):
+    for i, own in tags.items():
         inside = np.flatnonzero(own)
         if not len(inside):
             continue
         kind = (own[inside] - 1) // 2
         cut = np.concatenate([[True], (np.diff(inside) > 1) | (np.diff(kind) != 0) | (own[inside[1:]] % 2 == 1), [True]])
         edges = np.flatnonzero(cut)
-        out[i] += [(a + int(inside[x]), int(kind[x]), a + int(inside[y - 1]) + 1) for x, y in zip(edges[:-1], edges[1:])]
+        out[i] += [(int(inside[x]), int(kind[x]), int(inside[y - 1]) + 1) for x, y in zip(edges[:-1], edges[1:])]
     return out
 
 
+def addresses(text: str) -> list[tuple[int, int]]:
+    """Places of what is written like an address, plain or spelled out; ``accepted`` takes those that the network touches."""
+    return [m.span() for m in ADDRESS.finditer(text)]
+
+
 def accepted(text: str, base: list[Span], more: list[Span]) -> list[Span]:
     """The further spans that stand free of base spans and look like their kind."""
-    fits = (lambda x: ("@" in x or "at" in x) and "." in x and re.fullmatch(r"[\w.%+-]+ ?[@(\[].*\w", x, re.S), is_ip, is_card, is_phone)
+    fits = (lambda x: True, is_ip, is_card, is_phone)
+    written_so = addresses(text) if any(kind == 0 for _, kind, _ in more) else []
+    ends = [end for _, end in written_so]
     out: list[Span] = []
     starts = [start for start, _, _ in base]
     for start, kind, end in more:
         raw = text[start:end]
         start, end = start + len(raw) - len(raw.lstrip(" ,;:")), end - (len(raw) - len(raw.rstrip(" ,;:.-")))
+        if kind == 0:  # an address is taken as a whole, and once
+            first = bisect_right(ends, start)
+            if first == len(ends) or written_so[first][0] >= end or (written_so[first][0], 0, ends[first]) in out[-1:]:
+                continue
+            start, end = written_so[first]
         value = text[start:end]
         if not value or (start and text[start - 1].isalnum()) or (end < len(text) and text[end].isalnum()) or not fits[kind](value):
             continue
