@@ -10,7 +10,8 @@ Only the number of keys of each arc decides that flow, and there are ``shards *
 those counts into at most that many times ``shards`` ranges of ranks. Rows find shard and slot by their rank in their
 arc. The hash is of the text, so equal texts share an arc and mostly a shard; a group larger than a shard flows on.
 
-Adding a shard moves, besides what the new points take over, only rows near the bounds. A null text has no bytes and is
+The bounds are exact and shrink when a shard is added, and ranks depend on the number of rows, so how many rows move
+then is not bounded; only the bare ring moves no more than the new points take over. A null text has no bytes and is
 the empty text's equal; missing ids and repeated rows get a place each; further columns play no part.
 """
 
