@@ -25,7 +25,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from cotejo.llm.batches import LOWER, Words, slices
 from cotejo.llm.common import components, fresh, identified, partitions, real_id, row_keyed, small_batches, stored
-from cotejo.llm.near_copies import representatives
 from cotejo.operators.skew import join_unique
 
 SHINGLE, BITS, SEED = 4, 4, 42
@@ -186,21 +185,34 @@ def _joined(groups: DataFrame, budget: int) -> DataFrame:
     return spread.select("group", "node", "rest").mapInArrow(run, "a bigint, b bigint")
 
 
-def near_classes(docs: DataFrame, budget: int = BITS, most: int = MOST) -> DataFrame:
-    """doc_id, fingerprint (16 hexadecimal digits) and component_id, the smallest doc_id reachable, of every document."""
-    prints = stored(fingerprints(docs))
+def _classes(prints: DataFrame, budget: int, most: int) -> tuple[DataFrame, DataFrame]:
+    """(fingerprint and class of every node, class and component_id of every class) of stored prints (doc_id, fingerprint)."""
     nodes = stored(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least")))
     linked_nodes = components(links(nodes.select(F.col("fingerprint").alias("node"), "fingerprint"), budget, most))
     of_node = nodes.join(linked_nodes, F.col("fingerprint") == F.col("node"), "left")
     of_node = stored(of_node.select("fingerprint", "least", F.coalesce("component", "fingerprint").alias("class")))
-    of_class = of_node.groupBy("class").agg(F.min("least").alias("component_id"))
+    return of_node.drop("least"), of_node.groupBy("class").agg(F.min("least").alias("component_id"))
+
+
+def near_classes(docs: DataFrame, budget: int = BITS, most: int = MOST) -> DataFrame:
+    """doc_id, fingerprint (16 hexadecimal digits) and component_id, the smallest doc_id reachable, of every document.
+
+    An empty table gives no rows; other columns of the table, whatever their names, are not read.
+    """
+    prints = stored(fingerprints(docs))
+    of_node, of_class = _classes(prints, budget, most)
     of_print = join_unique(of_node, ["class"], of_class, ["class"], "inner").select(F.col("fingerprint").alias("_print"), "component_id")
     rows = prints.join(of_print, F.col("fingerprint") == F.col("_print"))
     return rows.select(real_id(), F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), real_id("component_id"))
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """One document of each class of near copies (see there), with all its columns."""
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, budget: int = BITS, most: int = MOST) -> DataFrame:
+    """One document of each class, with all its columns: the first by doc_id (a missing one is the smallest).
+
+    Rows that share a doc_id are documents of their own. All texts without words, nulls among them, are one class.
+    An empty table stays empty; column names of the table don't clash with any made here.
+    """
     rows, key = row_keyed(docs)
-    chosen = stored(representatives(rows.select(F.col(key).alias("doc_id"), "text")).toDF(fresh(rows, "_chosen")))
+    prints = stored(fingerprints(rows.select(F.col(key).alias("doc_id"), "text"), shingle))
+    chosen = stored(_classes(prints, budget, most)[1].select(F.col("component_id").alias(fresh(rows, "_chosen"))))
     return rows.join(chosen, F.col(key) == F.col(fresh(rows, "_chosen")), "left_semi").drop(key)
