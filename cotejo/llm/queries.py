@@ -4,7 +4,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cotejo.llm import chat_format, decontaminate, line_dedup, packing, personal_data, quality_classifier, quality_rules, sharding, simhash, substring_dedup
+from cotejo.llm import (
+    chat_format, decontaminate, hard_negatives, line_dedup, packing, periodic_runs, personal_data, piece_tokens, quality_classifier, quality_rules,
+    sharding, simhash, substring_dedup,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -69,7 +72,23 @@ def op10_chat_format(table):
     return chat_format.digests(chat_format.render(chat_format.events(given.union(more))))
 
 
+@query
+def op11_periodic_runs(table):
+    return periodic_runs.digests(periodic_runs.find(periodic_runs.planted(table("documents"))))
+
+
+@query
+def op12_hard_negatives(table):
+    return hard_negatives.mine(hard_negatives.shifted_labels(table("embeddings")))
+
+
+@query
+def op13_piece_tokens(table):
+    return piece_tokens.digests(piece_tokens.decode(piece_tokens.encode(table("documents"))))
+
+
 SQL["op1_decontamination"] = decontaminate.SQL
 SQL["op3_substring_dedup"] = substring_dedup.SQL
 SQL["op7_line_dedup"] = line_dedup.SQL
 SQL["op10_chat_format"] = chat_format.SQL
+SQL["op12_hard_negatives"] = hard_negatives.SQL
