@@ -3,6 +3,9 @@
 A stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents. ``run``
 applies them one after another, each stage's rows written as Parquet in the session's checkpoint folder and read again, so that no
 stage repeats the work of another and a lost executor costs the tasks it ran.
+
+Every stage takes null, empty and very long texts, rows that repeat or share an id (each is a document of its own), empty tables and
+further columns of any name, which stay as they are.
 """
 
 import tempfile
@@ -24,7 +27,10 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest doc_id, of each class of near copies (five words, similarity 0.8)."""
+    """The first document by doc_id of each class of near copies: fingerprints of four-word shingles, four bits at most apart.
+
+    A missing doc_id comes first; texts without words are one class.
+    """
     return simhash.one_of_each(docs)
 
 
