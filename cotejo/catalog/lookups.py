@@ -462,14 +462,11 @@ def prefix_match_first(t):
     return matched.select("o_orderkey", "Folio", F.element_at("matches", 1).alias("path"))
 
 
-@register(
-    PREFIX.format(columns="CAST(len(paths) AS BIGINT) AS listed, array_to_string(paths, ';') AS paths", where="len(paths) > 1")
-)
+@register(PREFIX.format(columns="CAST(len(paths) AS BIGINT) AS listed, unnest(paths) AS path", where="len(paths) > 1"))
 def prefix_match_dups(t):
-    several = _prefix(t).filter(F.size("matches") > 1)
-    return several.select(
-        "o_orderkey", "Folio", F.col("found").alias("listed"), F.array_join("matches", ";").alias("paths")
-    )
+    """Folios with several files: how many, and a row for each."""
+    several = _prefix(t).filter(F.col("found") > 1).select("o_orderkey", "Folio", F.col("found").alias("listed"))
+    return lookup.prefix_rows(several, "Folio", _prefix_inputs(t)[1], "name", "path")
 
 
 @register(PREFIX.format(columns="1 AS missing", where="paths IS NULL").replace(", 1 AS missing", ""))

@@ -4,9 +4,10 @@ import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from cotejo.functions.clean import strip, to_number
+from cotejo.operators import ranges
 from cotejo.operators.dedup import dedup_first, top_rows
 from cotejo.operators.setops import union_by_name
 from cotejo.operators.skew import join_unique
@@ -203,34 +204,65 @@ def new_documents(docs: DataFrame, known: DataFrame, uuid="UUID", pair=("Folio",
     return anti_join(unseen, pair, known, pair, null_safe=True)
 
 
+def _chains(keys: DataFrame) -> DataFrame:
+    """(key, chain) of distinct keys: all keys that are prefixes of a key, itself included."""
+    lengths = keys.agg(F.collect_set(F.length("_prefix"))).scalar()
+    cut = keys.withColumn("_length", F.explode(lengths)).filter(F.col("_length") <= F.length("_prefix"))
+    cut = cut.withColumn("_start", F.expr("substring(_prefix, 1, _length)"))
+    known = keys.select(F.col("_prefix").alias("_known"))
+    chains = cut.join(known, F.col("_start") == F.col("_known"), "left_semi").groupBy("_prefix").agg(F.collect_set("_start").alias("_chain"))
+    return chains
+
+
+def prefix_hits(keys: DataFrame, files: DataFrame, name: str, path: str, order: Sequence[str], parts: int | None = None) -> DataFrame:
+    """(_key, path, order columns): one row for each distinct key (``_prefix``) and file whose lower-cased name starts with it.
+
+    Names and keys are sorted together in ranges (see ``ranges``). All keys that a name starts with are prefixes of one another,
+    and of the last key that sorts before the name or equals it, so each name looks at that key's chain only. A range
+    begins with the last key of the ranges before it. A name travels once, whatever the number of keys, and a key that
+    matches many names meets them in all the ranges they fill.
+    """
+    names = files.select(F.lower(F.col(f"`{name}`")).alias("_text"), F.col(f"`{path}`").alias("_path"), *[F.col(f"`{o}`").alias(f"_order{i}") for i, o in enumerate(order)])
+    names = names.filter("_text is not null")
+    edges = ranges.bounds(names, "_text", ["_path"], parts)
+    chains = _chains(keys).select(
+        F.col("_prefix").alias("_text"), ranges.below("_prefix", edges, or_equal=False).alias("_range"), F.struct("_prefix", "_chain").alias("_last")
+    )
+    earlier = F.element_at(ranges.before(chains, "_range", F.col("_last"), "max", len(edges)), F.col("_range") + 1)
+    both = names.withColumn("_range", ranges.dealt("_text", edges, ["_text", "_path"])).unionByName(chains, allowMissingColumns=True)
+    so_far = Window.partitionBy("_range").orderBy("_text", F.col("_last").isNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    scanned = both.withColumn("_seen", F.last("_last", ignorenulls=True).over(so_far)).filter("_last is null")
+    looked = scanned.withColumn("_chain", F.coalesce(F.col("_seen"), earlier)["_chain"])
+    hits = looked.withColumn("_key", F.explode(F.filter("_chain", lambda key: F.startswith("_text", key))))
+    return hits.select("_key", F.col("_path").alias(path), *[F.col(f"_order{i}").alias(o) for i, o in enumerate(order)])
+
+
+def _keyed(wanted: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    keyed = wanted.withColumn("_prefix", F.lower(strip(F.col(f"`{key}`"))))
+    return keyed, keyed.select("_prefix").filter("_prefix is not null").distinct()
+
+
+def prefix_rows(wanted: DataFrame, key: str, files: DataFrame, name: str, path: str, parts: int | None = None) -> DataFrame:
+    """``wanted`` rows, once for each file whose name starts with the key, with the file's ``path``; rows without one vanish."""
+    keyed, keys = _keyed(wanted, key)
+    hits = prefix_hits(keys, files, name, path, [], parts)
+    return keyed.join(hits, F.col("_prefix") == F.col("_key")).drop("_prefix", "_key")
+
+
 def prefix_matches(
-    wanted: DataFrame, key: str, files: DataFrame, name: str, path: str, order: Sequence, limit: int | None = None
+    wanted: DataFrame, key: str, files: DataFrame, name: str, path: str, order: Sequence[str], limit: int = 1, parts: int | None = None
 ) -> DataFrame:
-    """``wanted`` rows with ``found`` and ``matches``: how many file names start with the key, and their paths in order.
+    """``wanted`` rows with ``found``, how many file names start with the key, and ``matches``, the first ``limit`` paths in order.
 
-    Both are NULL if there are none. ``limit`` shortens the lists for a report; the count is always of all.
-    Every file name is cut to each key length that occurs, which turns the search into an equi-join on the prefix.
+    Both are NULL if there are none. The count is always of all; ``prefix_rows`` gives all paths, as rows.
     """
-    keyed = wanted.withColumn("_prefix", F.lower(strip(F.col(f"`{key}`"))))
-    prefixes = keyed.select("_prefix").filter("_prefix is not null").distinct()
-    lengths = prefixes.agg(F.collect_set(F.length("_prefix"))).scalar()
-    lower = F.lower(F.col(f"`{name}`"))
-    candidates = (
-        files.withColumn("_name", lower)
-        .withColumn("_length", F.explode(lengths))
-        .filter(F.col("_length") <= F.length("_name"))
-        .withColumn("_start", F.expr("substring(_name, 1, _length)"))
-    )
-    candidates = candidates.join(prefixes, F.col("_start") == F.col("_prefix"), "left_semi")
-    place = F.struct(*[F.col(o) if isinstance(o, str) else o for o in order], F.col(f"`{path}`").alias("_path"))
-    found = F.count(F.lit(1)).alias("found")
-    matches = F.transform(F.array_sort(F.collect_list(place)), lambda x: x["_path"]).alias("matches")
-    if limit is None:
-        lists = candidates.groupBy("_start").agg(found, matches)
-    else:
-        short = top_rows(candidates, ["_start"], order, limit, rank="_rank").groupBy("_start").agg(matches)
-        lists = candidates.groupBy("_start").agg(found).join(short, "_start")
-    return join_unique(keyed, ["_prefix"], lists, ["_start"]).drop("_prefix")
+    keyed, keys = _keyed(wanted, key)
+    hits = prefix_hits(keys, files.withColumnRenamed(path, "_path"), name, "_path", order, parts)
+    first = top_rows(hits, ["_key"], [*order, "_path"], limit)
+    place = F.struct(*[F.col(f"`{o}`") for o in order], F.col("_path"))
+    short = first.groupBy("_key").agg(F.transform(F.array_sort(F.collect_list(place)), lambda x: x["_path"]).alias("matches"))
+    counted = hits.groupBy("_key").agg(F.count(F.lit(1)).alias("found")).join(short, "_key")
+    return join_unique(keyed, ["_prefix"], counted, ["_key"]).drop("_prefix")
 
 
 def fallback_lookup(

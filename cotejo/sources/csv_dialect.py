@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cotejo.functions.clean import as_column, once
 from cotejo.operators.skew import join_unique
-from cotejo.sources.lines import read_lines, read_texts, with_row_numbers
+from cotejo.sources.lines import file_bounds, read_lines, read_texts, with_row_numbers
 
 # Private-use characters that stand for escaped ones while a line is parsed.
 BACKSLASH, COMMA, QUOTE, NULL_CELL, END = "", "", "", "", ""
@@ -88,11 +88,12 @@ def split_cells(lines: DataFrame, width: int = WIDTH, line: str = "line") -> Dat
 
 def read_sheet_rows(spark: SparkSession, path: str, line_breaks: bool = False, width: int = WIDTH) -> DataFrame:
     """(file, pos, cells, _row_no, line) of every line of all files that isn't blank: what the sheet rules work on."""
+    edges = file_bounds(spark, path)
     if line_breaks:
         texts = read_texts(spark, path).select(F.col("path").alias("file"), F.lit(0).alias("block"), "text")
-        lines = with_row_numbers(records_of_text(texts))
+        lines = with_row_numbers(records_of_text(texts), edges)
     else:
-        lines = with_row_numbers(read_lines(spark, path))
+        lines = with_row_numbers(read_lines(spark, path), edges)
     return split_cells(lines.filter(F.length("line") > 0), width).select("file", F.col("pos").cast("bigint").alias("pos"), "cells", F.col("_row_no").cast("bigint").alias("_row_no"), "line")
 
 

@@ -1,9 +1,12 @@
 """Electronic invoices (XML, schema versions 3 and 4) as one row per line item."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cotejo.functions.clean import once, series_folio, strict_number
-from cotejo.sources.lines import read_texts, with_row_numbers
+from cotejo.operators.skew import join_unique
+from cotejo.sources.lines import numbered_files, read_texts
 
 # Namespaces of the two accepted versions and the parts of a document that are read.
 VERSION_PATTERN = r"xmlns(:[\w.-]+)?\s*=\s*[\"'][^\"']*cfd/[34]"
@@ -18,10 +21,10 @@ ITEMS = 1_000_000  # more line items than a document has
 OPTIONS = {"rowTag": "Comprobante", "ignoreNamespace": "true", "mode": "PERMISSIVE"}
 
 
-def parse_documents(texts: DataFrame, text: str = "text", file_name: str = "file_name") -> DataFrame:
-    """(file_name, doc, text): every document parsed once, attribute values kept as text."""
-    return texts.select(F.col(file_name).alias("file_name"), F.col(text).alias("text")).select(
-        "file_name", "text", once(F.from_xml("text", SCHEMA, OPTIONS)).alias("doc")
+def parse_documents(texts: DataFrame, text: str = "text", file_name: str = "file_name", keep: Sequence[str] = ()) -> DataFrame:
+    """(file_name, doc, text) and the columns to keep: every document parsed once, attribute values kept as text."""
+    return texts.select(F.col(file_name).alias("file_name"), F.col(text).alias("text"), *keep).select(
+        "file_name", "text", *keep, once(F.from_xml("text", SCHEMA, OPTIONS)).alias("doc")
     )
 
 
@@ -38,8 +41,8 @@ def accepted(parsed: DataFrame) -> DataFrame:
     )
 
 
-def headers(parsed: DataFrame) -> DataFrame:
-    """One row per accepted document, its line items still nested."""
+def headers(parsed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """One row per accepted document, its line items still nested, with the columns to keep."""
     return accepted(parsed).select(
         F.try_element_at("doc.Complemento.TimbreFiscalDigital._UUID", F.lit(1)).alias("UUID"),
         series_folio("doc._Serie", "doc._Folio").alias("Folio"),
@@ -48,10 +51,11 @@ def headers(parsed: DataFrame) -> DataFrame:
         F.col("doc.Receptor._Rfc").alias("Rfc"),
         F.col("file_name").alias("Archivo"),
         F.col("doc.Conceptos.Concepto").alias("items"),
+        *keep,
     )
 
 
-def line_items(documents: DataFrame) -> DataFrame:
+def line_items(documents: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """One row per line item; documents without any vanish. ``line_no`` counts from 0 inside a document."""
     items = documents.select("*", F.posexplode("items").alias("line_no", "item")).drop("items")
     return items.select(
@@ -65,6 +69,7 @@ def line_items(documents: DataFrame) -> DataFrame:
         strict_number("item._Importe").alias("Importe"),
         "Archivo",
         "line_no",
+        *keep,
     )
 
 
@@ -78,10 +83,12 @@ def read_invoices(spark: SparkSession, path: str) -> DataFrame:
 
 
 def numbered_items(spark: SparkSession, path: str) -> DataFrame:
-    """Line items of all documents of a path with ``_row_no``: by file, then by place in the document."""
-    texts = read_texts(spark, path, "*.xml").withColumns({"file": F.col("path"), "block": F.lit(0), "line_id": F.lit(0)})
-    files = with_row_numbers(texts).select(F.col("file_name").alias("_name"), F.col("_row_no").alias("_file_no"))
-    items = line_items(headers(parse_documents(texts)))
-    first = files.groupBy("_name").agg(F.min("_file_no").alias("_file_no"))
-    joined = items.join(first, F.col("Archivo") == F.col("_name"))
-    return joined.withColumn("_row_no", F.col("_file_no") * ITEMS + F.col("line_no")).drop("_name", "_file_no")
+    """Line items of all documents of a path with ``_row_no``: by file, then by place in the document.
+
+    Files are known by their whole path, so equal names in two folders are two files. They are numbered from the listing;
+    every document is read and parsed once and finds its number before its line items are laid out.
+    """
+    documents = headers(parse_documents(read_texts(spark, path, "*.xml"), keep=["path"]), ["path"])
+    numbered = join_unique(documents, ["path"], numbered_files(spark, path, "*.xml"), ["file"], "inner")
+    items = line_items(numbered, ["file_no"])
+    return items.withColumn("_row_no", F.col("file_no") * ITEMS + F.col("line_no")).drop("file_no")

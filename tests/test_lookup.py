@@ -1,11 +1,12 @@
 import dataclasses
 import logging
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_of
-from cotejo.operators import dedup, files, lookup
+from cotejo.operators import dedup, files, lookup, ranges
 from cotejo.operators.skew import join_unique
 from cotejo.plans import integrate
 from cotejo.plans.invoices import load_invoices
@@ -131,17 +132,49 @@ def test_clean_invoices(rows):
     assert got == {1: ("A1", "F"), 5: ("C", "nan")}
 
 
-def test_prefixes(rows):
+@pytest.mark.parametrize("parts", [None, 3, 40])
+def test_prefixes(rows, parts):
     wanted = rows("Folio string", ("f-1",), (" F-10 ",), ("zz",), (None,)).drop("_row_no")
-    names = rows("name string, path string", ("F-1.pdf", "/a"), ("F-10.pdf", "/b"), ("g.pdf", "/c"))
-    found = lookup.prefix_matches(wanted, "Folio", names, "name", "path", ("_row_no",))
+    names = rows("name string, path string", ("F-1.pdf", "/a"), ("F-10.pdf", "/b"), ("g.pdf", "/c"), (None, "/d"))
+    found = lookup.prefix_matches(wanted, "Folio", names, "name", "path", ("_row_no",), 9, parts)
     assert as_dict(found, "Folio", "matches") == {"f-1": ["/a", "/b"], " F-10 ": ["/b"], "zz": None, None: None}
     many = rows("name string, path string", *[(f"x{i:02}", f"/{i:02}") for i in range(9)])
     one = rows("Folio string", ("X",)).drop("_row_no")
-    listed = lookup.prefix_matches(one, "Folio", many, "name", "path", ("_row_no",)).first()
-    assert (listed["found"], listed["matches"]) == (9, [f"/{i:02}" for i in range(9)])
-    short = lookup.prefix_matches(one, "Folio", many, "name", "path", ("_row_no",), limit=5).first()
+    short = lookup.prefix_matches(one, "Folio", many, "name", "path", ("_row_no",), 5, parts).first()
     assert (short["found"], short["matches"]) == (9, [f"/{i:02}" for i in range(5)])
+    listed = lookup.prefix_rows(one, "Folio", many, "name", "path", parts)
+    assert listed.columns == ["Folio", "path"] and sorted(r["path"] for r in listed.collect()) == [f"/{i:02}" for i in range(9)]
+
+
+@pytest.mark.parametrize("parts", [2, 7, 64])
+def test_prefixes_against_every_pair(spark, parts):
+    rng = random.Random(parts)
+    texts = ["".join(rng.choice("abÁ-") for _ in range(rng.randint(0, 6))) for _ in range(300)]
+    names = [(t + rng.choice(["", "x", ".pdf"]), f"/{i}") for i, t in enumerate(texts)] + [("hot.pdf", f"/h{i}") for i in range(400)]
+    keys = sorted({"".join(rng.choice("abá-") for _ in range(rng.randint(0, 5))) for _ in range(60)} | {"", "hot", "hot.pdf", "hot.pdf2", "zz"})
+    wanted = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "Folio string, n int")
+    files = spark.createDataFrame(names, "name string, path string")
+    got = lookup.prefix_rows(wanted, "Folio", files, "name", "path", parts)
+    assert sorted(map(tuple, got.collect())) == sorted((k, i, p) for i, k in enumerate(keys) for n, p in names if n.lower().startswith(k))
+
+
+def test_a_hot_name_fills_several_ranges(spark):
+    files = spark.range(4000).selectExpr("if(id % 3 = 0, 'hot.pdf', concat('n', id)) name", "concat('/', id) path")
+    edges = ranges.bounds(files, "name", ["path"], 32)
+    held = files.groupBy(ranges.dealt("name", edges, ["name", "path"]).alias("r")).count().collect()
+    assert len(held) > 25 and max(r["count"] for r in held) < 4 * 4000 / 32
+    keys = files.select(F.col("name").alias("k")).distinct()
+    plan = plan_of(lookup.prefix_rows(keys, "k", files, "name", "path", 32))
+    assert "explode(set" not in plan.split("_path")[0] and not any("collect_list" in x and "_path" in x for x in plan.split("\n"))
+
+
+def test_bounds_of_few_and_repeated_texts(spark):
+    none = spark.createDataFrame([], "t string, p string")
+    assert ranges.bounds(none, "t", ["p"]) == [""]
+    few = spark.createDataFrame([("b", "1"), ("a", "2"), (None, "3")], "t string, p string")
+    assert ranges.bounds(few, "t", ["p"], 8) == ["a", "b"]
+    counted = few.select("t", ranges.below("t", ["a", "a", "b"]).alias("n"), ranges.below("t", ["a", "a", "b"], False).alias("m")).collect()
+    assert {(r["t"], r["n"], r["m"]) for r in counted if r["t"]} == {("a", 2, 0), ("b", 3, 2)}
 
 
 def test_fallback_order(rows):

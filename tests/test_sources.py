@@ -1,7 +1,10 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
-from cotejo.operators import files
+from conftest import plan_of
+from cotejo.operators import files, ranges
 from cotejo.sources import csv_dialect, datasets, html_tables, invoice_xml, lines, receipts, sheets
 
 
@@ -98,6 +101,29 @@ def test_numbered_invoice_items(spark, tmp_path):
     assert [(r["Archivo"], r["line_no"]) for r in got] == [("a.xml", 0), ("b.xml", 0), ("b.xml", 1)]
 
 
+def test_equal_file_names_in_two_folders(spark, tmp_path):
+    for folder in ("x", "y", "z y"):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "a.xml").write_text(CFDI.format(v=4, rec=RECEIVER, more=SECOND))
+    got = invoice_xml.numbered_items(spark, str(tmp_path)).orderBy("_row_no").collect()
+    assert [r["_row_no"] for r in got] == [n * invoice_xml.ITEMS + k for n in range(3) for k in range(2)]
+    assert "Archivo" in got[0] and "path" not in got[0]
+
+
+def test_a_million_one_line_files_are_numbered_without_gaps(spark):
+    name = F.format_string("/drop/%03d/%07d.xml", (F.col("id") * 7919) % 1000, F.col("id"))
+    lines_of = spark.range(1_000_000).select(name.alias("file"), F.lit(0).alias("block"), F.lit(5).alias("line_id"))
+    edges = ranges.bounds(lines_of, "file", [])
+    numbered = lines.with_row_numbers(lines_of, edges)
+    windows = [x for x in plan_of(numbered).split("\n") if re.search(r"\bWindow\b", x)]
+    assert windows and all(re.search(r"\[_range#\d+", x) for x in windows)
+    sums = numbered.agg(F.count("*"), F.countDistinct("_row_no"), F.min("_row_no"), F.max("_row_no"), F.max("pos")).first()
+    assert tuple(sums) == (1_000_000, 1_000_000, 0, 999_999, 0)
+    picked = numbered.where("_row_no in (0, 499999, 999999)").orderBy("_row_no").select("file").collect()
+    files = sorted(f"/drop/{i * 7919 % 1000:03d}/{i:07d}.xml" for i in range(1_000_000))
+    assert [r["file"] for r in picked] == [files[0], files[499_999], files[999_999]]
+
+
 def test_damaged_history_files(spark, tmp_path):
     root = tmp_path / "h"
     for name in ("one", "two", "three"):
