@@ -204,14 +204,13 @@ def new_documents(docs: DataFrame, known: DataFrame, uuid="UUID", pair=("Folio",
     return anti_join(unseen, pair, known, pair, null_safe=True)
 
 
-def _chains(keys: DataFrame) -> DataFrame:
-    """(key, chain) of distinct keys: all keys that are prefixes of a key, itself included."""
+def _chains(some: DataFrame, keys: DataFrame) -> DataFrame:
+    """(_prefix, _chain) of some distinct keys: all ``keys`` that are prefixes of a key, itself included."""
     lengths = keys.agg(F.collect_set(F.length("_prefix"))).scalar()
-    cut = keys.withColumn("_length", F.explode(lengths)).filter(F.col("_length") <= F.length("_prefix"))
+    cut = some.withColumn("_length", F.explode(lengths)).filter(F.col("_length") <= F.length("_prefix"))
     cut = cut.withColumn("_start", F.expr("substring(_prefix, 1, _length)"))
     known = keys.select(F.col("_prefix").alias("_known"))
-    chains = cut.join(known, F.col("_start") == F.col("_known"), "left_semi").groupBy("_prefix").agg(F.collect_set("_start").alias("_chain"))
-    return chains
+    return cut.join(known, F.col("_start") == F.col("_known"), "left_semi").groupBy("_prefix").agg(F.collect_set("_start").alias("_chain"))
 
 
 def prefix_hits(keys: DataFrame, files: DataFrame, name: str, path: str, order: Sequence[str], parts: int | None = None) -> DataFrame:
@@ -225,10 +224,12 @@ def prefix_hits(keys: DataFrame, files: DataFrame, name: str, path: str, order:
     names = files.select(F.lower(F.col(f"`{name}`")).alias("_text"), F.col(f"`{path}`").alias("_path"), *[F.col(f"`{o}`").alias(f"_order{i}") for i, o in enumerate(order)])
     names = names.filter("_text is not null")
     edges = ranges.bounds(names, "_text", ["_path"], parts)
-    chains = _chains(keys).select(
-        F.col("_prefix").alias("_text"), ranges.below("_prefix", edges, or_equal=False).alias("_range"), F.struct("_prefix", "_chain").alias("_last")
-    )
-    earlier = F.element_at(ranges.before(chains, "_range", F.col("_last"), "max", len(edges)), F.col("_range") + 1)
+    low = ranges.below("_prefix", edges, or_equal=False)
+    last = F.struct("_prefix", "_chain").alias("_last")
+    chains = _chains(keys, keys).select(F.col("_prefix").alias("_text"), low.alias("_range"), last)
+    tops = keys.groupBy(low.alias("_range")).agg(F.max("_prefix").alias("_prefix")).select("_prefix")
+    carried = _chains(tops, keys).select(low.alias("_range"), last)
+    earlier = F.element_at(ranges.before(carried, "_range", F.col("_last"), "max", len(edges)), F.col("_range") + 1)
     both = names.withColumn("_range", ranges.dealt("_text", edges, ["_text", "_path"])).unionByName(chains, allowMissingColumns=True)
     so_far = Window.partitionBy("_range").orderBy("_text", F.col("_last").isNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     scanned = both.withColumn("_seen", F.last("_last", ignorenulls=True).over(so_far)).filter("_last is null")
@@ -258,10 +259,14 @@ def prefix_matches(
     """
     keyed, keys = _keyed(wanted, key)
     hits = prefix_hits(keys, files.withColumnRenamed(path, "_path"), name, "_path", order, parts)
-    first = top_rows(hits, ["_key"], [*order, "_path"], limit)
     place = F.struct(*[F.col(f"`{o}`") for o in order], F.col("_path"))
-    short = first.groupBy("_key").agg(F.transform(F.array_sort(F.collect_list(place)), lambda x: x["_path"]).alias("matches"))
-    counted = hits.groupBy("_key").agg(F.count(F.lit(1)).alias("found")).join(short, "_key")
+    found = F.count(F.lit(1)).alias("found")
+    if limit == 1:
+        counted = hits.groupBy("_key").agg(found, F.array(F.min(place)["_path"]).alias("matches"))
+    else:
+        short = top_rows(hits, ["_key"], [*order, "_path"], limit).groupBy("_key")
+        paths = F.transform(F.array_sort(F.collect_list(place)), lambda x: x["_path"])
+        counted = hits.groupBy("_key").agg(found).join(short.agg(paths.alias("matches")), "_key")
     return join_unique(keyed, ["_prefix"], counted, ["_key"]).drop("_prefix")
 
 
