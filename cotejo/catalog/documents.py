@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from cotejo.catalog.registry import register
-from cotejo.sources import csv_dialect, html_tables, invoice_xml, receipts
+from cotejo.sources import csv_dialect, html_tables, invoice_xml, receipts, records
 
 
 def _text(column):
@@ -45,6 +45,26 @@ def csv_lines(t):
     return csv_dialect.parse_lines(_csv_lines(t), ["id", "note", "kind"])
 
 
+@register(
+    """SELECT CAST(o_orderkey AS VARCHAR) AS id,
+              CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority
+                   ELSE 'a "' || o_orderpriority || chr(10) || chr(10) || 'b, c' || chr(92) || chr(10) || o_orderstatus END AS note,
+              o_orderstatus AS kind
+       FROM orders"""
+)
+def csv_line_breaks(t):
+    """Orders in seven files, most of them records of four lines; slices end anywhere, within records too."""
+    key, priority, status = _text("o_orderkey"), F.col("o_orderpriority"), F.col("o_orderstatus")
+    several = F.concat(key, F.lit(',"a ""'), priority, F.lit('\n\nb, c\\\\\n'), status, F.lit('",'), status)
+    text = F.when(F.col("o_orderkey") % 3 == 0, F.concat_ws(",", key, priority, status)).otherwise(several)
+    lines = t["orders"].select(
+        F.format_string("f%d", F.col("o_orderkey") % 7).alias("file"), F.posexplode(F.split(text, "\n")).alias("part", "line"), "o_orderkey"
+    )
+    place = F.col("o_orderkey") * 4 + F.col("part")
+    sliced = lines.select("file", F.expr("(o_orderkey * 4 + part) div 1003").alias("block"), place.alias("line_id"), "line")
+    return csv_dialect.parse_lines(records.records_of_lines(sliced), ["id", "note", "kind"]).select("id", "note", "kind")
+
+
 def _csv_files(t):
     """Lines of five files: two orders of the columns, a narrow header, an unknown one; some lines are too wide."""
     key, status, priority = _text("o_orderkey"), F.col("o_orderstatus"), F.concat(F.lit('"'), F.col("o_orderpriority"), F.lit(',"'))

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cotejo.functions.clean import as_column, once
 from cotejo.operators.skew import join_unique
-from cotejo.sources.lines import file_bounds, read_lines, read_texts, with_row_numbers
+from cotejo.sources.lines import file_bounds, read_lines, with_row_numbers
+from cotejo.sources.records import read_records
 
 # Private-use characters that stand for escaped ones while a line is parsed.
 BACKSLASH, COMMA, QUOTE, NULL_CELL, END = "", "", "", "", ""
@@ -25,10 +26,6 @@ NO_VALUE = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-# One record of a file whose quoted cells hold line breaks.
-RECORD = r'((?:[^"\\\r\n]++|\\.|"(?:[^"\\]++|\\.|"")*+")++)'
-
-
 def _hide(line: Column) -> Column:
     hidden = F.replace(line, F.lit("\\\\"), F.lit(BACKSLASH))
     hidden = F.replace(hidden, F.lit("\\,"), F.lit(COMMA))
@@ -60,14 +57,6 @@ def parse_lines(lines: DataFrame, columns: Sequence[str], line: str = "line") ->
     )
 
 
-def records_of_text(texts: DataFrame, text: str = "text") -> DataFrame:
-    """Records of whole files, for files whose quoted cells hold line breaks."""
-    others = [F.col(c) for c in texts.columns if c != text]
-    return texts.select(
-        *others, F.posexplode(F.regexp_extract_all(F.col(text), F.lit(RECORD), F.lit(1))).alias("line_id", "line")
-    )
-
-
 def wide_lines(lines: DataFrame, columns: Sequence[str], line: str = "line") -> DataFrame:
     """Lines that ``parse_lines`` leaves out because they have more cells than there are columns."""
     cells = split_cells(lines.filter(F.length(line) > 0), len(columns), line)
@@ -89,11 +78,7 @@ def split_cells(lines: DataFrame, width: int = WIDTH, line: str = "line") -> Dat
 def read_sheet_rows(spark: SparkSession, path: str, line_breaks: bool = False, width: int = WIDTH) -> DataFrame:
     """(file, pos, cells, _row_no, line) of every line of all files that isn't blank: what the sheet rules work on."""
     edges = file_bounds(spark, path)
-    if line_breaks:
-        texts = read_texts(spark, path).select(F.col("path").alias("file"), F.lit(0).alias("block"), "text")
-        lines = with_row_numbers(records_of_text(texts), edges)
-    else:
-        lines = with_row_numbers(read_lines(spark, path), edges)
+    lines = with_row_numbers(read_records(spark, path) if line_breaks else read_lines(spark, path), edges)
     return split_cells(lines.filter(F.length("line") > 0), width).select("file", F.col("pos").cast("bigint").alias("pos"), "cells", F.col("_row_no").cast("bigint").alias("_row_no"), "line")
 
 
@@ -134,7 +119,7 @@ def read_csv_dialect(
 ) -> tuple[DataFrame, DataFrame]:
     """(rows, rejects) of all files of a path, each read by its own header; see ``rows_by_header``.
 
-    With ``line_breaks`` a file is one cell and one task, see ``read_texts``.
+    ``line_breaks`` is for files whose quoted cells hold line breaks, see ``read_records``.
     """
     rows, rejects = rows_by_header(read_sheet_rows(spark, path, line_breaks, width), columns)
     return rows.drop("line"), rejects
