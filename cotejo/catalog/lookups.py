@@ -6,6 +6,9 @@ from cotejo.catalog.registry import LINE_PART_WIDTH, ORDER_ID, register
 from cotejo.operators import checks, dedup, filters, history, lookup
 from cotejo.plans import integrate as plan
 from cotejo.plans.invoices import load_invoices as invoice_load
+from cotejo.session import shared_folder
+from cotejo.sinks.snapshots import HistoryTable
+from cotejo.values import HISTORY_KEY
 
 WIDE = {"part_width": LINE_PART_WIDTH}
 SNAPSHOT = "2024-01-31 10:45:00"
@@ -560,3 +563,19 @@ def chained_stages(t):
     batch = done.orders.drop("precio_unitario", "orden_remision", "numero_contrato")
     target = t["in_history"].drop("fechaaltatrunc")
     return history.load_history(target, [batch]).drop("_row_no")
+
+
+@register(
+    """SELECT numero_orden_suministro, file_date, estado_de_la_factura, CASE WHEN p = 2 THEN importe + 1 ELSE importe END AS importe,
+              fechaaltatrunc
+       FROM (SELECT *, CAST(substring(numero_orden_suministro, 4) AS BIGINT) % 4 AS p FROM in_history) WHERE p < 3"""
+)
+def history_commits(t):
+    """Two appends that share half of their keys, and a third under an id that was published before."""
+    table = HistoryTable(t.spark, shared_folder(t.spark, "history"))
+    quarter = F.expr("CAST(substring(numero_orden_suministro, 4) AS BIGINT) % 4")
+    raised = t["in_history"].withColumn("importe", F.col("importe") + 1)
+    table.append(t["in_history"].filter(quarter < 2), HISTORY_KEY, "one", ["importe"])
+    table.append(raised.filter(quarter.isin(1, 2)), HISTORY_KEY, "two", ["importe"])
+    table.append(raised.filter(quarter == 3), HISTORY_KEY, "two", ["importe"])
+    return table.read()

@@ -56,6 +56,13 @@ def new_rows(
     return single.join(target.select(*[quoted(n) for n in names]), names, "left_anti")
 
 
+def only_between(target: DataFrame, batch: DataFrame, snapshot: str) -> DataFrame:
+    """Target rows between the batch's first and last snapshot; one scalar subquery with both bounds prunes its partitions."""
+    value = F.col(snapshot)
+    ends = batch.select(value.alias("_at")).agg(F.struct(F.min("_at").alias("first"), F.max("_at").alias("last"))).scalar()
+    return target.filter((value >= ends["first"]) & (value <= ends["last"]))
+
+
 def insert_if_absent(target, batch, key, order=("_row_no",), keep="last") -> DataFrame:
     """The target after the insert; rows already there never change."""
     return target.unionByName(new_rows(target, batch, key, order, keep), allowMissingColumns=True)

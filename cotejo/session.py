@@ -1,8 +1,24 @@
 """Session helpers."""
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that driver and executors share, under the one the cluster names in ``spark.checkpoint.dir``.
+
+    A session on one machine may do without; anywhere else a missing setting is an error.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir names no folder that the executors share")
+        shared = tempfile.mkdtemp(prefix="shared-")
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def local_session(app: str, cores: str = "8", shuffle_partitions: int = 8, **settings: str) -> SparkSession:
     """Session for tests and benchmarks on one machine."""
     builder = (

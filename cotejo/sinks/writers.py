@@ -4,7 +4,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cotejo.operators.history import check_key, new_rows
+from cotejo.operators.history import check_key, new_rows, only_between
 from cotejo.operators.setops import concat_by_header
 
 
@@ -65,19 +65,16 @@ def append_history(
     """Append the keys the table does not hold yet (single writer).
 
     When the partition column is part of the key, the target is read only between the batch's first and last snapshot:
-    two scalar subqueries prune its partitions. Columns of the table that the batch lacks become NULL; columns that the
+    a scalar subquery prunes its partitions. Columns of the table that the batch lacks become NULL; columns that the
     table lacks are an error. A batch with a long plan should be stored first, since those bounds read it once more.
+    Appends that are all or nothing for readers, too, are those of ``snapshots.HistoryTable``.
     """
     hidden = [c for c in order if isinstance(c, str) and c.startswith("_")]
     names = check_key(batch, key)
     create_table(spark, table, batch.drop(*hidden), key, partition if partition in batch.columns else None)
     target = spark.table(table)
     if partition in names and partition in target.columns:
-        bounds = batch.select(F.col(partition).alias("_snapshot"))
-        target = target.filter(
-            (F.col(partition) >= bounds.agg(F.min("_snapshot")).scalar())
-            & (F.col(partition) <= bounds.agg(F.max("_snapshot")).scalar())
-        )
+        target = only_between(target, batch, partition)
     rows = new_rows(target, batch, key, order, keep).drop(*hidden)
     fields = spark.table(table).schema.fields
     unknown = [c for c in rows.columns if c not in {f.name for f in fields}]
