@@ -137,6 +137,29 @@ def clean_invoices(t):
     return plan.clean_invoices(t["in_invoices"], plan.with_amount(t["in_orders"]), **WIDE)
 
 
+@register(
+    f"""WITH {PRICED},
+       all_invoices AS (
+        SELECT * FROM in_invoices UNION ALL
+        SELECT numero_orden_suministro, 'X 1', "Importe", 'Vigente', 'X' || numero_orden_suministro, 'X', -_row_no FROM priced
+        WHERE _row_no % 3 = 0),
+       {UNIQUE_INVOICES.replace("FROM in_invoices", "FROM all_invoices")},
+       notes AS (SELECT numero_orden_suministro, "Importe", string_agg(orden_remision, ',' ORDER BY _row_no) AS note
+                 FROM priced GROUP BY 1, 2)
+       SELECT s.*, coalesce(note, 'no localizado') AS orden_remision
+       FROM single s LEFT JOIN notes n ON s."Referencia" = n.numero_orden_suministro AND s."Total" = n."Importe" """
+)
+def clean_invoices_matched(t):
+    """As ``clean_invoices``, with an invoice over the whole amount for every third order."""
+    priced, invoices = plan.with_amount(t["in_orders"]), t["in_invoices"]
+    order = F.col("numero_orden_suministro")
+    whole = priced.filter("_row_no % 3 = 0").select(
+        order.alias("Referencia"), F.lit("X 1").alias("Factura"), F.col("Importe").alias("Total"), F.lit("Vigente").alias("UUID Descripción"),
+        F.concat(F.lit("X"), order).alias("UUID"), F.lit("X").alias("Folio"), (-F.col("_row_no")).alias("_row_no"),
+    )
+    return plan.clean_invoices(invoices.unionByName(whole), priced, **WIDE)
+
+
 @register(f"""WITH {UNIQUE_INVOICES}, {BACKFILLED} SELECT * FROM accounts_done""")
 def backfill_order_key(t):
     return plan.clean_accounts(t["in_accounts"], plan.unique_invoices(t["in_invoices"]), **WIDE)

@@ -10,7 +10,7 @@ from cotejo.functions.clean import strip, to_number
 from cotejo.operators import ranges
 from cotejo.operators.dedup import dedup_first, top_rows
 from cotejo.operators.setops import union_by_name
-from cotejo.operators.skew import join_unique
+from cotejo.operators.skew import join_unique, key_match
 from cotejo.values import CANCELLED, MISSING_TEXT, NOT_FOUND
 
 log = logging.getLogger(__name__)
@@ -58,13 +58,14 @@ def _rows(lookups: Sequence[tuple[DataFrame, LookupSpec]], order: str, part_widt
     return union_by_name(frames)
 
 
-def _asked_for(rows: DataFrame, keys: Sequence[str], wanted: DataFrame) -> DataFrame:
-    """Right rows whose key occurs in ``wanted`` (its columns in the order of the key): only those are worth joining up.
+def _asked_for(parts: DataFrame, keys: Sequence[str], wanted: DataFrame) -> DataFrame:
+    """Parts whose key occurs in ``wanted`` (its columns in the order of the key): only those are worth joining up further.
 
-    Labels such as ``no localizado`` and ``nan`` that stand for missing keys on the right go here, before they are gathered.
+    Labels such as ``no localizado`` and ``nan`` that stand for missing keys on the right go here, while they are still parts of
+    bounded size. Parts and distinct keys meet in the partitioning that the last step of the collapse needs anyway.
     """
-    asked = wanted.dropna().distinct().toDF(*[f"_want{i}" for i in range(len(keys))])
-    return join_unique(rows, keys, asked, asked.columns, "left_semi")
+    names = [f"_want{i}" for i in range(len(keys))]
+    return parts.join(wanted.dropna().distinct().toDF(*names), key_match(keys, names), "left_semi")
 
 
 def _parts(rows: DataFrame, keys: Sequence[str], lookups: Sequence[tuple[DataFrame, LookupSpec]]) -> DataFrame:
@@ -106,12 +107,13 @@ def collapse(
 ) -> DataFrame:
     """One row per key with the joined values of all right tables, key columns ``_key0``, ``_key1``, ...
 
-    The tables travel together: one shuffle picks the wanted keys, one joins up the parts of all tables, and one concatenates
-    ready parts.
+    The tables travel together: one shuffle joins up the parts of all tables, one brings together the parts of the wanted keys.
+    ``wanted`` may hold more keys than are needed in the end; it spares their texts, it doesn't choose rows.
     """
     keys = [f"_key{i}" for i in range(len(lookups[0][1].right))]
     rows = _rows(lookups, order, part_width)
-    parts = _parts(rows if wanted is None else _asked_for(rows, keys, wanted), keys, lookups)
+    parts = _parts(rows, keys, lookups)
+    parts = parts if wanted is None else _asked_for(parts, keys, wanted)
     values = []
     for n, (_, spec) in enumerate(lookups):
         values += [F.expr(f"listagg(_text{n}_{i}, ',') within group (order by _part)").alias(c) for i, c in enumerate(spec.returns)]
@@ -127,8 +129,12 @@ def populate_all(
     order: str = "_row_no",
     part_width: int = PART_WIDTH,
     overwrite: bool = False,
+    asked: DataFrame | None = None,
 ) -> DataFrame:
-    """Several lookups on the same left key: the right tables are collapsed together, the left side is joined once."""
+    """Several lookups on the same left key: the right tables are collapsed together, the left side is joined once.
+
+    ``asked`` is a table that has the left key columns with all keys of the left side (and maybe more) at less cost than it.
+    """
     usable = []
     for right, spec in lookups:
         missing = spec.missing(left, right)
@@ -146,7 +152,7 @@ def populate_all(
     if clash and not overwrite:
         raise ValueError(f"returned columns already exist: {sorted(set(clash))}")
     kept = left.drop(*[c for c in clash if c not in left_keys])
-    wanted = left.select(*[F.col(f"`{k}`") for k in left_keys])
+    wanted = (left if asked is None else asked).select(*[F.col(f"`{k}`") for k in left_keys])
     collapsed = collapse(usable, order, part_width, wanted)
     joined = join_unique(kept, left_keys, collapsed, [f"_key{i}" for i in range(len(left_keys))])
     return joined.withColumns(

@@ -35,14 +35,17 @@ def with_amount(orders: DataFrame) -> DataFrame:
 
 def unique_invoices(invoices: DataFrame) -> DataFrame:
     """Active invoices, one per order and invoice number after all whitespace left the keys."""
-    active = active_only(invoices, "UUID Descripción")
-    return dedup_first(active.withColumns({k: strip_key(k) for k in INVOICE_KEY}), INVOICE_KEY)
+    return dedup_first(active_invoices(invoices), INVOICE_KEY)
+
+
+def active_invoices(invoices: DataFrame) -> DataFrame:
+    return active_only(invoices, "UUID Descripción").withColumns({k: strip_key(k) for k in INVOICE_KEY})
 
 
 def clean_invoices(invoices: DataFrame, orders: DataFrame | None = None, **options) -> DataFrame:
     """Unique active invoices; with orders at hand, the delivery note of the order with the same amount."""
     single = unique_invoices(invoices)
-    return single if orders is None else populate(single, orders, INVOICE_CHECK, **options)
+    return single if orders is None else populate(single, orders, INVOICE_CHECK, asked=active_invoices(invoices), **options)
 
 
 def backfill_orders(accounts: DataFrame, invoices: DataFrame, **options) -> DataFrame:
@@ -90,7 +93,7 @@ def integrate(
     return Integrated(
         enrich_orders(priced, single, states, penalties, file_date, **options),
         states,
-        populate(single, priced, INVOICE_CHECK, **options),
+        populate(single, priced, INVOICE_CHECK, asked=active_invoices(invoices), **options),
     )
 
 
