@@ -222,14 +222,15 @@ def _chains(some: DataFrame, keys: DataFrame) -> DataFrame:
 def prefix_hits(keys: DataFrame, files: DataFrame, name: str, path: str, order: Sequence[str], parts: int | None = None) -> DataFrame:
     """(_key, path, order columns): one row for each distinct key (``_prefix``) and file whose lower-cased name starts with it.
 
-    Names and keys are sorted together in ranges (see ``ranges``). All keys that a name starts with are prefixes of one another,
+    Names and keys are sorted together in ranges with even shares of both (see ``ranges``). All keys that a name starts with are prefixes of one another,
     and of the last key that sorts before the name or equals it, so each name looks at that key's chain only. A range
     begins with the last key of the ranges before it. A name travels once, whatever the number of keys, and a key that
     matches many names meets them in all the ranges they fill.
     """
     names = files.select(F.lower(F.col(f"`{name}`")).alias("_text"), F.col(f"`{path}`").alias("_path"), *[F.col(f"`{o}`").alias(f"_order{i}") for i, o in enumerate(order)])
     names = names.filter("_text is not null")
-    edges = ranges.bounds(names, "_text", ["_path"], parts)
+    texts = names.select("_text", "_path").unionByName(keys.select(F.col("_prefix").alias("_text")), allowMissingColumns=True)
+    edges = ranges.bounds(texts, "_text", ["_path"], parts)
     low = ranges.below("_prefix", edges, or_equal=False)
     last = F.struct("_prefix", "_chain").alias("_last")
     chains = _chains(keys, keys).select(F.col("_prefix").alias("_text"), low.alias("_range"), last)

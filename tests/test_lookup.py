@@ -1,6 +1,7 @@
 import dataclasses
 import logging
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -168,6 +169,14 @@ def test_a_hot_name_fills_several_ranges(spark):
     assert "explode(set" not in plan.split("_path")[0] and not any("collect_list" in x and "_path" in x for x in plan.split("\n"))
 
 
+def test_keys_behind_all_names_fill_ranges_of_their_own(spark):
+    files = spark.range(500).selectExpr("concat('n', id) name", "concat('/', id) path")
+    wanted = spark.range(5000).selectExpr("concat('z', id) Folio")
+    scanned = lookup.prefix_rows(wanted, "Folio", files, "name", "path", 20)
+    edges = re.findall(r"z\d+", plan_of(scanned))
+    assert scanned.count() == 0 and len(set(edges)) > 10
+
+
 def test_bounds_of_few_and_repeated_texts(spark):
     none = spark.createDataFrame([], "t string, p string")
     assert ranges.bounds(none, "t", ["p"]) == [""]
