@@ -602,3 +602,19 @@ def history_commits(t):
     table.append(raised.filter(quarter.isin(1, 2)), HISTORY_KEY, "two", ["importe"])
     table.append(raised.filter(quarter == 3), HISTORY_KEY, "two", ["importe"])
     return table.read()
+
+
+@register(
+    """WITH batch AS (SELECT *, CAST(substring(numero_orden_suministro, 4) AS BIGINT) AS n FROM in_history)
+       SELECT numero_orden_suministro, file_date, estado_de_la_factura, importe + CASE WHEN n % 3 = 2 THEN 1 ELSE 0 END AS importe,
+              fechaaltatrunc FROM batch"""
+)
+def history_known_keys(t):
+    """Appends to an indexed history: two thirds of the keys, then one snapshot's, then all; what is known is never changed."""
+    table = HistoryTable(t.spark, shared_folder(t.spark, "history"), buckets=8)
+    number = F.expr("CAST(substring(numero_orden_suministro, 4) AS BIGINT)")
+    raised = t["in_history"].withColumn("importe", F.col("importe") + 1)
+    table.append(t["in_history"].filter(number % 3 < 2), HISTORY_KEY, "two thirds", ["importe"])
+    table.append(raised.filter((number % 3 == 2) & (number % 5 == 0)), HISTORY_KEY, "one snapshot", ["importe"])
+    table.append(raised, HISTORY_KEY, "all", ["importe"])
+    return table.read()

@@ -7,6 +7,11 @@ snapshot and nothing but an unread folder behind. Entries remember the id of the
 crash or by a stream that repeats its last step, adds nothing. Two writers that start from one version both want the
 next one; the second to publish fails with ``CommitConflict`` and has changed nothing.
 
+With ``buckets`` the rows of an append lie in folders by a hash of their key, and ``root/keys/batch=<id>`` holds bitmaps of the
+keys (``operators/membership.py``), written before the entry. An append then asks the bitmaps first and reads only the
+buckets that may hold one of its keys: for a batch of new keys next to nothing. Entries say how their rows were
+indexed, so appends with and without an index, or with other buckets, live in one table.
+
 The rename is the file system's own: atomic on HDFS and on object stores with conditional writes. A local disk checks for
 the target first, which is enough for tests on one machine.
 """
@@ -15,14 +20,19 @@ import json
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import IntegerType, StringType, StructType
 
 from cotejo.operators.history import check_key, new_rows, only_between
+from cotejo.operators.membership import Shape, bitmaps, parts_that_may_hold
 
-LOG = "version bigint, batch_id string, folder string, rows bigint, schema string"
+LOG = "version bigint, batch_id string, folder string, rows bigint, schema string, index struct<key: array<string>, buckets: int, chunks: bigint>"
+BATCH, BUCKET = "batch", "key_bucket"  # folders by these, so no column may be called so
+MARKED = f"buckets int, chunks bigint, bucket int, chunk bigint, bitmap binary, {BATCH} string"
 
 
 class CommitConflict(RuntimeError):
@@ -36,6 +46,7 @@ class HistoryTable:
     spark: SparkSession
     root: str
     partition: str = "file_date"
+    buckets: int = 0  # folders by key hash in every append and snapshot; none without an index
 
     def commits(self) -> list[dict]:
         """Published entries in the order of their versions, one small row per append."""
@@ -52,7 +63,9 @@ class HistoryTable:
         """Publish the batch's rows whose keys the table lacks; False where a batch of this id was published before.
 
         Order columns that begin with an underscore aren't stored. Columns the batch lacks are NULL; columns that the table
-        lacks are an error. Like every insert it reads the keys of the snapshots between the batch's first and last only.
+        lacks are an error. Like every insert it reads the keys of the snapshots between the batch's first and last only, and of
+        indexed appends only the buckets of ``holding``. A batch with a long plan should be stored first: its keys are read for
+        the bounds and for the index, too.
         """
         entries = self.commits()
         if any(e["batch_id"] == batch_id for e in entries):
@@ -60,27 +73,38 @@ class HistoryTable:
         names = check_key(batch, key)
         hidden = [c for c in order if isinstance(c, str) and c.startswith("_")]
         schema = batch.drop(*hidden).schema
+        if reserved := {BATCH, BUCKET} & {n.lower() for n in schema.names}:
+            raise ValueError(f"names of folders can't be columns: {sorted(reserved)}")
         if entries:
             schema = StructType.fromJson(json.loads(entries[-1]["schema"]))
             unknown = [c for c in batch.columns if c not in hidden and c not in schema.names]
             if unknown:
                 raise ValueError(f"columns that the table {self.root} lacks: {unknown}")
-            target = self._rows(entries)
+            target = self._holding(entries, batch, names)
         else:
             target = self.spark.createDataFrame([], schema)
-        if self.partition in names:
-            target = only_between(target, batch, self.partition)
         rows = new_rows(target, batch, key, order, keep).drop(*hidden)
         rows = rows.select(*[(F.col(f"`{f.name}`") if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
-        folder, seen = f"batch={uuid.uuid4().hex}", Observation()
-        writer = rows.observe(seen, F.count(F.lit(1)).alias("rows")).write
-        if self.partition in schema.names:
-            writer = writer.partitionBy(self.partition)
-        writer.parquet(f"{self.root}/data/{folder}")
+        folder, seen = f"{BATCH}={uuid.uuid4().hex}", Observation()
+        by = [self.partition] if self.partition in schema.names else []
+        if self.buckets:
+            by.append(BUCKET)
+            rows = rows.withColumn(BUCKET, Shape(self.buckets).bucket(sorted(names))).hint("rebalance", *by)
+        rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.partitionBy(*by).parquet(f"{self.root}/data/{folder}")
         version = entries[-1]["version"] + 1 if entries else 0
-        self._publish({"version": version, "batch_id": batch_id, "folder": folder, "rows": seen.get["rows"], "schema": schema.json()})
+        entry = {"version": version, "batch_id": batch_id, "folder": folder, "rows": seen.get["rows"], "schema": schema.json(), "index": None}
+        if self.buckets:
+            shape = Shape.of(self.buckets, entry["rows"])
+            entry["index"] = {"key": sorted(names), "buckets": shape.buckets, "chunks": shape.chunks}
+            bitmaps(self._rows([entry]), sorted(names), shape).write.parquet(f"{self.root}/keys/{folder}")
+        self._publish(entry)
         return True
 
+    def holding(self, batch: DataFrame, key: Sequence[str]) -> DataFrame | None:
+        """Rows of the snapshots, and among indexed appends of the buckets, that may hold a key of the batch; None before the first append."""
+        entries = self.commits()
+        return self._holding(entries, batch, check_key(batch, key)) if entries else None
+
     def unread(self) -> list[str]:
         """Folders that no entry names: of appends that failed, or of one that is still being written."""
         if not self._exists(f"{self.root}/data"):
@@ -89,14 +113,43 @@ class HistoryTable:
         found = [status.getPath().getName() for status in self._system(path).listStatus(path)]
         return sorted(set(found) - {e["folder"] for e in self.commits()})
 
-    def _rows(self, entries: list[dict]) -> DataFrame:
+    def _holding(self, entries: list[dict], batch: DataFrame, names: list[str]) -> DataFrame:
         schema = StructType.fromJson(json.loads(entries[-1]["schema"]))
-        # An append without new rows has written a folder without files.
-        paths = [f"{self.root}/data/{e['folder']}" for e in entries if e["rows"]]
-        if not paths:
+        key = sorted(names)
+        indexed = [e for e in entries if e["rows"] and e["index"] and e["index"]["key"] == key]
+        places: dict[str, list[int]] = {}
+        if indexed:
+            folders = [f"{self.root}/keys/{e['folder']}" for e in indexed]
+            marked = self.spark.read.schema(MARKED).option("basePath", f"{self.root}/keys").parquet(*folders)
+            keys = batch.select(*[F.col(f"`{n}`").cast(schema[n].dataType).alias(n) for n in key])
+            shapes = [Shape(e["index"]["buckets"], e["index"]["chunks"]) for e in indexed]
+            for row in parts_that_may_hold(keys, key, marked, shapes, BATCH).collect():  # folders, no more than a file listing has
+                places.setdefault(f"{BATCH}={row[BATCH]}", []).append(row["bucket"])
+        left = [e for e in entries if e not in indexed or e["folder"] in places]
+        read = self._rows(left, schema, places)
+        return only_between(read, batch, self.partition) if self.partition in names else read
+
+    def _rows(self, entries: list[dict], schema: StructType | None = None, places: dict[str, list[int]] | None = None) -> DataFrame:
+        """Rows of these appends; of those that ``places`` names, in these buckets only."""
+        schema = schema or StructType.fromJson(json.loads(entries[-1]["schema"]))
+        # An append without new rows has written a folder without files. Folders with and without buckets are two reads.
+        parts = [[e for e in entries if e["rows"] and bool(e["index"]) == bucketed] for bucketed in (False, True)]
+        reads = [self._folders(part, schema, bool(at), places or {}) for at, part in enumerate(parts) if part]
+        if not reads:
             return self.spark.createDataFrame([], schema)
-        read = self.spark.read.schema(StructType(schema.fields).add("batch", StringType())).option("basePath", f"{self.root}/data")
-        return read.parquet(*paths).select(*[F.col(f"`{name}`") for name in schema.names])
+        return reads[0] if len(reads) == 1 else reads[0].unionAll(reads[1])
+
+    def _folders(self, entries: list[dict], schema: StructType, bucketed: bool, places: dict[str, list[int]]) -> DataFrame:
+        kept = StructType(list(schema.fields)).add(BATCH, StringType())
+        if bucketed:
+            kept = kept.add(BUCKET, IntegerType())
+        read = self.spark.read.schema(kept).option("basePath", f"{self.root}/data").parquet(*[f"{self.root}/data/{e['folder']}" for e in entries])
+        asked = {e["folder"].split("=")[1]: places[e["folder"]] for e in entries if e["folder"] in places}
+        if asked:
+            whole = [e["folder"].split("=")[1] for e in entries if e["folder"] not in places]
+            wanted = [(F.col(BATCH) == batch) & F.col(BUCKET).isin(*sorted(buckets)) for batch, buckets in sorted(asked.items())]
+            read = read.where(reduce(or_, wanted, F.col(BATCH).isin(*whole)) if whole else reduce(or_, wanted))
+        return read.select(*[F.col(f"`{name}`") for name in schema.names])
 
     def _publish(self, entry: dict) -> None:
         target = self._path(f"{self.root}/log/{entry['version']:020d}.json")
