@@ -10,9 +10,11 @@ word by word, never by hash alone.
 * Strings of one bucket travel as compressed blocks, which takes about the corpus's own size of shuffle instead of three times
   that. Buckets follow ``spark.sql.shuffle.partitions``; a task sorts its buckets one after another, so memory holds
   a bucket's strings at a time.
-* Windows are counted per minimiser first (by ``SLOTS`` bits of its hash). Where there are more than ``HOT``, strings are cut
-  into windows in the map tasks already and travel by document; Spark aggregates them by window. Thus no task receives a
-  minimiser, however common, as a whole.
+* Windows are counted per minimiser first, by slots of its hash whose number follows the corpus. Windows of a minimiser with
+  more than ``HOT`` take a longer one, of 8 and then of 16 words, and travel as strings of that: a common run of words stands in
+  many contexts, which the longer runs tell apart. Which minimiser a window takes depends on its words and the counts alone,
+  so equal windows still meet. What is common at 16 words, too, is mostly one text many times over: it is cut into windows in
+  the map tasks and travels by document, and Spark aggregates it by window. No task receives a common minimiser as a whole.
 
 A missing text has no words; a missing doc_id is the smallest id. Rows that share a doc_id are documents of their own,
 one after the other. Further columns of the input play no part.
@@ -20,7 +22,7 @@ one after the other. Further columns of the input play no part.
 
 import hashlib
 import itertools
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +33,12 @@ from cotejo.llm.batches import Words, mixed, slices
 from cotejo.llm.common import partitions, row_keyed, small_batches, stored
 from cotejo.operators.skew import join_unique
 
-WINDOW, MINIMISER = 20, 4
-BUCKETS_PER_PARTITION = 2
+WINDOW, MINIMISERS = 20, (4, 8, 16)
+BUCKETS_PER_PARTITION, BUCKET_BYTES = 2, 64 << 20  # so many buckets at least, and of no more text than this on average
 LONGEST = 4096  # windows in one string; longer ones are cut
 HOT = 20_000  # windows of one minimiser that a bucket sorts itself
-SLOTS = 21  # bits of a minimiser by which windows are counted
+SLOTS, MOST_SLOTS, SLOT_BYTES = 21, 27, 2 << 10  # bits of a minimiser by which windows are counted: one slot for so much text
+COUNTED = 2 << 20  # counts that a task holds before it hands them on
 REMEMBERED = 16 << 20  # bytes of strings that a task remembers
 GATHERED = 16 << 20  # bytes of strings that a task makes into blocks at a time
 BLOCK = "bucket int, block binary, doc_id bigint, start int, end int, window binary"
@@ -43,9 +46,44 @@ COVERED = "doc_id bigint, start int, end int"
 
 
 def strings(words: Words, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of each string: first word, end word, minimiser, and whether its minimiser occurs in it more than once."""
-    hashes = words.hashes()
-    size = min(MINIMISER, window)
+    """Of each string of the shortest minimisers: first word, end word, minimiser, and whether it occurs there more than once."""
+    return _strings(words.hashes(), words.text, window, sizes(window)[0])
+
+
+def sizes(window: int) -> list[int]:
+    """Words of the minimisers, from the shortest to the longest."""
+    return list(dict.fromkeys(min(size, window) for size in MINIMISERS))
+
+
+def levelled(words: Words, window: int, hot: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """As ``strings``, of windows by the shortest minimiser that isn't hot, and the level of each string's minimiser.
+
+    ``hot`` holds the hot slots of the levels that are known, as bits. Strings beyond them have the level ``len(hot)``; where
+    there is no such minimiser, they are strings of the longest.
+    """
+    hashes, text = words.hashes(), words.text
+    origin = np.arange(len(hashes))  # of the words in hand, those of hot strings laid end to end
+    found = []
+    for level, size in enumerate(sizes(window)[: len(hot) + 1]):
+        begin, stop, least, twice = _strings(hashes, text, window, size)
+        common = _is_hot(least, hot[level]) if level < len(hot) else np.zeros(len(begin), bool)
+        last = level + 1 == len(sizes(window))
+        for own, at in ((~common, level), (common & last, level + 1)):
+            found.append((origin[begin[own]], origin[stop[own] - 1] + 1, least[own] ^ np.uint64(at), twice[own], np.full(own.sum(), at)))
+        if last or not common.any():
+            break
+        begin, end = begin[common], stop[common] - window + 1
+        new = np.flatnonzero(np.concatenate([[True], (begin[1:] != end[:-1]) | (text[begin[1:]] != text[begin[:-1]])]))
+        begin, lengths = begin[new], end[np.append(new[1:], len(end)) - 1] - begin[new] + window - 1
+        text = np.repeat(np.arange(len(new)), lengths)
+        inside = np.repeat(begin - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
+        hashes, origin = hashes[inside], origin[inside]
+    begin, stop, least, twice, at = (np.concatenate(x) for x in zip(*found))
+    order = np.argsort(begin, kind="stable")
+    return begin[order], stop[order], least[order], twice[order], at[order]
+
+
+def _strings(hashes: np.ndarray, text: np.ndarray, window: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     span = window - size + 1  # runs in a window
     runs = len(hashes) - size + 1
     windows = len(hashes) - window + 1
@@ -57,9 +95,9 @@ def strings(words: Words, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
         run = run * np.uint64(0x100000001B3) + hashes[i : i + runs]
     run = mixed(run)
     least = _sliding(run, span, np.minimum)
-    valid = words.text[:windows] == words.text[window - 1 :]
+    valid = text[:windows] == text[window - 1 :]
     cut = np.ones(windows, bool)
-    cut[1:] = (least[1:] != least[:-1]) | (valid[1:] != valid[:-1]) | (words.text[1:windows] != words.text[: windows - 1])
+    cut[1:] = (least[1:] != least[:-1]) | (valid[1:] != valid[:-1]) | (text[1:windows] != text[: windows - 1])
     begin = np.flatnonzero(cut)
     end = np.append(begin[1:], windows)
     begin, end = begin[valid[begin]], end[valid[begin]]
@@ -86,29 +124,71 @@ def _sliding(x: np.ndarray, size: int, of) -> np.ndarray:
     return out
 
 
-def _slots(least: np.ndarray) -> np.ndarray:
-    return (least >> np.uint64(64 - SLOTS)).astype(np.int64)
+def _slots(least: np.ndarray, bits: int) -> np.ndarray:
+    return (least >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _is_hot(least: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    slot = _slots(least, (8 * len(hot)).bit_length() - 1)
+    return (hot[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
 
 
-def hot_slots(docs: DataFrame, window: int, hot: int) -> np.ndarray:
-    """Slots of minimisers with more than ``hot`` windows in all documents."""
+def slot_bits(text_bytes: int) -> int:
+    return min(max(SLOTS, (text_bytes // SLOT_BYTES).bit_length()), MOST_SLOTS)
+
+
+def hot_slots(docs: DataFrame, window: int, hot: int, bits: int = SLOTS) -> list[np.ndarray]:
+    """Per length of minimisers, one bit per slot: whether it has more than ``hot`` windows in all documents.
+
+    Later levels count the windows that reach them. The driver holds these bits only, 16 MB a level at most, and no list of
+    slots or minimisers.
+    """
+    known: list[np.ndarray] = []
+    for _ in sizes(window):
+        over = _counts(docs, window, known, bits).where(F.col("n") > hot)
+        found = np.zeros((1 << bits) // 8, np.uint8)
+        marked = over.groupBy(F.col("slot").bitwiseAND(~32_767).alias("first")).agg(F.bitmap_construct_agg(F.col("slot").bitwiseAND(32_767).cast("bigint")).alias("bits"))
+        for row in marked.collect():
+            found[row["first"] // 8 : row["first"] // 8 + 4_096] = np.frombuffer(row["bits"], np.uint8)
+        known.append(found)
+        if not found.any():
+            break
+    return known
+
+
+def _counts(docs: DataFrame, window: int, known: list[np.ndarray], bits: int) -> DataFrame:
+    """(slot, n): windows by the minimisers of the level after the known ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = np.zeros(1 << SLOTS, np.int64)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def summed() -> tuple[np.ndarray, np.ndarray]:
+            slot, n = (np.concatenate(x) for x in zip(*held))
+            used, at = np.unique(slot, return_inverse=True)
+            return used, np.bincount(at, n, len(used)).astype(np.int64)
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            used, n = summed()
+            yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(n)], names=["slot", "n"])
+
         for batch in batches:
             for _, _, data, offsets in slices(batch.column(1)):
-                begin, stop, least, _ = strings(Words(data, offsets), window)
-                np.add.at(count, _slots(least), stop - begin - window + 1)
-        used = np.flatnonzero(count)
-        if len(used):
-            yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(count[used])], names=["slot", "n"])
+                begin, stop, least, _, level = levelled(Words(data, offsets), window, known)
+                own = level == len(known)
+                held.append((_slots(least[own] ^ np.uint64(len(known)), bits), (stop - begin - window + 1)[own]))
+                if sum(len(slot) for slot, _ in held) > COUNTED:
+                    held = [summed()]
+                    if len(held[0][0]) > COUNTED // 2:
+                        yield from rows()
+                        held = []
+        if held:
+            yield from rows()
 
-    counts = docs.select("doc_id", "text").mapInArrow(run, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
-    return np.array(sorted(row["slot"] for row in counts.where(F.col("n") > hot).select("slot").collect()), np.int64)
+    return docs.select("doc_id", "text").mapInArrow(run, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
 
 
-def _cut(docs: DataFrame, window: int, buckets: int, hot: np.ndarray) -> DataFrame:
-    """Strings in compressed blocks by bucket, places already known to repeat, and the windows of hot slots."""
+def _cut(docs: DataFrame, window: int, buckets: int, hot: list[np.ndarray]) -> DataFrame:
+    """Strings in compressed blocks by bucket, places already known to repeat, and the windows that are hot at every level."""
 
     kinds = (pa.int32(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
     names = ["bucket", "block", "doc_id", "start", "end", "window"]
@@ -140,7 +220,7 @@ def _cut(docs: DataFrame, window: int, buckets: int, hot: np.ndarray) -> DataFra
         for batch in batches:
             for low, end, data, offsets in slices(batch.column(1)):
                 words = Words(data, offsets)
-                begin, stop, least, twice = strings(words, window)
+                begin, stop, least, twice, level = levelled(words, window, hot)
                 if not len(begin):
                     continue
                 ids = batch.column(0).slice(low, end - low).to_numpy()[words.text[begin]]
@@ -154,7 +234,7 @@ def _cut(docs: DataFrame, window: int, buckets: int, hot: np.ndarray) -> DataFra
                 known: list[int] = []
                 travel: list[int] = []
                 dealt: list[tuple[bytes, int, int]] = []
-                is_hot = np.isin(_slots(least), hot).tolist()
+                is_hot = (level == len(sizes(window))).tolist()
                 for i, (a, b, at) in enumerate(zip(froms, tos, zip(ids.tolist(), start.tolist()))):
                     text = joined[a:b]
                     first = seen.get(text)
@@ -205,7 +285,7 @@ def _unpacked(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
 
 
 def _sorted(blocks: DataFrame, window: int) -> DataFrame:
-    """Covered places; windows of hot slots pass with their place."""
+    """Covered places; windows cut in the map tasks pass with their place."""
 
     def covered(entries: list[tuple[bytes, int, int]]) -> Iterator[tuple[int, int, int]]:
         """Ranges of the repeated windows, those that touch or overlap as one."""
@@ -265,11 +345,15 @@ def _sorted(blocks: DataFrame, window: int) -> DataFrame:
 def covered_words(docs: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
     """(doc_id, start, end) of word ranges covered by repeated windows; ranges may overlap. No two documents share a doc_id.
 
-    The windows of hot slots are settled by an aggregation and a join on the window.
+    Windows that are hot at every level are settled by an aggregation and a join on the window.
     """
     small_batches(docs.sparkSession)
     tasks = partitions(docs.sparkSession)
-    cut = _cut(docs, window, tasks * BUCKETS_PER_PARTITION, hot_slots(docs, window, hot))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(tasks * BUCKETS_PER_PARTITION, size // BUCKET_BYTES)
+    bits = slot_bits(size)
+    # Beyond MOST_SLOTS a slot holds ever more minimisers; what they have together isn't held against one of them.
+    cut = _cut(docs, window, buckets, hot_slots(docs, window, hot + (size >> bits), bits))
     found = stored(_sorted(cut.repartitionById(tasks, "bucket"), window))
     plain = found.where("window is null").select("doc_id", "start", "end")
     dealt = found.where("window is not null")
