@@ -6,6 +6,7 @@ from cotejo.catalog.registry import LINE_PART_WIDTH, ORDER_ID, register
 from cotejo.operators import checks, dedup, filters, history, lookup
 from cotejo.plans import integrate as plan
 from cotejo.plans.invoices import load_invoices as invoice_load
+from cotejo.plans.run_all import Inputs, stored_orders
 from cotejo.session import shared_folder
 from cotejo.sinks.snapshots import HistoryTable
 from cotejo.values import HISTORY_KEY
@@ -579,13 +580,14 @@ def _part_of(row_no):
                                       AND h.file_date = b.file_date)"""
 )
 def chained_stages(t):
-    """Invoice load, integration and history load as one plan; ``run_all`` stores each stage instead."""
+    """Invoice load, integration and history load through stored stages; started once more, the run reads them back."""
     catalog, xml, status = _stage_inputs(t)
-    loaded = invoice_load([catalog], xml, status)
-    done = plan.integrate(t["in_orders"], loaded, t["in_accounts"], t["in_penalties"], "2024-01-04 00:59:00", **WIDE)
-    batch = done.orders.drop("precio_unitario", "orden_remision", "numero_contrato")
-    target = t["in_history"].drop("fechaaltatrunc")
-    return history.load_history(target, [batch]).drop("_row_no")
+    inputs = Inputs(t["in_orders"], t["in_accounts"], t["in_penalties"], [catalog], xml, status)
+    root = shared_folder(t.spark, "stages")
+    for _ in range(2):
+        orders = stored_orders(t.spark, inputs, root, "2024-01-04-00", "2024-01-04 00:59:00", resume=True, **WIDE)
+    batch = orders.drop("precio_unitario", "orden_remision", "numero_contrato")
+    return history.load_history(t["in_history"].drop("fechaaltatrunc"), [batch]).drop("_row_no")
 
 
 @register(
