@@ -39,6 +39,34 @@ def events(conversations: DataFrame) -> DataFrame:
     return conversations.select("conv_id", F.col("turn").alias("message"), F.col("turn").alias("seq"), F.lit("message").alias("kind"), "role", "text")
 
 
+def streamed(conversations: DataFrame, delta: int = 400) -> DataFrame:
+    """A log that ends in the same turns as ``events`` of these rows, as a chat service would have written it.
+
+    A loss role's turn starts empty; its text arrives as a first draft of one delta, which a regeneration throws away, and
+    then in deltas of ``delta`` characters. Any other turn is sent with a slip of its first character and put right by an edit.
+    Rows that share a turn stand for turns of their own, so each takes a message number, in the order of role and text.
+    """
+    nulls_first = [F.col(c).asc_nulls_first() for c in ("role", "text")]
+    rows = conversations.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    nth = F.row_number().over(Window.partitionBy("conv_id", "turn").orderBy(*nulls_first))
+    # Numbers order as turns do, a missing turn first.
+    numbered = rows.withColumn("message", F.struct(F.col("turn"), nth.alias("nth")))
+    said, pieces = F.col("text"), F.ceil(F.length("text") / delta).cast("int")
+
+    def event(seq: Column, kind: str, text: Column) -> Column:
+        return F.struct(seq.cast("bigint").alias("seq"), F.lit(kind).alias("kind"), text.alias("text"))
+
+    def nothing(kind: str, at: int) -> Column:
+        return event(F.lit(at), kind, F.lit(""))
+
+    parts = F.when(pieces > 0, F.sequence(F.lit(0), pieces - 1)).otherwise(F.array().cast("array<int>"))
+    deltas = F.transform(parts, lambda i: event(i + 3, "delta", F.substring(said, i * delta + 1, F.lit(delta))))
+    answer = F.concat(F.array(nothing("message", 0), event(F.lit(1), "delta", F.reverse(F.substring(said, 1, delta))), nothing("regenerate", 2)), deltas)
+    sent = F.array(event(F.lit(0), "message", F.substring(said, F.lit(2), F.length(said))), event(F.lit(1), "edit", said))
+    log = numbered.select("conv_id", "message", "role", F.explode(F.when(F.col("role").isin(*LOSS_ROLES), answer).otherwise(sent)).alias("event"))
+    return log.select("conv_id", "message", "event.seq", "event.kind", "role", "event.text")
+
+
 def folded(log: DataFrame) -> DataFrame:
     """(conv_id, message, version, role, text): the final turns."""
     rows = log.where(F.col("kind").isin(*KINDS)).select(
@@ -65,12 +93,18 @@ def folded(log: DataFrame) -> DataFrame:
 
 
 def render(log: DataFrame) -> DataFrame:
-    """conv_id, formatted, and its segments (text, loss) in order, whose texts laid end to end are ``formatted``."""
+    """conv_id, formatted, its segments (text, loss) in order, whose texts laid end to end are ``formatted``, and the mask.
+
+    The mask has a row (turn, start, length) per turn under the loss: its characters ``start`` to ``start + length`` within turn
+    number ``turn``, both from 0. Within the turn, so that texts under the mask are found in one pass over a long conversation.
+    """
     head = F.concat(F.lit(START), escaped(F.col("role"), ROLE_ESCAPES), F.lit(COLON))
     turn = folded(log).select("conv_id", F.struct("message", "version", head.alias("head"), escaped(F.col("text")).alias("body"), F.col("role").isin(*LOSS_ROLES).alias("loss")).alias("turn"))
     turns = turn.groupBy("conv_id").agg(F.array_sort(F.collect_list("turn")).alias("turns"))
     segments = F.flatten(F.transform("turns", lambda x: F.array(F.struct(x["head"].alias("text"), F.lit(False).alias("loss")), F.struct(x["body"].alias("text"), x["loss"].alias("loss")), F.struct(F.lit(END).alias("text"), F.lit(False).alias("loss")))))
-    return turns.select("conv_id", segments.alias("segments")).withColumn("formatted", F.array_join(F.transform("segments", lambda x: x["text"]), ""))
+    spans = F.transform("turns", lambda x, i: F.struct(i.alias("turn"), F.length(x["head"]).alias("start"), F.length(x["body"]).alias("length"), x["loss"].alias("loss")))
+    mask = F.transform(F.filter(spans, lambda x: x["loss"]), lambda x: x.dropFields("loss"))
+    return turns.select("conv_id", segments.alias("segments"), mask.alias("mask")).withColumn("formatted", F.array_join(F.transform("segments", lambda x: x["text"]), ""))
 
 
 def read_back(formatted: Column) -> Column:
@@ -89,7 +123,8 @@ def read_back(formatted: Column) -> Column:
 def digests(rendered: DataFrame) -> DataFrame:
     """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256 and formatted_chars, read from the rendered text and its mask."""
     turns = read_back(F.col("formatted"))
-    under_mask = F.array_join(F.transform(F.filter("segments", lambda x: x["loss"]), lambda x: unescaped(x["text"])), "")
+    cut = F.split("formatted", END)
+    under_mask = F.array_join(F.transform("mask", lambda x: unescaped(F.substring(F.get(cut, x["turn"]), x["start"] + 1, x["length"]))), "")
     read = rendered.select("conv_id", turns.alias("turns"), under_mask.alias("loss"), F.length("formatted").cast("bigint").alias("formatted_chars"))
     said = F.array_join(F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
     return read.select(

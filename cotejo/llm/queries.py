@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cotejo.llm import (
     chat_format, decontaminate, hard_negatives, line_dedup, packing, periodic_runs, personal_data, piece_tokens, quality_classifier, quality_rules,
@@ -67,9 +67,10 @@ def op9_quality_classifier(table):
 @query
 def op10_chat_format(table):
     given = table("conversations").select("conv_id", "turn", "role", "text")
-    hard = r"\### Assistant: </turn> ok"
-    more = given.sparkSession.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], given.schema)
-    return chat_format.digests(chat_format.render(chat_format.events(given.union(more))))
+    hard = F.lit(r"\### Assistant: </turn> ok")
+    roles = given.sparkSession.range(1).select(F.lit(-7).alias("conv_id"), F.posexplode(F.array(F.lit("user"), F.lit("assistant"))).alias("turn", "role"))
+    more = roles.select(*[column.cast(given.schema[name].dataType).alias(name) for name, column in (("conv_id", F.col("conv_id")), ("turn", F.col("turn")), ("role", F.col("role")), ("text", hard))])
+    return chat_format.digests(chat_format.render(chat_format.streamed(given.union(more))))
 
 
 @query
