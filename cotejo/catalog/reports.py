@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from cotejo.catalog.registry import register
 from cotejo.operators import history, report
 from cotejo.plans.sql_folder import folder_report, run_sql_folder
+from cotejo.session import shared_folder
+from cotejo.sinks.snapshots import HistoryTable
+from cotejo.values import HISTORY_KEY
 
 CUTOFF = "1998-06-30"
 PREVIOUS, CURRENT = "2024-01-02", "2024-01-04"
@@ -66,6 +69,30 @@ def snapshot_compare(t):
     return _rounded(_compared(t))
 
 
+def _kept(t):
+    """The history in three appends, each with its sums."""
+    table = HistoryTable(t.spark, shared_folder(t.spark, "history"), sums={})
+    third = F.expr("CAST(substring(numero_orden_suministro, 4) AS BIGINT) % 3")
+    for i in range(3):
+        table.append(t["in_history"].filter(third <= i), HISTORY_KEY, f"part {i}", ["importe"])
+    return table
+
+
+@register(f"""WITH {COMPARED} SELECT period, status, round(previous, 2) AS previous, round(current, 2) AS current FROM cmp""")
+def snapshot_compare_summaries(t):
+    """The comparison read from the sums that appends left; rows of the history aren't read."""
+    return _rounded(report.snapshot_compare(_kept(t).summaries(), PREVIOUS, CURRENT, CUTOFF))
+
+
+@register(
+    f"""SELECT numero_orden_suministro, estado_de_la_factura, importe FROM in_history
+        WHERE file_date = (SELECT max(file_date) FROM in_history) AND numero_orden_suministro IN {LOOKUP_ORDERS}"""
+)
+def latest_snapshot_from_log(t):
+    """The lookup in the newest snapshot, which the log of appends names."""
+    return history.lookup_orders(_kept(t).latest(), LOOKUP_ORDERS)
+
+
 @register(f"""WITH {TOTALS} SELECT * FROM full_tot""")
 def snapshot_compare_totals(t):
     return _rounded(_totals(t), delta_pct=6)

@@ -101,9 +101,9 @@ def latest_snapshot(history: DataFrame, snapshot: str = "file_date") -> DataFram
     return history.filter(F.col(snapshot) == history.agg(F.max(snapshot)).scalar())
 
 
+def lookup_orders(rows: DataFrame, orders: Sequence[str]) -> DataFrame:
+    return rows.filter(F.col("numero_orden_suministro").isin(*orders)).select("numero_orden_suministro", "estado_de_la_factura", "importe")
+
+
 def latest_snapshot_lookup(history: DataFrame, orders: Sequence[str], snapshot: str = "file_date") -> DataFrame:
-    return (
-        latest_snapshot(history, snapshot)
-        .filter(F.col("numero_orden_suministro").isin(*orders))
-        .select("numero_orden_suministro", "estado_de_la_factura", "importe")
-    )
+    return lookup_orders(latest_snapshot(history, snapshot), orders)

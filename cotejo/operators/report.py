@@ -36,6 +36,18 @@ def status_split(df: DataFrame, cutoff, amount="importe", date="fechaaltatrunc",
     return df.filter(quoted(status).isNotNull()).groupBy(quoted(status).alias("status")).agg(*sums)
 
 
+def partial_sums(df: DataFrame, amount="importe", date="fechaaltatrunc", snapshot="file_date", status: str | None = None) -> DataFrame:
+    """Amounts per snapshot, status and day under the columns' own names: a table that reports can read in place of the rows.
+
+    Sums of sums are sums, so the parts of several appends stand side by side and any cut-off date can be asked for.
+    Rows without a status count in no report and are left out.
+    """
+    status = resolve_column(df, "estado", override=status)
+    value = _numeric_amount(df, amount).alias(amount)
+    rows = df.filter(quoted(status).isNotNull()).select(snapshot, quoted(status).alias(status), F.col(date).cast("date").alias(date), value)
+    return rows.groupBy(snapshot, quoted(status), date).agg(F.sum(quoted(amount)).alias(amount), F.count(F.lit(1)).alias("rows"))
+
+
 def snapshots(df: DataFrame, column: str = "file_date") -> DataFrame:
     return df.select(column).filter(F.col(column).isNotNull()).distinct()
 

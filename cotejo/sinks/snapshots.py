@@ -12,13 +12,16 @@ keys (``operators/membership.py``), written before the entry. An append then ask
 buckets that may hold one of its keys: for a batch of new keys next to nothing. Entries say how their rows were
 indexed, so appends with and without an index, or with other buckets, live in one table.
 
+Entries also hold the newest snapshot of their rows, counted by the write itself. With ``sums`` every append leaves its amounts
+by snapshot, status and day in ``root/sums/batch=<id>``; reports on ``summaries`` read these rows only.
+
 The rename is the file system's own: atomic on HDFS and on object stores with conditional writes. A local disk checks for
 the target first, which is enough for tests on one machine.
 """
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
@@ -27,10 +30,12 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StringType, StructType
 
-from cotejo.operators.history import check_key, new_rows, only_between
+from cotejo.operators.history import check_key, latest_snapshot, new_rows, only_between
 from cotejo.operators.membership import Shape, bitmaps, parts_that_may_hold
+from cotejo.operators.report import partial_sums
+from cotejo.operators.setops import union_by_name
 
-LOG = "version bigint, batch_id string, folder string, rows bigint, schema string, index struct<key: array<string>, buckets: int, chunks: bigint>"
+LOG = "version bigint, batch_id string, folder string, rows bigint, schema string, index struct<key: array<string>, buckets: int, chunks: bigint>, newest string, sums string"
 BATCH, BUCKET = "batch", "key_bucket"  # folders by these, so no column may be called so
 MARKED = f"buckets int, chunks bigint, bucket int, chunk bigint, bitmap binary, {BATCH} string"
 
@@ -47,6 +52,7 @@ class HistoryTable:
     root: str
     partition: str = "file_date"
     buckets: int = 0  # folders by key hash in every append and snapshot; none without an index
+    sums: Mapping[str, str] | None = None  # arguments of report.partial_sums, {} for its defaults; none without sums
 
     def commits(self) -> list[dict]:
         """Published entries in the order of their versions, one small row per append."""
@@ -90,16 +96,51 @@ class HistoryTable:
         if self.buckets:
             by.append(BUCKET)
             rows = rows.withColumn(BUCKET, Shape(self.buckets).bucket(sorted(names))).hint("rebalance", *by)
-        rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.partitionBy(*by).parquet(f"{self.root}/data/{folder}")
+        newest = F.max(self.partition if self.partition in schema.names else F.lit(None)).cast("string")
+        rows.observe(seen, F.count(F.lit(1)).alias("rows"), newest.alias("newest")).write.partitionBy(*by).parquet(f"{self.root}/data/{folder}")
         version = entries[-1]["version"] + 1 if entries else 0
-        entry = {"version": version, "batch_id": batch_id, "folder": folder, "rows": seen.get["rows"], "schema": schema.json(), "index": None}
+        entry = {"version": version, "batch_id": batch_id, "folder": folder, "rows": seen.get["rows"], "schema": schema.json(), "index": None, "newest": seen.get["newest"]}
         if self.buckets:
             shape = Shape.of(self.buckets, entry["rows"])
             entry["index"] = {"key": sorted(names), "buckets": shape.buckets, "chunks": shape.chunks}
             bitmaps(self._rows([entry]), sorted(names), shape).write.parquet(f"{self.root}/keys/{folder}")
+        if self.sums is not None:
+            entry["sums"] = self._spec()
+            self._summed([entry]).write.parquet(f"{self.root}/sums/{folder}")
         self._publish(entry)
         return True
 
+    def latest(self) -> DataFrame | None:
+        """Rows of the newest snapshot; the log says which one it is, so no row is read to find it. None before the first append."""
+        entries = self.commits()
+        if not entries:
+            return None
+        read = self._rows(entries)
+        seen = {e["newest"] for e in entries if e["rows"]}
+        if not seen or None in seen:  # no rows, or entries that don't say
+            return latest_snapshot(read, self.partition)
+        kind = read.schema[self.partition].dataType
+        return read.filter(F.col(self.partition) == F.array_max(F.array(*[F.lit(at).cast(kind) for at in sorted(seen)])))
+
+    def summaries(self) -> DataFrame | None:
+        """Amounts by snapshot, status and day, in parts that add up; rows are read only of appends that left no such sums."""
+        entries = self.commits()
+        if not entries:
+            return None
+        own = [e for e in entries if self.sums is not None and e["sums"] == self._spec()]
+        rest = [e for e in entries if e not in own]
+        parts = [self._summed(rest)] if rest else []
+        if own:
+            kept = self._summed([own[-1]]).schema
+            parts.append(self.spark.read.schema(kept).parquet(*[f"{self.root}/sums/{e['folder']}" for e in own]))
+        return union_by_name(parts)
+
+    def _spec(self) -> str:
+        return json.dumps(dict(self.sums or {}), sort_keys=True)
+
+    def _summed(self, entries: list[dict]) -> DataFrame:
+        return partial_sums(self._rows(entries), **{"snapshot": self.partition, **(self.sums or {})})
+
     def holding(self, batch: DataFrame, key: Sequence[str]) -> DataFrame | None:
         """Rows of the snapshots, and among indexed appends of the buckets, that may hold a key of the batch; None before the first append."""
         entries = self.commits()
