@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from cotejo.catalog.registry import register
-from cotejo.operators import checks, files, groups
+from cotejo.operators import anchors, checks, files, groups
 
 CATEGORIES = ("view", "click", "purchase")
 EXTENSIONS = (".csv", ".xlsx", ".xls")
@@ -89,6 +89,21 @@ def anchored_groups_global(t):
     return groups.anchored_groups(_inventory(t))
 
 
+@register(
+    """WITH RECURSIVE d AS (SELECT DISTINCT event_type, ts FROM events WHERE ts IS NOT NULL),
+       nxt AS (SELECT *, min(ts) OVER (PARTITION BY event_type ORDER BY ts
+                    RANGE BETWEEN INTERVAL '2 hours 1 microsecond' FOLLOWING AND UNBOUNDED FOLLOWING) AS following FROM d),
+       chain(event_type, anchor, following) AS (
+           SELECT event_type, ts, following FROM nxt QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts) = 1
+           UNION ALL
+           SELECT n.event_type, n.ts, n.following FROM chain c JOIN nxt n ON n.event_type IS NOT DISTINCT FROM c.event_type AND n.ts = c.following)
+       SELECT e.event_id, e.event_type, e.ts, c.anchor FROM events e ASOF JOIN chain c
+       ON coalesce(e.event_type, '') = coalesce(c.event_type, '') AND e.ts >= c.anchor"""
+)
+def anchored_groups_exact(t):
+    return anchors.exact_groups(t["events"].select("event_id", "event_type", "ts"), ["event_type"])
+
+
 def _groups(t):
     return groups.snapshot_groups(_inventory(t), CATEGORIES, ["office"])
 

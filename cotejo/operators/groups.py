@@ -48,7 +48,10 @@ def _global_key(files: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[
 
 
 def anchored_groups(files: DataFrame, keys: Sequence[str] = (), ts: str = "ts", hours: int = GROUP_SPAN_HOURS):
-    """Every file with the anchor of its group; files without a stamp are left out."""
+    """Every file with the anchor of its group; files without a stamp are left out.
+
+    Stamps count by their hour, as file names give them; ``anchors.exact_groups`` takes them as they are.
+    """
     keyed, names = _global_key(files, keys)
     anchors = stamp_anchors(keyed, names, ts, hours)
     stamped = keyed.filter(F.col(ts).isNotNull()).withColumn("_hour", F.date_trunc("hour", ts).cast(files.schema[ts].dataType))
