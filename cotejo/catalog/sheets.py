@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from cotejo.catalog.registry import register
 from cotejo.operators.shape import require_columns
 from cotejo.plans import payments
+from cotejo.session import shared_folder
 from cotejo.sources import sheets
 
 
@@ -119,13 +120,15 @@ FEED = f"""
                CAST(-1 AS DOUBLE) AS importe, 'old' AS clc FROM in_notices WHERE o_orderkey % 6 = 2)"""
 
 
-@register(
-    f"""{FEED} SELECT file_name, folio_fiscal, referencia, importe, clc FROM target
-        UNION ALL
-        SELECT file_name, folio_fiscal, referencia, importe, nullif(clc, 'null') FROM accepted a
-        WHERE NOT EXISTS (SELECT 1 FROM target t WHERE t.file_name = a.file_name AND t.folio_fiscal = a.folio_fiscal)
-        QUALIFY row_number() OVER (PARTITION BY file_name, folio_fiscal ORDER BY pos) = 1"""
-)
+INSERTED = f"""
+    {FEED} SELECT file_name, folio_fiscal, referencia, importe, clc FROM target
+UNION ALL
+SELECT file_name, folio_fiscal, referencia, importe, nullif(clc, 'null') FROM accepted a
+WHERE NOT EXISTS (SELECT 1 FROM target t WHERE t.file_name = a.file_name AND t.folio_fiscal = a.folio_fiscal)
+QUALIFY row_number() OVER (PARTITION BY file_name, folio_fiscal ORDER BY pos) = 1"""
+
+
+@register(INSERTED)
 def payments_feed(t):
     return _feed(t)[0]
 
@@ -138,15 +141,38 @@ def payments_rejected(t):
     return _feed(t)[1].drop("_row_no")
 
 
+def _stored(t):
+    root = shared_folder(t.spark, "notices")
+    return payments.stored_notices(t["in_notices"], _notice_rows(t), root, "Notice", "o_orderkey")
+
+
+@register(
+    f"""{FEED} SELECT count(*) AS rows, count(*) FILTER (WHERE regexp_full_match(importe, '[0-9]+([.][0-9]+)?') AND folio_fiscal IS NOT NULL) AS accepted,
+               count(*) FILTER (WHERE folio_fiscal IS NULL) AS without_folio,
+               count(*) FILTER (WHERE NOT regexp_full_match(importe, '[0-9]+([.][0-9]+)?')) AS without_amount FROM read"""
+)
+def payments_counted(t):
+    counts = _stored(t)[2]
+    return t.spark.range(1).select(*[F.lit(n).cast("bigint").alias(name) for name, n in counts.items()])
+
+
+@register(INSERTED)
+def payments_stored(t):
+    return payments.insert_notices(_target(t), _stored(t)[0])
+
+
 def _feed(t):
-    target = t["in_notices"].filter("o_orderkey % 6 = 2").select(
+    return payments.payments_feed(t["in_notices"], _notice_rows(t), _target(t), "Notice", "o_orderkey")
+
+
+def _target(t):
+    return t["in_notices"].filter("o_orderkey % 6 = 2").select(
         F.col("name").alias("file_name"),
         F.concat(F.lit("U"), (F.col("o_custkey") % 100).cast("string")).alias("folio_fiscal"),
         F.lit("old").alias("referencia"),
         F.lit(-1.0).alias("importe"),
         F.lit("old").alias("clc"),
     )
-    return payments.payments_feed(t["in_notices"], _notice_rows(t), target, "Notice", "o_orderkey")
 
 
 @register("""SELECT CAST(o_orderkey AS VARCHAR) AS "Folio", o_custkey FROM orders""")

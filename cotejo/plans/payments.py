@@ -2,10 +2,11 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from cotejo.functions.clean import clean_strings, null_markers
-from cotejo.operators.filters import split_payments
+from cotejo.functions.clean import clean_strings, null_markers, to_number
+from cotejo.operators.filters import flag_payments, split_payments
 from cotejo.operators.files import first_sheet_per_prefix
 from cotejo.operators.history import insert_if_absent
+from cotejo.sinks.writers import write_counted
 from cotejo.sources.sheets import TOKEN_ROWS, locate_notice, read_notices
 from cotejo.values import PAYMENT_COLUMNS, PAYMENT_KEY, PAYMENT_NULL_MARKERS
 
@@ -25,8 +26,27 @@ def notice_rows(files: DataFrame, rows: DataFrame, suffix: str, order: str) -> D
     )
 
 
+def stored_notices(files: DataFrame, rows: DataFrame, root: str, suffix: str, order: str) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """(accepted rows, rejected rows, counts) of a run whose notice rows are read once and stored under ``root``.
+
+    The counts of all rows, of accepted ones, and of those without a folio or without a number for an amount (a row may
+    lack both) come from the write itself.
+    """
+    flagged = flag_payments(notice_rows(files, rows, suffix, order))
+    missing = {"without_folio": F.col("folio_fiscal").isNull(), "without_amount": to_number("importe").isNull()}
+    counts = write_counted(flagged, root, accepted=F.col("accepted"), **missing)
+    stored = flagged.sparkSession.read.schema(flagged.schema).parquet(root)
+    accepted = stored.filter("accepted").withColumn("importe", to_number("importe")).drop("accepted")
+    return accepted, stored.filter("not accepted").drop("accepted"), counts
+
+
+def insert_notices(target: DataFrame, accepted: DataFrame) -> DataFrame:
+    """The target after the insert; the first row of a key wins."""
+    clean = clean_strings(accepted, PAYMENT_NULL_MARKERS)
+    return insert_if_absent(target, clean, PAYMENT_KEY, ("_row_no",), keep="first").drop("_row_no")
+
+
 def payments_feed(files: DataFrame, rows: DataFrame, target: DataFrame, suffix: str, order: str):
     """(target after the insert, rejected rows); the first row of a key wins."""
     accepted, rejected = split_payments(notice_rows(files, rows, suffix, order))
-    clean = clean_strings(accepted, PAYMENT_NULL_MARKERS)
-    return insert_if_absent(target, clean, PAYMENT_KEY, ("_row_no",), keep="first").drop("_row_no"), rejected
+    return insert_notices(target, accepted), rejected

@@ -2,7 +2,7 @@
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from cotejo.operators.history import check_key, new_rows, only_between
 from cotejo.operators.setops import concat_by_header
@@ -36,6 +36,17 @@ def write_split(flagged: DataFrame, root: str, flag: str = "accepted") -> None:
     flagged.write.mode("overwrite").partitionBy(flag).parquet(root)
 
 
+def write_counted(flagged: DataFrame, root: str, flag: str = "accepted", **rules: Column) -> dict[str, int]:
+    """``write_split``, and what ``quality_metrics`` counts of the same rows, gathered by the tasks that write them.
+
+    The counts are those of the tasks whose output was committed: a task that is repeated counts once.
+    """
+    seen = Observation()
+    counts = [F.count(F.lit(1)).alias("rows"), *[F.count_if(rule).alias(name) for name, rule in rules.items()]]
+    write_split(flagged.observe(seen, *counts), root, flag)
+    return {name: seen.get.get(name) or 0 for name in ("rows", *rules)}
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 

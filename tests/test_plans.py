@@ -69,6 +69,38 @@ def test_payments(spark, rows):
     assert empty.count() == 0 and empty.columns == target.columns
 
 
+def test_stored_notices_are_counted_by_their_write(spark, tmp_path):
+    from cotejo.operators.checks import quality_metrics
+    from cotejo.operators.filters import flag_payments
+    from cotejo.plans.payments import insert_notices, notice_rows, stored_notices
+
+    names = ["2025-01-01 10-30 Acme a.xlsx", "2025-01-02 10-30 Acme b.xlsx"]
+    listing = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "name string, i int")
+    cells = [["Folio Fiscal", "Referencia", "Importe", "CLC"], ["u1", "r", "5", " "], ["u1", "r", "6", "c"], ["NaN", "r", "x", "c"], ["u2", "r", "x", "c"], ["NaN", "r", "1", "c"]]
+    sheet = spark.createDataFrame([(n, i, c) for n in names for i, c in enumerate(cells)], "file string, pos int, cells array<string>")
+    target = spark.createDataFrame([], "folio_fiscal string, referencia string, importe double, clc string, file_name string")
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    once = sheet.mapInArrow(counted, sheet.schema)
+    accepted, rejected, counts = stored_notices(listing, once, str(tmp_path / "n"), "Acme", "i")
+    seen = reads.value
+    metrics = quality_metrics(
+        flag_payments(notice_rows(listing, sheet, "Acme", "i")), accepted=F.col("accepted"), without_folio=F.col("folio_fiscal").isNull(),
+        without_amount=F.col("importe") == "x")
+    assert counts == metrics.first().asDict() == {"rows": 10, "accepted": 4, "without_folio": 4, "without_amount": 4}
+    assert (accepted.count(), rejected.count()) == (4, 6) and reads.value == seen
+    assert insert_notices(target, accepted).count() == 2
+    split = payments_feed(listing, sheet, target, "Acme", "i")
+    assert sorted(map(tuple, insert_notices(target, accepted).collect())) == sorted(map(tuple, split[0].collect()))
+    counts = stored_notices(listing.limit(0), sheet, str(tmp_path / "none"), "Acme", "i")[2]
+    assert counts == {"rows": 0, "accepted": 0, "without_folio": 0, "without_amount": 0}
+
+
 def test_known_documents_are_skipped(spark):
     texts = spark.createDataFrame(
         [("a.xml", CFDI.format(v=3, rec=RECEIVER, more="")), ("b.xml", CFDI.format(v=4, rec=RECEIVER, more=SECOND))],
