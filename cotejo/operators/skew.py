@@ -31,10 +31,12 @@ def join_unique(
     right_keys: Sequence[str],
     how: str = "left",
     null_safe: bool = False,
+    strategy: str | None = None,
 ) -> DataFrame:
     """Join with a right side that has at most one row per key; no left row is ever repeated.
 
-    The right key columns are dropped; other right columns that clash with the left ones are an error.
+    The right key columns are dropped; other right columns that clash with the left ones are an error. ``strategy`` is a join
+    hint, for inputs whose size the planner can't tell.
     """
     clash = [c for c in right.columns if c not in right_keys and c in left.columns]
     if clash and how not in ("left_semi", "left_anti"):
@@ -45,4 +47,4 @@ def join_unique(
         *[F.col(f"`{c}`") for c in right.columns if c not in right_keys],
     )
     condition = key_match(left_keys, names, null_safe) & (_zero(left_keys) == _zero(names))
-    return left.join(renamed, condition, how).drop(*names)
+    return left.join(renamed if strategy is None else renamed.hint(strategy), condition, how).drop(*names)

@@ -76,18 +76,19 @@ def locate_notice(rows: DataFrame, limit: int = TOKEN_ROWS) -> DataFrame:
 
 def rejected_files(rows: DataFrame, headers: DataFrame) -> DataFrame:
     """Files in which no header was found."""
-    return rows.select("file").distinct().join(headers, "file", "left_anti")
+    return rows.select("file").distinct().join(headers.select("file").hint("merge"), "file", "left_anti")
 
 
 def rows_below(rows: DataFrame, headers: DataFrame, names: Sequence[str]) -> DataFrame:
     """(file, pos, one column per name) for the rows under each file's header; NULL where a file lacks the name.
 
-    Rows of files without a header place go. An ingest number (``_row_no``) is kept where there is one.
+    Rows of files without a header place go. An ingest number (``_row_no``) is kept where there is one. Both sides are shuffled:
+    cells unfolded from few columns look small to the planner, which would send all rows, or all headers, to the driver.
     """
     places = headers.select(
         "file", "header_pos", *[F.array_position("header", F.lit(n)).cast("int").alias(f"_at_{n}") for n in names]
     )
-    joined = join_unique(rows, ["file"], places, ["file"], "inner")
+    joined = join_unique(rows, ["file"], places, ["file"], "inner", strategy="merge")
     number = [c for c in ("_row_no",) if c in rows.columns]
     return joined.filter(F.col("pos") > F.col("header_pos")).select(
         "file", "pos", *number, *[F.when(F.col(f"_at_{n}") > 0, F.try_element_at("cells", F.col(f"_at_{n}"))).alias(n) for n in names]

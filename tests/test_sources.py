@@ -210,6 +210,20 @@ RECEIVER = '<cfdi:Receptor Nombre="N" Rfc="X"/>'
 SECOND = '<cfdi:Concepto Descripcion="c" Cantidad="1" Importe="1"/>'
 
 
+def test_unfolded_sheets_are_not_sent_to_the_driver(spark):
+    """Cells unfolded from one column look small to the planner; neither they nor the headers may be broadcast for it."""
+    header, data = F.array(F.lit("Folio"), F.lit("Monto")), F.array(F.col("id").cast("string"), F.lit("5"))
+    names = F.concat(F.lit("f"), F.col("id").cast("string")).alias("file")
+    rows = spark.range(50).select(names, F.posexplode(F.array(header, data, data)).alias("pos", "cells"))
+    headers = sheets.locate_exact(rows, ["Folio", "Monto"])
+    found = sheets.rows_below(rows, headers, ["Folio", "Monto"])
+    rejected = sheets.rejected_files(rows, headers.filter("file != 'f7'"))
+    assert found.count() == 100 and [r["file"] for r in rejected.collect()] == ["f7"]
+    for frame in (found, rejected):
+        frame.collect()
+        assert "BroadcastExchange" not in plan_of(frame) and "SortMergeJoin" in plan_of(frame)
+
+
 def test_invoice_documents(spark, tmp_path):
     folder = tmp_path / "deep" / "er"
     folder.mkdir(parents=True)
