@@ -1,10 +1,10 @@
 """Row-preserving lookups: collapse the right side to one row per key, left-join it, label the misses."""
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cotejo.functions.clean import strip, to_number
 from cotejo.operators import ranges
@@ -38,7 +38,7 @@ class LookupSpec:
 
 
 def _rows(lookups: Sequence[tuple[DataFrame, LookupSpec]], order: str, part_width: int) -> DataFrame:
-    """Rows of all right tables side by side: keys ``_key0``..., order and part, and the values of table n in columns of its own.
+    """Rows of all right tables: keys ``_key0``..., order and part, the table's number ``_of``, values ``_text0``... and ``_single0``...
 
     Rows with a NULL key match nothing and are left out.
     """
@@ -51,33 +51,47 @@ def _rows(lookups: Sequence[tuple[DataFrame, LookupSpec]], order: str, part_widt
                 F.col(order).alias("_order"),
                 F.floor(F.col(order) / part_width).alias("_part"),
                 F.lit(n).alias("_of"),
-                *[t.alias(f"_text{n}_{i}") for i, t in enumerate(texts)],
-                *[F.col(f"`{c}`").cast("string").alias(f"_single{n}_{i}") for i, c in enumerate(spec.single_numbers)],
+                *[t.alias(f"_text{i}") for i, t in enumerate(texts)],
+                *[F.col(f"`{c}`").cast("string").alias(f"_single{i}") for i, c in enumerate(spec.single_numbers)],
             )
         )
     return union_by_name(frames)
 
 
-def _asked_for(parts: DataFrame, keys: Sequence[str], wanted: DataFrame) -> DataFrame:
-    """Parts whose key occurs in ``wanted`` (its columns in the order of the key): only those are worth joining up further.
+def _asked_for(rows: DataFrame, keys: Sequence[str], wanted: DataFrame) -> DataFrame:
+    """Rows whose key occurs in ``wanted`` (its columns in the order of the key): only those are worth joining up.
 
-    Labels such as ``no localizado`` and ``nan`` that stand for missing keys on the right go here, while they are still parts of
-    bounded size. Parts and distinct keys meet in the partitioning that the last step of the collapse needs anyway.
+    Labels such as ``no localizado`` and ``nan`` that stand for missing keys on the right go here, while they are still rows;
+    their partition can be split among tasks.
     """
     names = [f"_want{i}" for i in range(len(keys))]
-    return parts.join(wanted.dropna().distinct().toDF(*names), key_match(keys, names), "left_semi")
+    return join_unique(rows, keys, wanted.dropna().distinct().toDF(*names), names, "left_semi")
 
 
-def _parts(rows: DataFrame, keys: Sequence[str], lookups: Sequence[tuple[DataFrame, LookupSpec]]) -> DataFrame:
-    """Comma-joined values per key and range of the order column, in row order; NULL where a table has no row."""
-    values = []
-    for n, (_, spec) in enumerate(lookups):
-        values.append(F.count_if(F.col("_of") == n).alias(f"_rows{n}"))
-        for i in range(len(spec.returns)):
-            name = f"_text{n}_{i}"
-            values.append(F.expr(f"listagg({name}, ',') within group (order by _order, {name})").alias(name))
-        values += [F.min(f"_single{n}_{i}").alias(f"_single{n}_{i}") for i in range(len(spec.single_numbers))]
-    return rows.groupBy(*keys, "_part").agg(*values)
+def _equals(field: str, value: Column) -> Callable[[Column], Column]:
+    return lambda x: x[field] == value
+
+
+def _fields(*names: str) -> Callable[[Column], Column]:
+    return lambda x: F.struct(*[x[name].alias(name) for name in names])
+
+
+def _parts(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Comma-joined values per key, table and range of the order column, in row order.
+
+    The values of a row are gathered together, in one list per group: lists are what such an aggregate spends its time on.
+    """
+    texts = [c for c in rows.columns if c.startswith("_text")]
+    singles = [c for c in rows.columns if c.startswith("_single")]
+    gathered = rows.groupBy(*keys, "_of", "_part").agg(
+        F.count(F.lit(1)).alias("_rows"), F.collect_list(F.struct("_order", *texts)).alias("_items"), *[F.min(c).alias(c) for c in singles]
+    )
+
+    def joined(text: str):
+        own = "_items" if text == texts[0] else F.transform("_items", _fields("_order", text))
+        return F.array_join(F.sort_array(own)[text], ",")
+
+    return gathered.select(*keys, "_of", "_part", "_rows", *[joined(text).alias(text) for text in texts], *singles)
 
 
 def collapse_parts(
@@ -89,13 +103,13 @@ def collapse_parts(
     over many tasks and are joined up inside the map tasks first.
     """
     keys = [f"_key{i}" for i in range(len(spec.right))]
-    parts = _parts(_rows([(right, spec)], order, part_width), keys, [(right, spec)])
+    parts = _parts(_rows([(right, spec)], order, part_width), keys)
     return parts.select(
         *[F.col(k).alias(name) for k, name in zip(keys, spec.right)],
         "_part",
-        F.col("_rows0").alias("_rows"),
-        *[F.col(f"_text0_{i}").alias(c) for i, c in enumerate(spec.returns)],
-        *[F.col(f"_single0_{i}").alias(c) for i, c in enumerate(spec.single_numbers)],
+        "_rows",
+        *[F.col(f"_text{i}").alias(c) for i, c in enumerate(spec.returns)],
+        *[F.col(f"_single{i}").alias(c) for i, c in enumerate(spec.single_numbers)],
     )
 
 
@@ -112,15 +126,21 @@ def collapse(
     """
     keys = [f"_key{i}" for i in range(len(lookups[0][1].right))]
     rows = _rows(lookups, order, part_width)
-    parts = _parts(rows, keys, lookups)
-    parts = parts if wanted is None else _asked_for(parts, keys, wanted)
-    values = []
+    rows = rows if wanted is None else _asked_for(rows, keys, wanted)
+    values = [c for c in rows.columns if c.startswith(("_text", "_single"))]
+    gathered = rows.groupBy(*keys).agg(F.collect_list(F.struct("_of", "_order", *values)).alias("_all"))
+    number = [F.lit(n) for n in range(len(lookups))]
+    own = [F.filter("_all", _equals("_of", n)) if len(lookups) > 1 else F.col("_all") for n in number]
+    tables = gathered.select(*keys, *[rows_of.alias(f"_table{n}") for n, rows_of in enumerate(own)])
+    found = []
     for n, (_, spec) in enumerate(lookups):
-        values += [F.expr(f"listagg(_text{n}_{i}, ',') within group (order by _part)").alias(c) for i, c in enumerate(spec.returns)]
-        values += [
-            F.when(F.sum(f"_rows{n}") == 1, to_number(F.min(f"_single{n}_{i}"))).alias(c) for i, c in enumerate(spec.single_numbers)
-        ]
-    return parts.groupBy(*keys).agg(*values)
+        table = F.col(f"_table{n}")
+        for i, c in enumerate(spec.returns):
+            ordered = F.sort_array(F.transform(table, _fields("_order", f"_text{i}")))[f"_text{i}"]
+            found.append(F.when(F.size(table) > 0, F.array_join(ordered, ",")).alias(c))
+        for i, c in enumerate(spec.single_numbers):
+            found.append(F.when(F.size(table) == 1, to_number(F.get(table, 0)[f"_single{i}"])).alias(c))
+    return tables.select(*keys, *found)
 
 
 def populate_all(

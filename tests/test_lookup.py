@@ -58,6 +58,27 @@ def test_missing_column_leaves_the_table(rows, caplog):
     assert "missing columns" in caplog.text
 
 
+def test_tables_of_one_pass_are_told_apart(rows):
+    """Values of several tables, equal places in the order and missing ones; every column in its own order."""
+    frame = left(rows, "A", "B", "C", "no localizado")
+    one = rows("r string, u string, v string", ("A", "2", "x"), ("A", "1", "y"), ("B", None, ""), (None, "9", "9")).withColumn("_row_no", F.lit(5))
+    two = rows("q string, w string, p string", ("A", "w", "10"), ("C", "", "x"), ("no localizado", "l", "1"), ("Z", "z", "2"))
+    first, second = lookup.LookupSpec(("k",), ("r",), ("u", "v")), lookup.LookupSpec(("k",), ("q",), ("w",), ("p",))
+    got = lookup.populate_all(frame, [(one, first), (two, second)])
+    none = "no localizado"
+    assert {tuple(r[c] for c in ("k", "u", "v", "w", "p")) for r in got.collect()} == {
+        ("A", "1,2", "x,y", "w", 10.0), ("B", "nan", "", none, None), ("C", none, none, "", None), (none, none, none, "l", 1.0),
+    }
+
+
+def test_values_are_joined_up_once(rows):
+    """Rows of keys that nobody asks for go before any value is gathered, and the rest is gathered in one list per key."""
+    right = rows("r string, u string, v string", ("A", "1", "x"), ("Z", "2", "y"))
+    plan = plan_of(lookup.populate(left(rows, "A"), right, lookup.LookupSpec(("k",), ("r",), ("u", "v"))))
+    plan = plan.split("== Initial Plan ==")[-1]
+    assert "LeftSemi" in plan[plan.index("ObjectHashAggregate") :] and plan.count("ObjectHashAggregate") == 2
+
+
 def test_bad_specs(rows):
     with pytest.raises(ValueError):
         lookup.LookupSpec(("a", "b"), ("a",), ("u",))
