@@ -154,6 +154,17 @@ def test_clean_invoices(rows):
     assert got == {1: ("A1", "F"), 5: ("C", "nan")}
 
 
+def test_rows_of_a_prefix_are_dealt_to_tasks(spark, rows):
+    """Few short rows that give many: one folio asked for 1,000 times with 40 files, and others, don't end up in one task."""
+    wanted = spark.range(1003).selectExpr("id", "CASE WHEN id < 1000 THEN 'f' WHEN id = 1000 THEN 'g1' WHEN id = 1001 THEN 'none' END AS Folio")
+    files = spark.range(50).selectExpr("concat(if(id < 40, 'F', 'G'), id) AS name", "concat('/', id) AS path")
+    got = lookup.prefix_rows(wanted, "Folio", files, "name", "path")
+    seen = got.withColumn("task", F.spark_partition_id()).collect()
+    files_of_g1 = sum(f"G{i}".startswith("G1") for i in range(40, 50))
+    assert got.columns == ["id", "Folio", "path"] and len({(r["id"], r["path"]) for r in seen}) == len(seen) == 40_000 + files_of_g1
+    assert len({r["task"] for r in seen if r["Folio"] == "f"}) > 3
+
+
 @pytest.mark.parametrize("parts", [None, 3, 40])
 def test_prefixes(rows, parts):
     wanted = rows("Folio string", ("f-1",), (" F-10 ",), ("zz",), (None,)).drop("_row_no")
