@@ -8,8 +8,8 @@ word by word, never by hash alone.
 
 * A string seen before in the same task at an earlier place is known to repeat as a whole; only its place travels.
 * Strings of one bucket travel as compressed blocks, which takes about the corpus's own size of shuffle instead of three times
-  that. Buckets follow ``spark.sql.shuffle.partitions``; a task sorts its buckets one after another, so memory holds
-  a bucket's strings at a time.
+  that. Buckets follow ``spark.sql.shuffle.partitions``; a task sorts its buckets one after another, and unpacks
+  a bucket by shares of its minimisers, so memory holds its blocks and ``SHARE_BYTES`` or an eighth of their strings at a time.
 * Windows are counted per minimiser first, by slots of its hash whose number follows the corpus. Windows of a minimiser with
   more than ``HOT`` take a longer one, of 8 and then of 16 words, and travel as strings of that: a common run of words stands in
   many contexts, which the longer runs tell apart. Which minimiser a window takes depends on its words and the counts alone,
@@ -41,6 +41,8 @@ SLOTS, MOST_SLOTS, SLOT_BYTES = 21, 27, 2 << 10  # bits of a minimiser by which
 COUNTED = 2 << 20  # counts that a task holds before it hands them on
 REMEMBERED = 16 << 20  # bytes of strings that a task remembers
 GATHERED = 16 << 20  # bytes of strings that a task makes into blocks at a time
+SHARE_BYTES, MOST_SHARES = 8 << 20, 8  # bytes of a bucket's strings that are unpacked at a time, in so many rounds at most
+SLICE_BYTES = 512 << 10  # bytes of text whose windows a task numbers at a time
 BLOCK = "bucket int, block binary, doc_id bigint, start int, end int, window binary"
 COVERED = "doc_id bigint, start int, end int"
 
@@ -172,7 +174,7 @@ def _counts(docs: DataFrame, window: int, known: list[np.ndarray], bits: int) ->
             yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(n)], names=["slot", "n"])
 
         for batch in batches:
-            for _, _, data, offsets in slices(batch.column(1)):
+            for _, _, data, offsets in slices(batch.column(1), SLICE_BYTES):
                 begin, stop, least, _, level = levelled(Words(data, offsets), window, known)
                 own = level == len(known)
                 held.append((_slots(least[own] ^ np.uint64(len(known)), bits), (stop - begin - window + 1)[own]))
@@ -218,7 +220,7 @@ def _cut(docs: DataFrame, window: int, buckets: int, hot: list[np.ndarray]) -> D
                     yield (doc + at + k) % buckets, None, doc, at + k, at + k + window, b" ".join(split[k : k + window])
 
         for batch in batches:
-            for low, end, data, offsets in slices(batch.column(1)):
+            for low, end, data, offsets in slices(batch.column(1), SLICE_BYTES):
                 words = Words(data, offsets)
                 begin, stop, least, twice, level = levelled(words, window, hot)
                 if not len(begin):
@@ -284,6 +286,19 @@ def _unpacked(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     return np.cumsum(ids), start, twice, least, raw[4 + 17 * n :].split(b"\n")
 
 
+def _share(parts: list[bytes], share: int, shares: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    """As ``_unpacked``, of all the blocks together, the strings of one share of the minimisers."""
+    unpack = zstandard.ZstdDecompressor()
+    found: list[tuple[np.ndarray, ...]] = []
+    texts: list[bytes] = []
+    for part in parts:
+        *columns, own = _unpacked(unpack.decompress(part))
+        here = np.flatnonzero(mixed(columns[3].astype(np.uint64)) % np.uint64(shares) == share)
+        found.append(tuple(column[here] for column in columns))
+        texts += [own[i] for i in here.tolist()]
+    return *(np.concatenate(x) for x in zip(*found)), texts
+
+
 def _sorted(blocks: DataFrame, window: int) -> DataFrame:
     """Covered places; windows cut in the map tasks pass with their place."""
 
@@ -304,21 +319,23 @@ def _sorted(blocks: DataFrame, window: int) -> DataFrame:
                 yield doc, begin, start + window
 
     def bucket(parts: list[bytes]) -> Iterator[tuple[int, int, int, bytes | None]]:
-        unpack = zstandard.ZstdDecompressor()
-        *columns, lists = zip(*[_unpacked(unpack.decompress(part)) for part in parts])
-        ids, starts, twice, least = map(np.concatenate, columns)
-        texts = [text for own in lists for text in own]
-        order = np.argsort(least, kind="stable")
-        edges = np.flatnonzero(np.concatenate([[True], np.diff(least[order]) != 0, [True]]))
-        alone = (np.diff(edges) == 1) & (twice[order[edges[:-1]]] == 0)
-        for x, y in zip(edges[:-1][~alone].tolist(), edges[1:][~alone].tolist()):
-            own = (
-                (b" ".join(words[k : k + window]), int(ids[i]), int(starts[i]) + k)
-                for i in order[x:y].tolist()
-                for words in (texts[i].split(b" "),)
-                for k in range(len(words) - window + 1)
-            )
-            yield from ((*place, None) for place in covered(list(own)))
+        """Covered places of a bucket, whose strings are unpacked a share of the minimisers at a time."""
+        shares = min(-(-sum(zstandard.frame_content_size(part) for part in parts) // SHARE_BYTES), MOST_SHARES)
+        for share in range(shares):
+            ids, starts, twice, least, texts = _share(parts, share, shares)
+            if not texts:
+                continue
+            order = np.argsort(least, kind="stable")
+            edges = np.flatnonzero(np.concatenate([[True], np.diff(least[order]) != 0, [True]]))
+            alone = (np.diff(edges) == 1) & (twice[order[edges[:-1]]] == 0)
+            for x, y in zip(edges[:-1][~alone].tolist(), edges[1:][~alone].tolist()):
+                own = (
+                    (b" ".join(words[k : k + window]), int(ids[i]), int(starts[i]) + k)
+                    for i in order[x:y].tolist()
+                    for words in (texts[i].split(b" "),)
+                    for k in range(len(words) - window + 1)
+                )
+                yield from ((*place, None) for place in covered(list(own)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple[int, bytes | None, int, int, int, bytes | None]]:
