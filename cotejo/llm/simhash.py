@@ -181,7 +181,8 @@ def _joined(groups: DataFrame, budget: int) -> DataFrame:
         if rest is not None and len(rest[0]) > 1:
             yield settle(rest[1], rest[2].view(np.uint64))
 
-    spread = groups.repartition(partitions(groups.sparkSession), "group").sortWithinPartitions("group")
+    # Dealt by a hash of the group: by the group itself, Spark takes a shuffled join's deal for this one, and adaptive execution may undo that.
+    spread = groups.repartition(partitions(groups.sparkSession), F.xxhash64("group")).sortWithinPartitions("group")
     return spread.select("group", "node", "rest").mapInArrow(run, "a bigint, b bigint")
 
 

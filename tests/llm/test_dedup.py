@@ -11,6 +11,7 @@ from hypothesis import given, settings, strategies as st
 from awkward_rows import awkward, docs  # noqa: F401
 from cotejo.llm import line_dedup, simhash, substring_dedup
 from cotejo.llm.batches import Words
+from cotejo.llm.common import components
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -150,6 +151,30 @@ def test_trie_join_finds_all_classes():
         assert (simhash.linked(values, budget) == classes(values, budget)).all()
 
 
+def test_groups_dealt_again_stay_whole_when_the_join_before_changes(spark):
+    """A join planned as a shuffled one and made a broadcast when it runs leaves its rows where they were: groups still have to meet."""
+    rng = np.random.default_rng(5)
+    seeds = rng.integers(0, 2**63, 100, dtype=np.uint64)
+    bits = np.uint64(1) << np.arange(64, dtype=np.uint64)
+    apart = bits[[5, 18, 30, 45]].sum(dtype=np.uint64)  # pairs that share one block only, and a group that is dealt again
+    values = np.unique(np.concatenate([seeds, seeds ^ apart, seeds[0] ^ bits[:20]]))
+    rng.shuffle(values)
+    signed = values.view(np.int64).tolist()
+    nodes = spark.createDataFrame([(v, v) for v in signed], "node bigint, fingerprint bigint").repartition(8)
+    adaptive = "spark.sql.adaptive."
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", f"{adaptive}autoBroadcastJoinThreshold": "10m", f"{adaptive}coalescePartitions.enabled": "false"}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        found = components(simhash.links(nodes, most=2)).collect()
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    label = dict(zip(signed, range(len(signed)))) | {r.node: signed.index(r.component) for r in found}
+    pairs = {(label[v], c) for v, c in zip(signed, classes(values).tolist())}
+    assert len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs})
+
+
 def test_one_document_of_each_class_stays(awkward):
     got = simhash.one_of_each(awkward)
     assert got.schema == awkward.schema
